@@ -37,7 +37,8 @@ def lenient_long(df: DataFrame, name: str) -> Column:
     """Whole number or NULL: text rounds half away from zero, doubles half to even."""
     x, kind = F.col(name), df.schema[name].dataType
     if isinstance(kind, T.StringType):
-        return F.round(x.try_cast("decimal(38,10)"), 0).try_cast("bigint")
+        # Plain whole numbers, the usual case, skip the slower decimal arithmetic.
+        return F.coalesce(x.try_cast("bigint"), F.round(x.try_cast("decimal(38,10)"), 0).try_cast("bigint"))
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         return F.rint(x).try_cast("bigint")
     if isinstance(kind, T.DecimalType):

@@ -16,42 +16,94 @@ PURCHASE = "purchase"
 FIRST_VISIT = "first_visit"
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+_TEXT, _DAY, _MOMENT, _AMOUNT, _COUNT = (
+    T.StringType(),
+    T.DateType(),
+    T.TimestampType(),
+    T.DoubleType(),
+    T.LongType(),
+)
+
 
+def _record(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
-# Flat events as they arrive. Amounts stay text in CSV so that one bad number
-# becomes a repaired row instead of a failed job.
-EVENTS_CSV = _struct(
-    "event_date date, event_timestamp timestamp, event_name string, user_pseudo_id string,"
-    " session_id string, source string, medium string, campaign string, page_location string,"
-    " transaction_id string, purchase_revenue string, total_item_quantity string,"
-    " device_category string, country string"
+
+# Flat events and items as they arrive in CSV. Amounts stay text so that one bad
+# number becomes a repaired row instead of a failed job.
+EVENTS_CSV = _record(
+    event_date=_DAY,
+    event_timestamp=_MOMENT,
+    event_name=_TEXT,
+    user_pseudo_id=_TEXT,
+    session_id=_TEXT,
+    source=_TEXT,
+    medium=_TEXT,
+    campaign=_TEXT,
+    page_location=_TEXT,
+    transaction_id=_TEXT,
+    purchase_revenue=_TEXT,
+    total_item_quantity=_TEXT,
+    device_category=_TEXT,
+    country=_TEXT,
 )
-ITEMS_CSV = _struct(
-    "event_date date, event_timestamp timestamp, event_name string, user_pseudo_id string,"
-    " transaction_id string, item_id string, item_name string, item_brand string,"
-    " item_category string, price string, quantity string, item_revenue string"
+ITEMS_CSV = _record(
+    event_date=_DAY,
+    event_timestamp=_MOMENT,
+    event_name=_TEXT,
+    user_pseudo_id=_TEXT,
+    transaction_id=_TEXT,
+    item_id=_TEXT,
+    item_name=_TEXT,
+    item_brand=_TEXT,
+    item_category=_TEXT,
+    price=_TEXT,
+    quantity=_TEXT,
+    item_revenue=_TEXT,
 )
 
-EVENTS = _struct(
-    "event_date date, event_timestamp timestamp, event_name string, user_pseudo_id string,"
-    " session_id string, source string, medium string, campaign string, transaction_id string,"
-    " purchase_revenue double, device_category string, country string"
+EVENTS = _record(
+    event_date=_DAY,
+    event_timestamp=_MOMENT,
+    event_name=_TEXT,
+    user_pseudo_id=_TEXT,
+    session_id=_TEXT,
+    source=_TEXT,
+    medium=_TEXT,
+    campaign=_TEXT,
+    transaction_id=_TEXT,
+    purchase_revenue=_AMOUNT,
+    device_category=_TEXT,
+    country=_TEXT,
+)
+_ITEM = dict(
+    item_id=_TEXT,
+    item_name=_TEXT,
+    item_brand=_TEXT,
+    item_category=_TEXT,
+    price=_AMOUNT,
+    quantity=_COUNT,
+    item_revenue=_AMOUNT,
 )
-ITEMS = _struct(
-    "event_date date, event_timestamp timestamp, event_name string, user_pseudo_id string,"
-    " transaction_id string, item_id string, item_name string, item_brand string,"
-    " item_category string, price double, quantity bigint, item_revenue double"
+ITEMS = _record(
+    event_date=_DAY,
+    event_timestamp=_MOMENT,
+    event_name=_TEXT,
+    user_pseudo_id=_TEXT,
+    transaction_id=_TEXT,
+    **_ITEM,
 )
 
 # One nested record per event, as the daily export shards hold it.
-NESTED_EVENTS = _struct(
-    "event_date string, event_timestamp bigint, event_name string, user_pseudo_id string,"
-    " event_params array<struct<key: string, value: struct<int_value: bigint, string_value: string>>>,"
-    " traffic_source struct<source: string, medium: string, name: string>,"
-    " ecommerce struct<transaction_id: string, purchase_revenue: double, total_item_quantity: bigint>,"
-    " device struct<category: string>, geo struct<country: string>,"
-    " items array<struct<item_id: string, item_name: string, item_brand: string,"
-    " item_category: string, price: double, quantity: bigint, item_revenue: double>>"
+NESTED_EVENTS = _record(
+    event_date=_TEXT,
+    event_timestamp=_COUNT,
+    event_name=_TEXT,
+    user_pseudo_id=_TEXT,
+    event_params=T.ArrayType(_record(key=_TEXT, value=_record(int_value=_COUNT, string_value=_TEXT))),
+    traffic_source=_record(source=_TEXT, medium=_TEXT, name=_TEXT),
+    ecommerce=_record(transaction_id=_TEXT, purchase_revenue=_AMOUNT, total_item_quantity=_COUNT),
+    device=_record(category=_TEXT),
+    geo=_record(country=_TEXT),
+    items=T.ArrayType(_record(**_ITEM)),
 )

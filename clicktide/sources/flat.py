@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from clicktide.schemas import EVENTS_CSV, ITEMS, ITEMS_CSV
+from clicktide.sources.tables import path_exists
 
 
 def read_flat(spark: SparkSession, path: str, csv_schema: T.StructType) -> DataFrame:
@@ -25,12 +25,7 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     """Items; a missing path gives an empty table with the item schema."""
-    try:
-        return read_flat(spark, path, ITEMS_CSV)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty_items(spark)
+    return read_flat(spark, path, ITEMS_CSV) if path_exists(spark, path) else empty_items(spark)
 
 
 def empty_items(spark: SparkSession) -> DataFrame:

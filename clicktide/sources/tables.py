@@ -59,8 +59,18 @@ def replace_partitions(df: DataFrame, path: str, partition: str, values: Iterabl
 
 
 def _drop_folder(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    files, path = _file_system(spark, folder)
+    files.delete(path, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
 def export_contract(tables: Mapping[str, DataFrame], folder: str, prefix: str = "") -> dict[str, DataFrame]:
