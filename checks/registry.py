@@ -166,14 +166,16 @@ def _refreshed(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """Tables built on all but the last week, then refreshed with that week."""
     source = scratch_path(spark, "landed")
     write_table(b.flat_source(spark, sf), source, "event_date")
-    cfg = JobConfig(scratch_path(spark, "base"), source, scratch_path(spark, "no-items"))
+    cfg = JobConfig(
+        scratch_path(spark, "base"), source, scratch_path(spark, "no-items"), first_visit=b.FIRST_VISIT, steps=b.STEPS
+    )
     last = b.BOUNDS.last
     week = [last - timedelta(days=d) for d in range(7)]
     before = cleanse_events(read_events(spark, source).where(F.col("event_date") < min(week)))
     events = write_table(before, table_path(cfg, "events"), "event_date")
-    write_table(kpi.daily_kpi(events), table_path(cfg, "daily_kpi"), "event_date")
+    write_table(_daily(events), table_path(cfg, "daily_kpi"), "event_date")
     cohorts = write_table(cohort_retention(events), table_path(cfg, "cohort_retention"), "cohort_week")
-    schemas = {"daily_kpi": kpi.daily_kpi(events).schema, "cohort_retention": cohorts.schema, "events": EVENTS}
+    schemas = {"daily_kpi": _daily(events).schema, "cohort_retention": cohorts.schema, "events": EVENTS}
     refresh(spark, cfg, week)
     return read_table(spark, table_path(cfg, name), schemas[name])
 

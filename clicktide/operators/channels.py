@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktide.functions.numeric import pct, r2
-from clicktide.operators.kpi import is_event, order_id
 from clicktide.operators.profile import profile
-from clicktide.schemas import PURCHASE, REVENUE, SESSION, USER
+from clicktide.operators.visits import ORDER_ID, visits
+from clicktide.schemas import SESSION, USER
 
 
 def channel_summary(events: DataFrame) -> DataFrame:
+    """Takes cleansed events or visits."""
     p = profile(
-        events,
+        visits(events),
         ["source", "medium"],
-        {"sessions": F.col(SESSION), "users": F.col(USER), "orders": order_id()},
-        flags={"buying_sessions": ("sessions", is_event(PURCHASE))},
-        folds={"revenue": ("sum", F.col(REVENUE))},
+        {"sessions": F.col(SESSION), "users": F.col(USER), "orders": F.col(ORDER_ID)},
+        flags={"buying_sessions": ("sessions", F.col("bought"))},
+        folds={"revenue": ("sum", F.col("revenue"))},
     )
     return p.select(
         "source",

@@ -1,34 +1,26 @@
-"""Daily, overall and build-level key figures."""
+"""Daily, overall and build-level key figures.
+
+Each takes cleansed events or visits.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktide.functions.numeric import pct, r2
 from clicktide.operators.profile import profile
-from clicktide.schemas import DATE, FIRST_VISIT, NAME, ORDER, PURCHASE, REVENUE, SESSION, USER
-
-
-def is_event(name: str) -> Column:
-    return F.col(NAME) == name
-
-
-def order_id() -> Column:
-    """Order number, only where the event is a purchase."""
-    return F.when(is_event(PURCHASE), F.col(ORDER))
+from clicktide.operators.visits import ORDER_ID, visits
+from clicktide.schemas import DATE, FIRST_VISIT, SESSION, USER
 
 
 def daily_kpi(events: DataFrame, first_visit: str = FIRST_VISIT) -> DataFrame:
     p = profile(
-        events,
+        visits(events, first_visit),
         [DATE],
-        {"users": F.col(USER), "sessions": F.col(SESSION), "orders": order_id()},
-        flags={
-            "new_users": ("users", is_event(first_visit)),
-            "purchasers": ("users", is_event(PURCHASE)),
-        },
-        folds={"events": ("sum", F.lit(1)), "revenue": ("sum", F.col(REVENUE))},
+        {"users": F.col(USER), "sessions": F.col(SESSION), "orders": F.col(ORDER_ID)},
+        flags={"new_users": ("users", F.col("is_new")), "purchasers": ("users", F.col("bought"))},
+        folds={"events": ("sum", F.col("events")), "revenue": ("sum", F.col("revenue"))},
     )
     return p.select(
         DATE, "events", "users", "sessions", "new_users", "purchasers", "orders", r2(F.col("revenue")).alias("revenue")
@@ -38,17 +30,17 @@ def daily_kpi(events: DataFrame, first_visit: str = FIRST_VISIT) -> DataFrame:
 def summary(events: DataFrame, mode: str | None = None, first_visit: str = FIRST_VISIT) -> DataFrame:
     """One row over all events; with ``mode`` the build's data mode is a last column."""
     p = profile(
-        events,
+        visits(events, first_visit),
         [],
-        {"users": F.col(USER), "sessions": F.col(SESSION), "orders": order_id()},
+        {"users": F.col(USER), "sessions": F.col(SESSION), "orders": F.col(ORDER_ID)},
         flags={
-            "new_users": ("users", is_event(first_visit)),
-            "purchasers": ("users", is_event(PURCHASE)),
-            "buying_sessions": ("sessions", is_event(PURCHASE)),
+            "new_users": ("users", F.col("is_new")),
+            "purchasers": ("users", F.col("bought")),
+            "buying_sessions": ("sessions", F.col("bought")),
         },
         folds={
-            "events": ("sum", F.lit(1)),
-            "revenue": ("sum", F.col(REVENUE)),
+            "events": ("sum", F.col("events")),
+            "revenue": ("sum", F.col("revenue")),
             "start_date": ("min", F.col(DATE)),
             "end_date": ("max", F.col(DATE)),
         },
@@ -71,11 +63,11 @@ def summary(events: DataFrame, mode: str | None = None, first_visit: str = FIRST
 def build_summary(events: DataFrame, items: DataFrame, mode: str) -> DataFrame:
     """Size of a build: rows, users, days, orders and revenue."""
     p = profile(
-        events,
+        visits(events),
         [],
-        {"users": F.col(USER), "days": F.col(DATE), "orders": order_id()},
-        folds={"events": ("sum", F.lit(1)), "revenue": ("sum", F.col(REVENUE))},
-    ).withColumn("item_rows", F.lit(None).cast("bigint"))
+        {"users": F.col(USER), "days": F.col(DATE), "orders": F.col(ORDER_ID)},
+        folds={"events": ("sum", F.col("events")), "revenue": ("sum", F.col("revenue"))},
+    )
     counted = items.agg(F.count(F.lit(1)).alias("item_rows"))
     # Two one-row results, folded into one row.
     both = p.unionByName(counted, allowMissingColumns=True)

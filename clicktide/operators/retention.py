@@ -11,7 +11,7 @@ from clicktide.schemas import DATE, USER
 
 
 def user_weeks(events: DataFrame) -> DataFrame:
-    """Distinct (user, active week) with the user's first week as ``cohort_week``.
+    """Distinct (user, active week), of events or visits, with the user's first week as ``cohort_week``.
 
     Rows are distinct before the window, so a user's share of one task is at
     most the number of weeks, however many events they have.

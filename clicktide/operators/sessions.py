@@ -5,30 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicktide.schemas import NAME, PURCHASE, REVENUE, SESSION, TIME, USER
+from clicktide.operators.visits import visits
+from clicktide.schemas import SESSION, USER
 
 
 def session_summary(events: DataFrame) -> DataFrame:
     """One row per (session, user); events without a session are left out.
 
     Source, medium and campaign come together from the session's earliest event.
+    Takes cleansed events or visits.
     """
-    undated = F.col(TIME).isNull()  # false sorts first
-    first = F.min(F.struct(undated.alias("undated"), F.col(TIME), "source", "medium", "campaign"))
-    grouped = (
-        events.where(F.col(SESSION).isNotNull())
-        .groupBy(SESSION, USER)
-        .agg(
-            first.alias("first"),
-            F.count(F.lit(1)).alias("events"),
-            F.max((F.col(NAME) == PURCHASE).cast("int")).alias("purchased"),
-            F.sum(REVENUE).alias("revenue"),
-        )
+    parts = visits(events).where(F.col(SESSION).isNotNull())
+    undated = F.col("first_at").isNull()  # false sorts first
+    first = F.min(F.struct(undated.alias("undated"), "first_at", "source", "medium", "campaign"))
+    grouped = parts.groupBy(SESSION, USER).agg(
+        first.alias("first"),
+        F.sum("events").alias("events"),
+        F.max(F.col("bought").cast("int")).alias("purchased"),
+        F.sum("revenue").alias("revenue"),
     )
     return grouped.select(
         SESSION,
         USER,
-        F.col(f"first.{TIME}").alias("session_start"),
+        F.col("first.first_at").alias("session_start"),
         "first.source",
         "first.medium",
         "first.campaign",

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from clicktide.functions.dates import days_between
 from clicktide.functions.numeric import r2
-from clicktide.operators.kpi import order_id
 from clicktide.operators.profile import profile
 from clicktide.operators.ranking import ONE_TASK_ROWS, ntile_global
-from clicktide.schemas import DATE, REVENUE, SESSION, USER
+from clicktide.operators.visits import ORDER_ID, visits
+from clicktide.schemas import DATE, SESSION, USER
 from clicktide.session import settle
 
 # Segment names.
@@ -24,11 +24,12 @@ SCORES = 5
 
 
 def user_base(events: DataFrame) -> DataFrame:
+    """Takes cleansed events or visits."""
     p = profile(
-        events,
+        visits(events),
         [USER],
-        {"sessions": F.col(SESSION), "orders": order_id()},
-        folds={"last_active": ("max", F.col(DATE)), "revenue": ("sum", F.col(REVENUE))},
+        {"sessions": F.col(SESSION), "orders": F.col(ORDER_ID)},
+        folds={"last_active": ("max", F.col(DATE)), "revenue": ("sum", F.col("revenue"))},
     )
     return p.select(USER, "last_active", "sessions", "orders", r2(F.col("revenue")).alias("revenue"))
 

@@ -17,7 +17,8 @@ from clicktide.functions.dates import week_start
 from clicktide.operators.cleanse import cleanse_events, cleanse_items, event_key, typed_events
 from clicktide.operators.kpi import daily_kpi
 from clicktide.operators.retention import retention_of, user_weeks
-from clicktide.plans.warehouse import JobConfig, table_path
+from clicktide.operators.visits import condense
+from clicktide.plans.warehouse import INTERNAL, JobConfig, table_path
 from clicktide.schemas import DATE, EVENTS, ITEMS, TIME, USER
 from clicktide.session import pin_utc, settle
 from clicktide.sources.flat import read_events, read_items
@@ -123,7 +124,8 @@ def refresh(spark: SparkSession, cfg: JobConfig, days: Iterable[date]) -> None:
 
     come = settle(cleansed_days(ods, affected), "refreshed-events")
     gone, kept = old.where(on_days(affected)), old.where(~on_days(affected))
-    kpi = settle(daily_kpi(come), "refreshed-kpi")
+    day_visits = settle(condense(come, cfg.first_visit), "refreshed-visits")
+    kpi = settle(daily_kpi(day_visits), "refreshed-kpi")
 
     weeks = _touched_cohorts(kept, gone, come)
     known = [w for w in weeks if w is not None]
@@ -135,6 +137,7 @@ def refresh(spark: SparkSession, cfg: JobConfig, days: Iterable[date]) -> None:
 
     items = cleanse_items(read_items(spark, cfg.items_source)).where(on_days(days))
     replace_partitions(settle(items, "refreshed-items"), table_path(cfg, "items"), CONTRACT["items"], days)
+    replace_partitions(day_visits, table_path(cfg, "visits"), INTERNAL["visits"], affected)
     replace_partitions(kpi, table_path(cfg, "daily_kpi"), CONTRACT["daily_kpi"], affected)
-    replace_partitions(cohorts, table_path(cfg, "cohort_retention"), "cohort_week", weeks)
+    replace_partitions(cohorts, table_path(cfg, "cohort_retention"), INTERNAL["cohort_retention"], weeks)
     replace_partitions(come, table_path(cfg, "events"), CONTRACT["events"], affected)

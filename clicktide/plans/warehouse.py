@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from clicktide.operators.anomaly import daily_anomaly
 from clicktide.operators.channels import channel_summary
 from clicktide.operators.cleanse import cleanse_events, cleanse_items
-from clicktide.operators.funnel import funnel
+from clicktide.operators.funnel import CHECKOUT_STEPS, funnel
 from clicktide.operators.kpi import build_metadata, build_summary, daily_kpi
 from clicktide.operators.products import product_summary
 from clicktide.operators.quality import FIXTURE, Bounds, quality_report
 from clicktide.operators.retention import cohort_retention
 from clicktide.operators.sessions import session_summary
 from clicktide.operators.users import user_value
+from clicktide.operators.visits import condense
+from clicktide.schemas import DATE, FIRST_VISIT
 from clicktide.session import pin_utc
 from clicktide.sources.flat import items_beside, read_events, read_items
 from clicktide.sources.tables import CONTRACT, write_table
@@ -26,6 +28,7 @@ OFFICIAL = "official_bigquery_export"
 
 # Tables kept for later steps but not part of the contract, with their folder column.
 INTERNAL = {
+    "visits": DATE,
     "session_summary": None,
     "cohort_retention": "cohort_week",
     "daily_anomaly": None,
@@ -45,6 +48,8 @@ class JobConfig:
     fixture: bool = False
     bounds: Bounds = Bounds(date(2020, 11, 1), date(2021, 1, 31))
     prefix: str = ""
+    first_visit: str = FIRST_VISIT
+    steps: tuple[tuple[str, str], ...] = CHECKOUT_STEPS
 
     @property
     def mode(self) -> str:
@@ -69,8 +74,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     """Build every table and return each as read back from where it was written.
 
     Each table is written once: the contract tables in their final place, the
-    others beside them. Marts read the written facts, so each scans only the
-    columns it needs and the cleansing is not repeated.
+    others beside them. The event facts are read three times: for the funnel,
+    for the row checks, and once to condense them into visits, which all other
+    marts are derived from.
     """
     pin_utc(spark)
     done: dict[str, DataFrame] = {}
@@ -82,15 +88,17 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     keep("events", cleanse_events(read_events(spark, cfg.events_path)))
     keep("items", cleanse_items(read_items(spark, cfg.items_source)))
     events, items = done["events"], done["items"]
-    keep("session_summary", session_summary(events))
-    keep("daily_kpi", daily_kpi(events))
-    keep("funnel", funnel(events))
-    keep("cohort_retention", cohort_retention(events))
-    keep("channel_summary", channel_summary(events))
-    keep("user_value", user_value(events))
+    keep("visits", condense(events, cfg.first_visit))
+    condensed = done["visits"]
+    keep("session_summary", session_summary(condensed))
+    keep("daily_kpi", daily_kpi(condensed))
+    keep("funnel", funnel(events, cfg.steps))
+    keep("cohort_retention", cohort_retention(condensed))
+    keep("channel_summary", channel_summary(condensed))
+    keep("user_value", user_value(condensed))
     keep("product_summary", product_summary(items))
     keep("daily_anomaly", daily_anomaly(done["daily_kpi"]))
     keep("build_metadata", build_metadata(spark, cfg.mode))
-    keep("build_summary", build_summary(events, items, cfg.mode))
+    keep("build_summary", build_summary(condensed, items, cfg.mode))
     keep("quality_report", quality_report(done, cfg.bounds, cfg.mode))
     return done

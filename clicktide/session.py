@@ -20,6 +20,8 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Recording the Python call site of every column costs several driver calls each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
