@@ -70,6 +70,25 @@ def difference(left: pd.DataFrame, right: pd.DataFrame) -> str | None:
     return None
 
 
+# Spark type -> the other engine's type.
+SAME_TYPE = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def type_difference(types: list[tuple[str, str]], result: duckdb.DuckDBPyRelation) -> str | None:
+    mine = {name: SAME_TYPE[kind] for name, kind in types}
+    theirs = {name: str(kind) for name, kind in zip(result.columns, result.types)}
+    return None if mine == theirs else f"types {sorted(mine.items() ^ theirs.items())}"
+
+
 def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark, con = local_session(), duck(folder)
@@ -78,9 +97,11 @@ def main() -> int:
     for name in chosen:
         began = time.time()
         try:
-            got = registry.queries()[name](spark, folder).toPandas()
+            df = registry.queries()[name](spark, folder)
+            got = df.toPandas()
             took = time.time() - began
-            found = difference(got, con.execute(sql[name]).df()) if name in sql else "no SQL"
+            want = con.sql(sql[name])
+            found = difference(got, want.df()) or type_difference(df.dtypes, want)
         except Exception as error:  # report and go on with the next query
             took, found = time.time() - began, f"{type(error).__name__}: {str(error)[:600]}"
         bad += found is not None
