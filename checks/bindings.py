@@ -80,7 +80,8 @@ def _posting_day() -> Column:
 def items_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Basket lines. Returned lines have no quantity, a few revenues are negative."""
     lines = table(spark, sf_dir, "lineitem", LINEITEM)
-    parts = table(spark, sf_dir, "part", PART)
+    price = F.col("p_retailprice").cast("string").alias("price")
+    parts = table(spark, sf_dir, "part", PART).select("p_partkey", "p_name", "p_brand", "p_type", price)
     net = F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100 + 0.5) / 100.0
     # A left join: part is a dimension, small enough to broadcast by its file size or shuffled otherwise.
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey, "left")
@@ -94,8 +95,8 @@ def items_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("item_name"),
         F.col("p_brand").alias("item_brand"),
         F.when(F.col("p_type") != "SMALL", F.col("p_type")).alias("item_category"),
-        F.col("p_retailprice").cast("string").alias("price"),
-        F.when(F.col("l_returnflag") != "R", (F.col("l_quantity") / 2).cast("string")).alias("quantity"),
+        "price",
+        F.when(F.col("l_returnflag") != "R", F.col("l_quantity") / 2).alias("quantity"),
         F.when(F.col("l_tax") == 0.08, -net).otherwise(net).alias("item_revenue"),
     )
 

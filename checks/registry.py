@@ -23,10 +23,11 @@ from clicktide.operators.quality import quality_report
 from clicktide.operators.retention import cohort_retention, weighted_retention
 from clicktide.operators.sessions import session_summary
 from clicktide.operators.users import user_base, user_value
+from clicktide.operators.visits import condense
 from clicktide.plans.refresh import refresh
 from clicktide.plans.warehouse import JobConfig, table_path
 from clicktide.schemas import EVENTS
-from clicktide.session import scratch_path
+from clicktide.session import scratch_path, settle
 from clicktide.sources.flat import read_events
 from clicktide.sources.landing import land, manifest
 from clicktide.sources.shards import scan_days
@@ -88,15 +89,18 @@ def _build_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _quality(spark: SparkSession, sf: str) -> DataFrame:
-    events = write_table(b.events(spark, sf), scratch_path(spark, "quality-events"), "event_date")
+    """Facts and visits as written tables, as in a build."""
+    events = settle(b.events(spark, sf), "quality-events")
+    condensed = settle(condense(events, b.FIRST_VISIT), "quality-visits")
     tables = {
         "events": events,
+        "visits": condensed,
         "items": b.items(spark, sf),
-        "session_summary": session_summary(events),
-        "daily_kpi": _daily(events),
+        "session_summary": session_summary(condensed),
+        "daily_kpi": _daily(condensed),
         "funnel": _steps(events),
-        "cohort_retention": cohort_retention(events),
-        "user_value": user_base(events),  # the rule only counts its rows
+        "cohort_retention": cohort_retention(condensed),
+        "user_value": user_base(condensed),  # the rule only counts its rows
     }
     return quality_report(tables, b.BOUNDS)
 
@@ -173,6 +177,7 @@ def _refreshed(spark: SparkSession, sf: str, name: str) -> DataFrame:
     week = [last - timedelta(days=d) for d in range(7)]
     before = cleanse_events(read_events(spark, source).where(F.col("event_date") < min(week)))
     events = write_table(before, table_path(cfg, "events"), "event_date")
+    write_table(condense(events, b.FIRST_VISIT), table_path(cfg, "visits"), "event_date")
     write_table(_daily(events), table_path(cfg, "daily_kpi"), "event_date")
     cohorts = write_table(cohort_retention(events), table_path(cfg, "cohort_retention"), "cohort_week")
     schemas = {"daily_kpi": _daily(events).schema, "cohort_retention": cohorts.schema, "events": EVENTS}

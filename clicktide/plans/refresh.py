@@ -98,9 +98,7 @@ def _touched_cohorts(kept: DataFrame, gone: DataFrame, come: DataFrame) -> list[
 
     def tagged(df: DataFrame, before: bool, after: bool) -> DataFrame:
         week = week_start(F.col(DATE)).alias("week")
-        return df.select(
-            USER, week, F.lit(before).alias("before"), F.lit(after).alias("after")
-        )
+        return df.select(USER, week, F.lit(before).alias("before"), F.lit(after).alias("after"))
 
     rows = tagged(kept, True, True).unionByName(tagged(gone, True, False)).unionByName(tagged(come, False, True))
     moved = F.max(F.col("before") != F.col("after")).alias("moved")
@@ -113,8 +111,8 @@ def _touched_cohorts(kept: DataFrame, gone: DataFrame, come: DataFrame) -> list[
 def refresh(spark: SparkSession, cfg: JobConfig, days: Iterable[date]) -> None:
     """Bring the written tables up to date for ``days`` of the source.
 
-    The event facts are replaced last: if the job dies before that, running it
-    again starts from the same old state and ends in the same tables.
+    What is derived is replaced before what it is derived from, the event facts
+    last. If the job dies in between, running it again ends in the same tables.
     """
     pin_utc(spark)
     days = set(days)
@@ -123,21 +121,24 @@ def refresh(spark: SparkSession, cfg: JobConfig, days: Iterable[date]) -> None:
     affected = days | _days_sharing_events(ods, old, days)
 
     come = settle(cleansed_days(ods, affected), "refreshed-events")
-    gone, kept = old.where(on_days(affected)), old.where(~on_days(affected))
-    day_visits = settle(condense(come, cfg.first_visit), "refreshed-visits")
-    kpi = settle(daily_kpi(day_visits), "refreshed-kpi")
+    come_visits = settle(condense(come, cfg.first_visit), "refreshed-visits")
+    kpi = settle(daily_kpi(come_visits), "refreshed-kpi")
+
+    # Cohorts need the whole history, but only of visits.
+    old_visits = read_table(spark, table_path(cfg, "visits"), come_visits.schema)
+    gone, kept = old_visits.where(on_days(affected)), old_visits.where(~on_days(affected))
 
-    weeks = _touched_cohorts(kept, gone, come)
+    weeks = _touched_cohorts(kept, gone, come_visits)
     known = [w for w in weeks if w is not None]
     chosen = on_days(known, "cohort_week") if known else F.lit(False)
     if len(known) < len(weeks):
         chosen = chosen | F.col("cohort_week").isNull()
-    now = user_weeks(kept.unionByName(come)).where(chosen)
+    now = user_weeks(kept.unionByName(come_visits)).where(chosen)
     cohorts = settle(retention_of(now), "refreshed-cohorts")
 
     items = cleanse_items(read_items(spark, cfg.items_source)).where(on_days(days))
     replace_partitions(settle(items, "refreshed-items"), table_path(cfg, "items"), CONTRACT["items"], days)
-    replace_partitions(day_visits, table_path(cfg, "visits"), INTERNAL["visits"], affected)
     replace_partitions(kpi, table_path(cfg, "daily_kpi"), CONTRACT["daily_kpi"], affected)
     replace_partitions(cohorts, table_path(cfg, "cohort_retention"), INTERNAL["cohort_retention"], weeks)
+    replace_partitions(come_visits, table_path(cfg, "visits"), INTERNAL["visits"], affected)
     replace_partitions(come, table_path(cfg, "events"), CONTRACT["events"], affected)

@@ -9,16 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktide.schemas import DATE
-from clicktide.sources.tables import writer
 
 # Keeps files far below the 2 GB a single hashed value may have.
 MAX_ROWS_PER_FILE = 5_000_000
 
 
 def land(df: DataFrame, path: str, require_rows: bool = True, partition: str | None = DATE) -> int:
-    """Write an extract as ZSTD Parquet and return its row count, taken from the written files."""
-    out = writer(df, partition).option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
-    out.mode("overwrite").parquet(path)
+    """Write an extract as ZSTD Parquet and return its row count, taken from the written files.
+
+    Nothing is shuffled: the source is foldered by day, so a task holds one day
+    or few and writes as many files.
+    """
+    out = df.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+    if partition is not None:
+        out = out.partitionBy(partition)
+    out.parquet(path)
     rows = df.sparkSession.read.schema(df.schema).parquet(path).count()
     if require_rows and rows == 0:
         raise RuntimeError(f"the extract for {path} has no rows")

@@ -132,19 +132,20 @@ def test_random_back_fill(spark, tmp_path, seed):
     check_equals_full(spark, cfg)
 
 
-def test_interrupted_refresh_can_be_repeated(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("table", ["cohort_retention", "visits", "events"])
+def test_interrupted_refresh_can_be_repeated(spark, tmp_path, monkeypatch, table):
     cfg = config(tmp_path)
     land_rows(spark, cfg.events_path, BEFORE + [on(15, user_pseudo_id="late")])
     build(spark, cfg)
     land_rows(spark, cfg.events_path, BEFORE + [on(1, user_pseudo_id="late")])
     days, real = [D0 + timedelta(days=d) for d in (1, 15)], refresh_module.replace_partitions
 
-    def fails_on_events(df, path, partition, values):
-        if path == table_path(cfg, "events"):
+    def fails(df, path, partition, values):
+        if path == table_path(cfg, table):
             raise OSError("lost")
         real(df, path, partition, values)
 
-    monkeypatch.setattr(refresh_module, "replace_partitions", fails_on_events)
+    monkeypatch.setattr(refresh_module, "replace_partitions", fails)
     with pytest.raises(OSError):
         refresh(spark, cfg, days)
     monkeypatch.setattr(refresh_module, "replace_partitions", real)
