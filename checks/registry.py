@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,21 +14,22 @@ from clicktide.functions.numeric import r2, to_places
 from clicktide.operators import kpi, views
 from clicktide.operators.anomaly import daily_anomaly
 from clicktide.operators.channels import channel_summary
-from clicktide.operators.cleanse import cleanse_events, dedupe, raw_defects
+from clicktide.operators.cleanse import cleanse_events, cleanse_items, dedupe, raw_defects
 from clicktide.operators.flatten import flatten_events, flatten_items, repeated_params
 from clicktide.operators.funnel import funnel
 from clicktide.operators.metrics import metrics
 from clicktide.operators.products import product_summary
-from clicktide.operators.quality import quality_report
+from clicktide.operators.quality import quality_report, step_rises
 from clicktide.operators.retention import cohort_retention, weighted_retention
 from clicktide.operators.sessions import session_summary
 from clicktide.operators.users import user_base, user_value
 from clicktide.operators.visits import condense
+from clicktide.plans.extract import extract
 from clicktide.plans.refresh import refresh
 from clicktide.plans.warehouse import JobConfig, table_path
 from clicktide.schemas import EVENTS
 from clicktide.session import scratch_path, settle
-from clicktide.sources.flat import read_events
+from clicktide.sources.flat import read_events, read_items
 from clicktide.sources.landing import land, manifest
 from clicktide.sources.shards import scan_days
 from clicktide.sources.tables import export_contract, read_table, write_table
@@ -56,6 +57,10 @@ def _sessions(events: DataFrame) -> DataFrame:
     return session_summary(events).withColumn("revenue", r2(F.col("revenue")))
 
 
+def _visits(spark: SparkSession, sf: str) -> DataFrame:
+    return condense(b.events(spark, sf), b.FIRST_VISIT).withColumn("revenue", r2(F.col("revenue")))
+
+
 def _anomaly(events: DataFrame) -> DataFrame:
     """Mean and deviation to six places: engines differ in the last bits."""
     found = daily_anomaly(_daily(events))
@@ -143,6 +148,30 @@ def _manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _extract(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested day shards landed as flat events and items, then built up to the daily KPI."""
+    shards, folder = scratch_path(spark, "shards"), scratch_path(spark, "extract")
+    nested = b.nested_events(spark, sf).withColumn("items", F.array(_one_item()))
+    land(nested, shards, partition="event_date")
+    extract(spark, shards, folder, "20240101", "20240130", "20240101", "20240131", nested.schema)
+    landed = read_events(spark, f"{folder}/events")
+    things = cleanse_items(read_items(spark, f"{folder}/items"))
+    sold = things.groupBy("event_date").agg(F.sum("quantity").alias("quantity"))
+    return _daily(cleanse_events(landed)).join(sold, "event_date")
+
+
+def _one_item() -> Column:
+    return F.struct(
+        F.col("event_name").alias("item_id"),
+        F.lit(None).cast("string").alias("item_name"),
+        F.lit(None).cast("string").alias("item_brand"),
+        F.lit(None).cast("string").alias("item_category"),
+        F.lit(1.0).alias("price"),
+        F.lit(2).cast("bigint").alias("quantity"),
+        F.lit(1.0).alias("item_revenue"),
+    )
+
+
 def _contract(spark: SparkSession, sf: str) -> DataFrame:
     """Row count of each exported table, read back from its files."""
     events, items = b.events(spark, sf), b.items(spark, sf)
@@ -201,13 +230,17 @@ def queries() -> dict[str, Query]:
         "trend": _over_events(lambda ev: views.trend(_daily(ev))),
         "summary": _over_events(lambda ev: kpi.summary(ev, "fixture", b.FIRST_VISIT)),
         "build_summary": _build_summary,
+        "visits": _visits,
         "metric_values": _metric_values,
         "metric_conversion": _conversion,
         "funnel": _over_events(_steps),
+        "funnel_monotone": _over_events(lambda ev: step_rises(_steps(ev))),
         "cohort_retention": _over_events(cohort_retention),
+        "retention": _over_events(lambda ev: views.retention(cohort_retention(ev))),
         "weighted_retention": _over_events(lambda ev: weighted_retention(cohort_retention(ev))),
         "week1_recent": _over_events(lambda ev: views.week1_recent(cohort_retention(ev))),
         "channel_summary": _over_events(channel_summary),
+        "channels": _over_events(lambda ev: views.channels(channel_summary(ev))),
         "top_channels": _over_events(lambda ev: views.channels(channel_summary(ev), 7)),
         "product_summary": _over_items(product_summary),
         "products": _over_items(lambda it: views.products(product_summary(it))),
@@ -222,6 +255,7 @@ def queries() -> dict[str, Query]:
         "quality_report": _quality,
         "scan_days": _scan_days,
         "landing_manifest": _manifest,
+        "extract_and_build": _extract,
         "contract_export": _contract,
         "incremental_events": lambda s, d: _refreshed(s, d, "events"),
         "incremental_kpi": lambda s, d: _refreshed(s, d, "daily_kpi"),

@@ -90,10 +90,16 @@ def item_figures(items: DataFrame) -> DataFrame:
     )
 
 
+def step_rises(steps: DataFrame) -> DataFrame:
+    """Funnel steps with the users of the step before and whether the count rises."""
+    before = F.lag("users").over(Window.orderBy("step_order"))  # one row per step
+    return steps.withColumn("previous", before).withColumn(
+        "rises", F.coalesce(F.col("users") > F.col("previous"), F.lit(False))
+    )
+
+
 def mart_figures(marts: Mapping[str, DataFrame]) -> list[DataFrame]:
-    kpi, steps = marts["daily_kpi"], marts["funnel"]
-    # One row per funnel step.
-    before = F.lag("users").over(Window.orderBy("step_order"))
+    kpi = marts["daily_kpi"]
     return [
         kpi.agg(
             F.count(F.lit(1)).alias("kpi_days"),
@@ -102,7 +108,7 @@ def mart_figures(marts: Mapping[str, DataFrame]) -> list[DataFrame]:
         ),
         marts["session_summary"].agg(F.count(F.lit(1)).alias("session_rows")),
         marts["user_value"].agg(F.count(F.lit(1)).alias("user_rows")),
-        steps.select((F.col("users") > before).alias("rises")).agg(F.count_if("rises").alias("rises")),
+        step_rises(marts["funnel"]).agg(F.count_if("rises").alias("rises")),
         marts["cohort_retention"].agg(
             F.count_if((F.col("week_number") == 0) & (F.col("retention_rate_pct") != 100)).alias("short_cohorts")
         ),
