@@ -33,6 +33,6 @@ def empty_items(spark: SparkSession) -> DataFrame:
 
 
 def items_beside(events_path: str) -> str:
-    """Where the items of an event source lie: same folder, ``events`` read as ``items``."""
+    """Where the items of an event source lie: same folder, ``events`` in the name read as ``items``."""
     folder, slash, name = events_path.rstrip("/").rpartition("/")
-    return folder + slash + name.replace("events", "items")
+    return folder + slash + (name.replace("events", "items") if "events" in name else "items")

@@ -190,4 +190,5 @@ def test_missing_events_are_an_error_and_missing_items_are_not(spark, tmp_path,
     items = read_items(spark, str(tmp_path / "none.csv"))
     assert items.schema == schemas.ITEMS and items.count() == 0
     assert items_beside("/a/x_events.parquet") == "/a/x_items.parquet"
+    assert items_beside("/a/clicks") == "/a/items"
     assert read_items(spark, items_beside(fixture_csv)).count() == 2
