@@ -53,17 +53,17 @@ def _time_spans(events: DataFrame, days: set[date]) -> tuple[list[Span], bool]:
     return merged, any(r.untimed for r in per_day)
 
 
-def _near(events: DataFrame, days: set[date], spans: list[Span], untimed: bool) -> DataFrame:
-    """Rows of the days, and rows of other days that may be copies of them.
+def _possible_copies(events: DataFrame, days: set[date], spans: list[Span], untimed: bool) -> DataFrame:
+    """Rows of other days that may be copies of events of these days.
 
     A copy has the same event time, so only rows inside the days' time ranges
-    can matter; file statistics skip nearly all other files.
+    matter. The condition holds on its own for the scan, where file statistics
+    skip nearly everything else.
     """
-    reach = [on_days(days)]
-    reach += [F.col(TIME).between(_instant(lo), _instant(hi)) for lo, hi in spans]
+    reach = [F.col(TIME).between(_instant(lo), _instant(hi)) for lo, hi in spans]
     if untimed:
         reach.append(F.col(TIME).isNull())
-    return events.where(reduce(Column.__or__, reach))
+    return events.where(reduce(Column.__or__, reach, F.lit(False))).where(~on_days(days))
 
 
 def _instant(t: datetime) -> Column:
@@ -77,7 +77,7 @@ def _days_sharing_events(ods: DataFrame, old: DataFrame, days: set[date]) -> set
     # A key new to these days, or gone from them, may change which copy survives.
     here = typed_events(ods).unionByName(old).where(on_days(days))
     spans, untimed = _time_spans(here, days)
-    elsewhere = _near(typed_events(ods), days, spans, untimed).where(~on_days(days))
+    elsewhere = _possible_copies(typed_events(ods), days, spans, untimed)
     # Combined to one row per key and day before the join, however many copies there are.
     a = elsewhere.select(DATE, *key).distinct().alias("a")
     b = here.select(*key).distinct().alias("b")
@@ -90,7 +90,8 @@ def cleansed_days(ods: DataFrame, days: set[date]) -> DataFrame:
     """The rows of ``days`` in a full cleansing of ``ods``."""
     events = typed_events(ods)
     spans, untimed = _time_spans(events, days)
-    return cleanse_events(_near(events, days, spans, untimed)).where(on_days(days))
+    rivals = _possible_copies(events, days, spans, untimed)
+    return cleanse_events(events.where(on_days(days)).unionByName(rivals)).where(on_days(days))
 
 
 def _touched_cohorts(kept: DataFrame, gone: DataFrame, come: DataFrame) -> list[date | None]:

@@ -296,11 +296,11 @@ def test_distributed_scores_equal_small_scores(events):
     assert as_set(user_value(events, one_task_rows=0)) == as_set(user_value(events))
 
 
-def test_large_ranking_never_uses_one_task(events):
+def test_large_ranking_has_no_whole_table_window(events):
     plan = plan_of(user_value(events, one_task_rows=0))
     physical = plan[plan.index("== Physical Plan ==") :]
-    assert "SinglePartition" not in physical.split("FileScan")[0] or "Window" in physical
-    assert "CartesianProduct" not in physical and "NestedLoop" not in physical
+    assert "ntile(" not in physical and "NestedLoop" not in physical and "CartesianProduct" not in physical
+    assert "ntile(" in plan_of(user_value(events))
 
 
 def test_top_k_breaks_ties_by_key(spark):

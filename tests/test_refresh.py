@@ -20,7 +20,7 @@ from clicktide.sources.flat import read_events, read_items
 from clicktide.sources.tables import CONTRACT, read_table, write_table
 from clicktide.streaming.ingest import refresh_arrivals
 
-from conftest import as_set, event, events_of
+from conftest import as_set, event, events_of, plan_of
 
 D0 = date(2020, 11, 2)
 
@@ -72,6 +72,17 @@ def check_equals_full(spark, cfg):
 BEFORE = [on(d, user_pseudo_id=f"u{u}", session_id=f"u{u}-{d}") for d in range(0, 21, 2) for u in range(4)]
 
 
+def test_refresh_scans_its_days_and_time_ranges_only(spark, tmp_path):
+    cfg = config(tmp_path)
+    land_rows(spark, cfg.events_path, BEFORE)
+    plan = plan_of(refresh_module.cleansed_days(read_events(spark, cfg.events_path), {D0}))
+    scans = [line for line in plan[plan.index("== Physical Plan ==") :].splitlines() if "FileScan" in line]
+    own, rivals = scans
+    assert "PartitionFilters: [coalesce((event_date" in own
+    assert "PartitionFilters: [NOT coalesce((event_date" in rivals
+    assert "GreaterThanOrEqual" in rivals[rivals.index("PushedFilters") :]  # on the event time
+
+
 def test_back_fill_moves_cohorts_and_empties_days(spark, tmp_path):
     cfg = config(tmp_path)
     late = [on(15, user_pseudo_id="late"), on(20, user_pseudo_id="late")]
