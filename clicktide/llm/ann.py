@@ -136,14 +136,13 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """
     row = F.struct("vec_id", "embedding", "code", "fit", "length")
     sizes = index.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / CANDIDATE_BLOCK).cast("int").alias("blocks"))
-    held = index.join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")))
+    held = index.join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
     held = held.groupBy("dim", "block").agg(F.collect_list(row).alias("rows"))
     parts = queries.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("parts"))
     asked = queries.join(parts, "dim").withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("parts")))
     asked = asked.groupBy("dim", "part").agg(F.collect_list(F.struct("vec_id", "embedding")).alias("queries"))
     # Each block of queries is sent to each block of candidates.
-    asked = asked.join(sizes, "dim").select("dim", "queries", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).cast("long").alias("block"))
-    held = held.select("dim", F.col("block").cast("long").alias("block"), "rows")
+    asked = asked.join(sizes, "dim").select("dim", "queries", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     # Blocks are few and heavy: a fixed width keeps small partitions from being merged into one task.
     width = max(8, 2 * index.sparkSession.sparkContext.defaultParallelism)
     met = held.repartition(width, "dim", "block").join(asked.repartition(width, "dim", "block"), ["dim", "block"])
