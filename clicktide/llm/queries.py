@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.llm import ann, embed_dedup, packing, simhash, token_counts
+from clicktide.llm import ann, embed_dedup, html_extract, licenses, packing, quality, sentence_pieces, simhash, token_counts, toxicity
 from clicktide.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "path")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache, so that every distinct text is encoded."""
     return token_counts.token_counts(
@@ -28,6 +33,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document and of the text they decode to."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return sentence_pieces.digest(sentence_pieces.encode(table(spark, sf_dir, "documents"), path), path)
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
 
@@ -36,6 +47,22 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/lang/doc_id``; one that is mostly a licence notice is its folder's LICENSE."""
+    text, notice = F.coalesce("text", F.lit("")), r"(?i)^[^\n]{0,40}licen[sc]e[^\n]{0,200}\n?$"
+    name = F.when(text.rlike(notice), F.concat_ws("-", F.lit("LICENSE"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
+    files = table(spark, sf_dir, "documents").select(F.concat_ws("/", "source", "lang", name).alias("path"), "text")
+    return licenses.scan(files)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -47,9 +74,14 @@ def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_html_text": op1_html_text,
         "op2_token_counts": op2_token_counts,
+        "op3_sentence_pieces": op3_sentence_pieces,
         "op4_nearest": op4_nearest,
         "op5_packing": op5_packing,
+        "op6_toxicity": op6_toxicity,
+        "op7_licenses": op7_licenses,
+        "op8_quality": op8_quality,
         "op9_simhash": op9_simhash,
         "op10_embedding_duplicates": op10_embedding_duplicates,
     }
