@@ -36,20 +36,32 @@ BLOCK = 64
 # Lengths of word beginnings, for words that are inflected.
 BEGINNINGS = (4, 5, 6)
 SUPPORT = 4
+# Least chi-square of a feature: few words come so far by chance.
+CLEAR = 25.0
+# Least share of labelled texts among those that have a feature.
+PURE = 0.75
+# Weight of the share of toxic examples in a vote, beside the cosines: far neighbours say little.
+PRIOR = 1.0
 REMEMBERED = 50_000
 
 WORD = re.compile(r"\w+")
 
 
 def features(text: str, known: Callable[[str], object] = lambda f: f) -> Counter:
-    """How often each known feature occurs: ``word`` and ``begin*``."""
+    """How often each known feature occurs: ``word``, ``begin*``, and ``begin*3`` if that many words begin so."""
     found: Counter = Counter()
+    begun: Counter = Counter()
     for word, times in Counter(WORD.findall(text.lower())).items():
         if (f := known(word)) is not None:
             found[f] += times
         for size in BEGINNINGS:
-            if len(word) > size and (f := known(word[:size] + "*")) is not None:
-                found[f] += times
+            if len(word) > size:
+                begun[word[:size]] += times
+    for begin, times in begun.items():
+        if (f := known(begin + "*")) is not None:
+            found[f] += times
+        if times >= 3 and (f := known(begin + "*3")) is not None:
+            found[f] += times
     return found
 
 
@@ -109,7 +121,7 @@ class Model:
     index: BlockMaxIndex
     ids: np.ndarray
     toxic: np.ndarray
-    base: float  # share of toxic examples
+    base: float  # share of toxic texts among all examples
     bare: float  # the same among examples without any feature
     slope: float = 1.0
     offset: float = 0.0
@@ -126,18 +138,19 @@ class Model:
     def vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, list]:
         """Logit of the similarity-weighted vote, and the neighbours as evidence."""
         rows, cosines = self.index.nearest(terms, weights, NEIGHBOURS, without)
-        weight = cosines**2
-        share = (float((weight * self.toxic[rows]).sum()) + self.base) / (float(weight.sum()) + 1.0)
+        share = (float((cosines * self.toxic[rows]).sum()) + PRIOR * self.base) / (float(cosines.sum()) + PRIOR)
+        share = min(max(share, 1e-6), 1 - 1e-6)
         return math.log(share / (1 - share)), list(zip(self.ids[rows].tolist(), cosines.tolist(), self.toxic[rows].tolist(), strict=True))
 
     def calibrate(self, votes: np.ndarray, truth: np.ndarray) -> None:
-        """Logistic regression of the label on the vote, by Newton steps with a little ridge."""
+        """Logistic regression of the label on the vote, held near the vote itself, by halved Newton steps."""
         x = np.c_[votes, np.ones(len(votes))]
-        beta = np.array([1.0, 0.0])
-        for _ in range(30 if len(votes) else 0):
+        start = np.array([1.0, 0.0])
+        beta = start.copy()
+        for _ in range(60 if len(votes) else 0):
             p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-            slope = x.T @ (truth - p) - 0.1 * (beta - [1.0, 0.0])
-            beta = beta + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2), slope)
+            slope = x.T @ (truth - p) - 3.0 * (beta - start)
+            beta = beta + 0.5 * np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 3.0 * np.eye(2), slope)
         self.slope, self.offset = float(beta[0]), float(beta[1])
 
     def score(self, text: str) -> tuple[float, list]:
@@ -181,9 +194,10 @@ def _vocabulary(sample: DataFrame, positive: int, negative: int) -> tuple[dict[s
         b = without.get(f, 0)
         seen = a + b
         expected = seen * positive / total
-        if a * negative > 2 * b * positive:  # clearly more frequent with the label
+        if a >= PURE * (seen + 1):
             spread = expected * (1 - positive / total) * (1 - seen / total)
-            scored.append(((a - expected) ** 2 / max(spread, 1e-9), f, seen))
+            if (clear := (a - expected) ** 2 / max(spread, 1e-9)) >= CLEAR:
+                scored.append((clear, f, seen))
     scored.sort(key=lambda x: (-x[0], x[1]))
     chosen = scored[:FEATURES]
     return {f: i for i, (_, f, _) in enumerate(chosen)}, np.array([math.log((1 + total) / (1 + n)) + 1 for _, _, n in chosen])
@@ -222,7 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES) -> Model:
     held = [(np.array(r["terms"], np.int64), np.array(r["weights"])) for r in full]
     toxic = np.array([r["y"] for r in full], dtype=np.float64)
     rest = (sum(bare) + base) / (len(bare) + 1)
-    model = Model(words, rarity, BlockMaxIndex(held, len(words)), np.array([r["doc_id"] for r in full]), toxic, base, rest)
+    model = Model(words, rarity, BlockMaxIndex(held, len(words)), np.array([r["doc_id"] for r in full], np.int64), toxic, base, rest)
     model.calibrate(*_own_votes(docs, model, held))
     return model
 
