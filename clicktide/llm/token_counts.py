@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from clicktide.llm.common import ready, text_of
 from clicktide.llm.token_ids import token_ids
+from clicktide.session import settle
 from clicktide.sources.tables import path_exists
 
 CACHED = "digest binary, n_tokens long"
@@ -87,5 +88,6 @@ def token_counts(
     digest = F.unhex(F.sha2(content, 256))
     add_misses(docs.select(digest.alias("digest"), content.alias("content")), path, folder)
     rows = docs.select("doc_id", F.octet_length(text_of()).cast("long").alias("n_bytes"), digest.alias("digest"))
-    counted = rows.join(_cached(spark, folder), "digest")
+    # Written first, so that Spark may split a digest with very many rows in the join.
+    counted = rows.join(settle(_cached(spark, folder), "counts"), "digest")
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
