@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -23,6 +24,7 @@ def local_session(cores: int | str = 8, shuffle: int = 8):
     builder = SparkSession.builder.master(f"local[{cores}]").appName("checks")
     for key, value in CLUSTER_CONF.items():
         builder = builder.config(key, value)
+    builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clicktide-"))
     builder = builder.config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", str(shuffle))
     builder = builder.config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
     spark = builder.getOrCreate()

@@ -19,10 +19,6 @@ def traffic(field: str, value: Column) -> Column:
     return F.coalesce(value, F.lit(TRAFFIC_DEFAULTS[field])).alias(field)
 
 
-def fill_traffic(df: DataFrame) -> DataFrame:
-    return df.withColumns({name: traffic(name, F.col(name)) for name in TRAFFIC_DEFAULTS})
-
-
 def _when_and_who() -> list[Column]:
     return [
         F.to_date("event_date", "yyyyMMdd").alias("event_date"),

@@ -76,9 +76,14 @@ def identity_figures(condensed: DataFrame) -> DataFrame:
 
 
 def copy_figures(events: DataFrame) -> DataFrame:
+    """Surplus rows per event identity, counted on a hash of it; rows with equal hashes are counted by identity."""
     keys = [k.alias(f"k{i}") for i, k in enumerate(event_key())]
-    per_key = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(F.sum(F.col("n") - 1).alias("copies"))
+    # NULLs do not change the hash by themselves, so their places are hashed as well.
+    hashed = F.xxhash64(*event_key(), *[k.isNull() for k in event_key()]).alias("h")
+    doubtful = events.groupBy(hashed).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    same = events.select(hashed, *keys).join(doubtful, "h", "left_semi")
+    per_key = same.groupBy("h", *[f"k{i}" for i in range(len(keys))]).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("copies"))
 
 
 def item_figures(items: DataFrame) -> DataFrame:

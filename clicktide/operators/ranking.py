@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from clicktide.session import settle
 
-# Up to this many rows one task ranks the whole table.
-ONE_TASK_ROWS = 200_000
-
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -26,31 +23,18 @@ def bucket_of(position: Column, rows: int, n: int) -> Column:
     return F.when(position < in_larger, head).otherwise(tail).cast("bigint")
 
 
-def ntile_global(
-    df: DataFrame,
-    order: Column,
-    tie: str,
-    n: int,
-    out: str,
-    rows: int,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
-    """Add ``out`` = ntile(n) over all rows, ordered by ``order`` then ``tie``.
+def ntile_global(df: DataFrame, order: Column, tie: str, n: int, out: str, rows: int) -> DataFrame:
+    """``tie`` and ``out`` = ntile(n) over all rows, ordered by ``order`` then ``tie``.
 
-    ``rows`` is the row count of ``df``; ``tie`` must be unique. Beyond
-    ``one_task_rows`` the table is range-sorted once. Each row's place is its
+    ``rows`` is the row count of ``df``; ``tie`` must be unique. Only these
+    columns are range-sorted, once. Each row's place is its
     place within its sort partition plus the sizes of the partitions before.
     Since (order, tie) is unique, many equal ``order`` values still spread over
     all partitions. The sorted rows are written out so that partition numbers
     cannot differ between counting and using them.
     """
-    if rows <= one_task_rows:
-        whole = Window.orderBy(order, F.col(tie))
-        return df.withColumn(out, F.ntile(n).over(whole).cast("bigint"))
-
-    placed = settle(
-        df.orderBy(order, F.col(tie)).withColumn("_place", F.monotonically_increasing_id()), f"ntile-{out}"
-    )
+    ranked = df.orderBy(order, F.col(tie)).select(tie, F.monotonically_increasing_id().alias("_place"))
+    placed = settle(ranked, f"ntile-{out}")
     part = F.shiftright(F.col("_place"), _ROW_BITS)
     # One row per sort partition, so this window and the broadcast are bounded
     # by the shuffle width.
@@ -59,7 +43,7 @@ def ntile_global(
     starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     within = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     located = placed.withColumn("_part", part).join(F.broadcast(starts), "_part")
-    return located.withColumn(out, bucket_of(F.col("_start") + within, rows, n)).drop("_part", "_place", "_start")
+    return located.select(tie, bucket_of(F.col("_start") + within, rows, n).alias(out))
 
 
 def top_k(df: DataFrame, by: str, ties: Sequence[str], k: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicktide.operators.visits import visits
+from clicktide.operators.visits import condense, is_visits
 from clicktide.schemas import SESSION, USER
 
 
@@ -13,9 +13,11 @@ def session_summary(events: DataFrame) -> DataFrame:
     """One row per (session, user); events without a session are left out.
 
     Source, medium and campaign come together from the session's earliest event.
-    Takes cleansed events or visits.
+    Takes cleansed events or visits. Events are condensed first: the earliest of a
+    session is a struct, which Spark aggregates by sorting.
     """
-    parts = visits(events).where(F.col(SESSION).isNotNull())
+    parts = events.where(F.col(SESSION).isNotNull())
+    parts = parts if is_visits(parts) else condense(parts)
     undated = F.col("first_at").isNull()  # false sorts first
     first = F.min(F.struct(undated.alias("undated"), "first_at", "source", "medium", "campaign"))
     grouped = parts.groupBy(SESSION, USER).agg(

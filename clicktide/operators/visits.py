@@ -23,12 +23,16 @@ def is_event(name: str) -> Column:
     return F.col(NAME) == name
 
 
+def is_visits(df: DataFrame) -> bool:
+    return {"first_at", "is_new", "bought", *GRAIN} <= set(df.columns)
+
+
 def visits(events: DataFrame, first_visit: str = FIRST_VISIT) -> DataFrame:
     """One row per event, or the table itself when it holds visits already.
 
     ``order_id`` is the transaction of a purchase and NULL on other events.
     """
-    if ORDER_ID in events.columns:
+    if is_visits(events):
         return events
     return events.select(
         *GRAIN[:-1],

@@ -1,4 +1,4 @@
-"""The analysis summary: one small DataFrame per section."""
+"""The analysis summary: one small DataFrame per section, from a build's written tables."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from clicktide.operators.retention import weighted_retention
 def analysis_summary(tables: Mapping[str, DataFrame], top: int = 10) -> dict[str, DataFrame]:
     products = views.products(tables["product_summary"], top)
     return {
-        "summary": summary(tables["events"]),
+        "summary": summary(tables["visits"]),
         "funnel": views.funnel_steps(tables["funnel"]),
         "retention_weeks_0_to_4": weighted_retention(tables["cohort_retention"]).orderBy("week_number"),
         "top_channels": views.channels(tables["channel_summary"], top),

@@ -1,59 +1,62 @@
 """Incremental refresh: new or back-filled days without rebuilding the rest.
 
-The result equals a full build over the same source for the event and item
-facts, the daily KPI and the retention cohorts.
+The result equals a full build over the same source, for every table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clicktide.functions.dates import week_start
 from clicktide.operators.cleanse import cleanse_events, cleanse_items, event_key, typed_events
 from clicktide.operators.kpi import daily_kpi
-from clicktide.operators.retention import retention_of, user_weeks
+from clicktide.operators.retention import cohort_retention, retention_of, user_weeks
 from clicktide.operators.visits import condense
-from clicktide.plans.warehouse import INTERNAL, JobConfig, table_path
-from clicktide.schemas import DATE, EVENTS, ITEMS, TIME, USER
-from clicktide.session import pin_utc, settle
-from clicktide.sources.flat import read_events, read_items
+from clicktide.plans.warehouse import INTERNAL, JobConfig, dependent_marts, table_path
+from clicktide.schemas import DATE, EVENTS, TIME, USER
+from clicktide.session import require_strict, scratch_scope, settle
+from clicktide.sources.flat import empty_items, read_events, read_items
 from clicktide.sources.tables import CONTRACT, read_table, replace_partitions
 
 Span = tuple[datetime, datetime]
 
 
-def on_days(days: Iterable[date], column: str = DATE) -> Column:
-    """True for rows of these days, false (never NULL) for all others."""
-    return F.coalesce(F.col(column).isin(list(days)), F.lit(False))
+def on_days(days: Iterable[date | None], column: str = DATE) -> Column:
+    """True for rows of these days, false (never NULL) for all others. None stands for rows without a day."""
+    days = set(days)
+    known = sorted(days - {None})
+    hit = F.coalesce(F.col(column).isin(known), F.lit(False)) if known else F.lit(False)
+    return hit | F.col(column).isNull() if None in days else hit
+
 
+def _time_spans(events: DataFrame, days: set[date | None]) -> tuple[list[Span], bool]:
+    """Time ranges of the hours present on these days, adjoining ones joined, and whether any time is missing.
 
-def _time_spans(events: DataFrame, days: set[date]) -> tuple[list[Span], bool]:
-    """Time range per day, overlapping ones joined, and whether any time is missing."""
-    per_day = (
+    An event with a wrong clock makes a short range of its own instead of
+    widening that of its day.
+    """
+    per_hour = (
         events.where(on_days(days))
-        .groupBy(DATE)
-        .agg(
-            F.min(TIME).cast("timestamp_ntz").alias("lo"),
-            F.max(TIME).cast("timestamp_ntz").alias("hi"),
-            F.max(F.col(TIME).isNull()).alias("untimed"),
-        )
-        .collect()  # one row per refreshed day
+        .groupBy(F.date_trunc("hour", TIME).alias("hour"))
+        .agg(F.min(TIME).cast("timestamp_ntz").alias("lo"), F.max(TIME).cast("timestamp_ntz").alias("hi"))
+        .collect()  # one row per hour of the refreshed days, and one per odd hour
     )
     merged: list[Span] = []
-    for lo, hi in sorted((r.lo, r.hi) for r in per_day if r.lo is not None):
-        if merged and lo <= merged[-1][1]:
+    for lo, hi in sorted((r.lo, r.hi) for r in per_hour if r.hour is not None):
+        if merged and lo - merged[-1][1] <= timedelta(hours=1):
             merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
         else:
             merged.append((lo, hi))
-    return merged, any(r.untimed for r in per_day)
+    return merged, any(r.hour is None for r in per_hour)
 
 
-def _possible_copies(events: DataFrame, days: set[date], spans: list[Span], untimed: bool) -> DataFrame:
+def _possible_copies(events: DataFrame, days: set[date | None], spans: list[Span], untimed: bool) -> DataFrame:
     """Rows of other days that may be copies of events of these days.
 
     A copy has the same event time, so only rows inside the days' time ranges
@@ -70,7 +73,7 @@ def _instant(t: datetime) -> Column:
     return F.lit(t.isoformat(sep=" ")).cast("timestamp")
 
 
-def _days_sharing_events(ods: DataFrame, old: DataFrame, days: set[date]) -> set[date]:
+def _days_sharing_events(ods: DataFrame, old: DataFrame, days: set[date | None]) -> set[date | None]:
     """Other days with a copy of an event that is, or was, dated on one of ``days``."""
     key = [k.alias(f"k{i}") for i, k in enumerate(event_key())]
     names = [f"k{i}" for i in range(len(key))]
@@ -83,10 +86,10 @@ def _days_sharing_events(ods: DataFrame, old: DataFrame, days: set[date]) -> set
     b = here.select(*key).distinct().alias("b")
     same = reduce(Column.__and__, [F.col(f"a.{n}").eqNullSafe(F.col(f"b.{n}")) for n in names])
     shared = a.join(b, same, "left_semi").select(DATE).distinct()
-    return {r[0] for r in shared.collect() if r[0] is not None}  # one row per day
+    return {r[0] for r in shared.collect()}  # one row per day
 
 
-def cleansed_days(ods: DataFrame, days: set[date]) -> DataFrame:
+def cleansed_days(ods: DataFrame, days: set[date | None]) -> DataFrame:
     """The rows of ``days`` in a full cleansing of ``ods``."""
     events = typed_events(ods)
     spans, untimed = _time_spans(events, days)
@@ -94,29 +97,58 @@ def cleansed_days(ods: DataFrame, days: set[date]) -> DataFrame:
     return cleanse_events(events.where(on_days(days)).unionByName(rivals)).where(on_days(days))
 
 
-def _touched_cohorts(kept: DataFrame, gone: DataFrame, come: DataFrame) -> list[date | None]:
-    """Cohort weeks, before and after, of every user with rows in the refreshed days."""
+def _moved_users(weeks: DataFrame, now: DataFrame, touched: set[date | None]) -> DataFrame:
+    """Users who gained or lost an active week among ``touched``."""
+    before = weeks.where(on_days(touched, "active_week")).select(USER, "active_week", F.lit(-1).alias("side"))
+    after = now.select(USER, "active_week", F.lit(1).alias("side"))
+    changed = before.unionByName(after).groupBy(USER, "active_week").agg(F.sum("side").alias("side")).where("side != 0")
+    return changed.select(USER).distinct()
+
+
+def _refreshed_weeks(weeks: DataFrame, visits: DataFrame, touched: set[date | None]) -> tuple[DataFrame, DataFrame]:
+    """The moved users' week rows as stored and as they are now.
+
+    ``weeks`` is the stored (user, active week, cohort week) table and ``visits``
+    the visits in the touched weeks, already refreshed. Only these weeks are
+    looked at in visits; all other weeks of a user are taken from ``weeks``.
+    """
+    now = visits.select(USER, week_start(F.col(DATE)).alias("active_week")).distinct()
+    moved = settle(_moved_users(weeks, now, touched), "moved-users")
+    stored = settle(weeks.join(moved, USER, "left_semi"), "moved-weeks")
+    kept = stored.where(~on_days(touched, "active_week")).select(USER, "active_week")
+    come = kept.unionByName(now.join(moved, USER, "left_semi"))
+    first = F.min("active_week").over(Window.partitionBy(USER))  # a row per week of a user
+    return stored, settle(come.withColumn("cohort_week", first), "new-weeks")
 
-    def tagged(df: DataFrame, before: bool, after: bool) -> DataFrame:
-        week = week_start(F.col(DATE)).alias("week")
-        return df.select(USER, week, F.lit(before).alias("before"), F.lit(after).alias("after"))
 
-    rows = tagged(kept, True, True).unionByName(tagged(gone, True, False)).unionByName(tagged(come, False, True))
-    moved = F.max(F.col("before") != F.col("after")).alias("moved")
-    first = {side: F.min(F.when(F.col(side), F.col("week"))).alias(f"{side}_week") for side in ("before", "after")}
-    users = rows.groupBy(USER).agg(moved, *first.values()).where("moved")
-    weeks = users.select(F.explode(F.array("before_week", "after_week")).alias("week")).distinct()
-    return [r[0] for r in weeks.collect()]  # one row per week
+def _monday(day: date | None) -> date | None:
+    return None if day is None else day - timedelta(days=day.weekday())
 
 
-def refresh(spark: SparkSession, cfg: JobConfig, days: Iterable[date]) -> None:
-    """Bring the written tables up to date for ``days`` of the source.
+def refresh(spark: SparkSession, cfg: JobConfig, days: Iterable[date | None]) -> None:
+    """Bring all written tables up to date for ``days`` of the source; None names rows without a day.
 
-    What is derived is replaced before what it is derived from, the event facts
-    last. If the job dies in between, running it again ends in the same tables.
+    Facts, visits, daily KPI and cohorts are refreshed by day and by cohort.
+    The marts over all days are then made anew, from visits, items and KPI. What
+    is derived is replaced before what it is derived from, the event facts last;
+    if the job dies in between, running it again ends in the same tables.
     """
-    pin_utc(spark)
-    days = set(days)
+    require_strict(spark)
+    with scratch_scope(spark):
+        _refresh_facts(spark, cfg, set(days))
+    done = {name: spark.read.schema(schema).parquet(table_path(cfg, name)).select(*schema.fieldNames()) for name, schema in _schemas(spark).items()}
+    dependent_marts(spark, cfg, done)
+
+
+def _schemas(spark: SparkSession) -> dict[str, T.StructType]:
+    """Schemas of the tables that the other marts are made from."""
+    events = spark.createDataFrame([], EVENTS)
+    made = {"visits": condense(events), "daily_kpi": daily_kpi(events), "user_weeks": user_weeks(events), "cohort_retention": cohort_retention(events)}
+    return {"events": EVENTS, "items": cleanse_items(empty_items(spark)).schema} | {name: df.schema for name, df in made.items()}
+
+
+def _refresh_facts(spark: SparkSession, cfg: JobConfig, days: set[date | None]) -> None:
+    schemas = _schemas(spark)
     ods = read_events(spark, cfg.events_path)
     old = read_table(spark, table_path(cfg, "events"), EVENTS)
     affected = days | _days_sharing_events(ods, old, days)
@@ -125,21 +157,25 @@ def refresh(spark: SparkSession, cfg: JobConfig, days: Iterable[date]) -> None:
     come_visits = settle(condense(come, cfg.first_visit), "refreshed-visits")
     kpi = settle(daily_kpi(come_visits), "refreshed-kpi")
 
-    # Cohorts need the whole history, but only of visits.
-    old_visits = read_table(spark, table_path(cfg, "visits"), come_visits.schema)
-    gone, kept = old_visits.where(on_days(affected)), old_visits.where(~on_days(affected))
-
-    weeks = _touched_cohorts(kept, gone, come_visits)
-    known = [w for w in weeks if w is not None]
-    chosen = on_days(known, "cohort_week") if known else F.lit(False)
-    if len(known) < len(weeks):
-        chosen = chosen | F.col("cohort_week").isNull()
-    now = user_weeks(kept.unionByName(come_visits)).where(chosen)
-    cohorts = settle(retention_of(now), "refreshed-cohorts")
+    # Visits of the touched weeks: the stored days that stay, and the refreshed ones.
+    touched = {_monday(d) for d in affected}
+    in_weeks = {monday + timedelta(days=n) if monday else None for monday in touched for n in range(7)}
+    stored_visits = read_table(spark, table_path(cfg, "visits"), schemas["visits"])
+    around = stored_visits.where(on_days(in_weeks - affected)).unionByName(come_visits)
+
+    weeks = read_table(spark, table_path(cfg, "user_weeks"), schemas["user_weeks"])
+    gone, new_weeks = _refreshed_weeks(weeks, around, touched)
+    both = gone.select("cohort_week").unionByName(new_weeks.select("cohort_week")).distinct()
+    cohorts = {r[0] for r in both.collect()}  # one row per week
+    # Only the folders of these cohorts are read and written.
+    stay = weeks.where(on_days(cohorts, "cohort_week")).join(gone.select(USER).distinct(), USER, "left_anti")
+    current = settle(stay.select(*new_weeks.columns).unionByName(new_weeks), "cohort-weeks")
+    retention = settle(retention_of(current), "refreshed-cohorts")
 
     items = cleanse_items(read_items(spark, cfg.items_source)).where(on_days(days))
     replace_partitions(settle(items, "refreshed-items"), table_path(cfg, "items"), CONTRACT["items"], days)
     replace_partitions(kpi, table_path(cfg, "daily_kpi"), CONTRACT["daily_kpi"], affected)
-    replace_partitions(cohorts, table_path(cfg, "cohort_retention"), INTERNAL["cohort_retention"], weeks)
+    replace_partitions(retention, table_path(cfg, "cohort_retention"), INTERNAL["cohort_retention"], cohorts)
+    replace_partitions(current, table_path(cfg, "user_weeks"), INTERNAL["user_weeks"], cohorts)
     replace_partitions(come_visits, table_path(cfg, "visits"), INTERNAL["visits"], affected)
     replace_partitions(come, table_path(cfg, "events"), CONTRACT["events"], affected)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,15 +10,15 @@ from clicktide.operators.anomaly import daily_anomaly
 from clicktide.operators.channels import channel_summary
 from clicktide.operators.cleanse import cleanse_events, cleanse_items
 from clicktide.operators.funnel import CHECKOUT_STEPS, funnel
-from clicktide.operators.kpi import build_metadata, build_summary, daily_kpi
+from clicktide.operators.kpi import build_metadata, build_summary, daily_kpi, summary
 from clicktide.operators.products import product_summary
 from clicktide.operators.quality import FIXTURE, Bounds, quality_report
-from clicktide.operators.retention import cohort_retention
+from clicktide.operators.retention import retention_of, user_weeks
 from clicktide.operators.sessions import session_summary
 from clicktide.operators.users import user_value
 from clicktide.operators.visits import condense
 from clicktide.schemas import DATE, FIRST_VISIT
-from clicktide.session import pin_utc
+from clicktide.session import require_strict, scratch_scope
 from clicktide.sources.flat import items_beside, read_events, read_items
 from clicktide.sources.tables import CONTRACT, write_table
 
@@ -29,24 +28,29 @@ OFFICIAL = "official_bigquery_export"
 # Tables kept for later steps but not part of the contract, with their folder column.
 INTERNAL = {
     "visits": DATE,
+    "user_weeks": "cohort_week",
     "session_summary": None,
     "cohort_retention": "cohort_week",
     "daily_anomaly": None,
     "build_metadata": None,
     "build_summary": None,
+    "summary": None,
     "quality_report": None,
 }
 
 
 @dataclass(frozen=True)
 class JobConfig:
-    """``base`` receives the tables; fixture runs write to folders of their own."""
+    """``base`` receives the tables; fixture runs write to folders of their own.
+
+    ``bounds`` are the first and last day that the quality rules expect.
+    """
 
     base: str
     events_path: str
+    bounds: Bounds
     items_path: str | None = None
     fixture: bool = False
-    bounds: Bounds = Bounds(date(2020, 11, 1), date(2021, 1, 31))
     prefix: str = ""
     first_visit: str = FIRST_VISIT
     steps: tuple[tuple[str, str], ...] = CHECKOUT_STEPS
@@ -70,6 +74,35 @@ def table_path(cfg: JobConfig, name: str) -> str:
     return f"{out_dir(cfg, 'warehouse')}/{name}"
 
 
+def keep(cfg: JobConfig, done: dict[str, DataFrame], name: str, df: DataFrame) -> None:
+    """Write a table in its place and note it as read back from there."""
+    done[name] = write_table(df, table_path(cfg, name), {**CONTRACT, **INTERNAL}[name])
+
+
+def dependent_marts(spark: SparkSession, cfg: JobConfig, done: dict[str, DataFrame]) -> None:
+    """Write every table that is made anew from facts, visits, daily KPI and cohorts, quality last.
+
+    All but the funnel and the row rules come from visits, items or marts. The
+    scratch tables of a mart go as soon as it is written.
+    """
+    events, items, condensed = done["events"], done["items"], done["visits"]
+    made = {
+        "session_summary": lambda: session_summary(condensed),
+        "funnel": lambda: funnel(events, cfg.steps),
+        "channel_summary": lambda: channel_summary(condensed),
+        "user_value": lambda: user_value(condensed),
+        "product_summary": lambda: product_summary(items),
+        "daily_anomaly": lambda: daily_anomaly(done["daily_kpi"]),
+        "build_metadata": lambda: build_metadata(spark, cfg.mode),
+        "build_summary": lambda: build_summary(condensed, items, cfg.mode),
+        "summary": lambda: summary(condensed, cfg.mode),
+        "quality_report": lambda: quality_report(done, cfg.bounds, cfg.mode),
+    }
+    for name, table in made.items():
+        with scratch_scope(spark):
+            keep(cfg, done, name, table())
+
+
 def run(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     """Build every table and return each as read back from where it was written.
 
@@ -78,27 +111,13 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     for the row checks, and once to condense them into visits, which all other
     marts are derived from.
     """
-    pin_utc(spark)
+    require_strict(spark)
     done: dict[str, DataFrame] = {}
-
-    def keep(name: str, df: DataFrame) -> None:
-        partition = {**CONTRACT, **INTERNAL}[name]
-        done[name] = write_table(df, table_path(cfg, name), partition)
-
-    keep("events", cleanse_events(read_events(spark, cfg.events_path)))
-    keep("items", cleanse_items(read_items(spark, cfg.items_source)))
-    events, items = done["events"], done["items"]
-    keep("visits", condense(events, cfg.first_visit))
-    condensed = done["visits"]
-    keep("session_summary", session_summary(condensed))
-    keep("daily_kpi", daily_kpi(condensed))
-    keep("funnel", funnel(events, cfg.steps))
-    keep("cohort_retention", cohort_retention(condensed))
-    keep("channel_summary", channel_summary(condensed))
-    keep("user_value", user_value(condensed))
-    keep("product_summary", product_summary(items))
-    keep("daily_anomaly", daily_anomaly(done["daily_kpi"]))
-    keep("build_metadata", build_metadata(spark, cfg.mode))
-    keep("build_summary", build_summary(condensed, items, cfg.mode))
-    keep("quality_report", quality_report(done, cfg.bounds, cfg.mode))
+    keep(cfg, done, "events", cleanse_events(read_events(spark, cfg.events_path)))
+    keep(cfg, done, "items", cleanse_items(read_items(spark, cfg.items_source)))
+    keep(cfg, done, "visits", condense(done["events"], cfg.first_visit))
+    keep(cfg, done, "daily_kpi", daily_kpi(done["visits"]))
+    keep(cfg, done, "user_weeks", user_weeks(done["visits"]))
+    keep(cfg, done, "cohort_retention", retention_of(done["user_weeks"]))
+    dependent_marts(spark, cfg, done)
     return done

@@ -46,7 +46,10 @@ EVENTS_CSV = _record(
     total_item_quantity=_TEXT,
     device_category=_TEXT,
     country=_TEXT,
+    is_entrance=T.BooleanType(),
 )
+# Columns that an older extract may lack.
+OPTIONAL = {"is_entrance"}
 ITEMS_CSV = _record(
     event_date=_DAY,
     event_timestamp=_MOMENT,
@@ -62,6 +65,14 @@ ITEMS_CSV = _record(
     item_revenue=_TEXT,
 )
 
+# The same events as landed in Parquet, amounts typed.
+EXTRACTED_EVENTS = T.StructType(
+    [
+        T.StructField(f.name, {"purchase_revenue": _AMOUNT, "total_item_quantity": _COUNT}.get(f.name, f.dataType))
+        for f in EVENTS_CSV
+    ]
+)
+
 EVENTS = _record(
     event_date=_DAY,
     event_timestamp=_MOMENT,

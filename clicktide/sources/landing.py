@@ -7,20 +7,21 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clicktide.schemas import DATE
 
-# Keeps files far below the 2 GB a single hashed value may have.
-MAX_ROWS_PER_FILE = 5_000_000
+# Files up to this size are hashed as they lie; Spark holds such a file as one value.
+HASHED_BYTES = 256 << 20
 
 
 def land(df: DataFrame, path: str, require_rows: bool = True, partition: str | None = DATE) -> int:
     """Write an extract as ZSTD Parquet and return its row count, taken from the written files.
 
     Nothing is shuffled: the source is foldered by day, so a task holds one day
-    or few and writes as many files.
+    or few and writes as many files, each of no more than one input split.
     """
-    out = df.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+    out = df.write.mode("overwrite").option("compression", "zstd")
     if partition is not None:
         out = out.partitionBy(partition)
     out.parquet(path)
@@ -33,7 +34,12 @@ def land(df: DataFrame, path: str, require_rows: bool = True, partition: str | N
 def manifest(
     spark: SparkSession, outputs: Mapping[str, str], source: str, start: str, end: str
 ) -> DataFrame:
-    """One row per landed file: output, rows, bytes and SHA-256, with source, range and time."""
+    """One row per landed file: output, rows, bytes and hashes, with source, range and time.
+
+    ``content`` is a hash of the file's rows that does not depend on their order,
+    computed without holding the file. ``sha256`` of the file's bytes is there for
+    files up to ``HASHED_BYTES`` and NULL for larger ones.
+    """
     files = reduce(DataFrame.unionByName, [_files(spark, name, path) for name, path in outputs.items()])
     return files.select(
         F.lit(source).alias("source"),
@@ -45,21 +51,24 @@ def manifest(
         "rows",
         "bytes",
         "sha256",
+        "content",
     )
 
 
 def _files(spark: SparkSession, name: str, path: str) -> DataFrame:
     file = F.col("_metadata.file_path").alias("file")
-    hashed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select(file, F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-    )
-    # Reads no column: the counts come from the file footers.
-    rows = spark.read.parquet(path).groupBy(file).agg(F.count(F.lit(1)).alias("rows"))
-    both = hashed.join(rows, "file", "left")
-    return both.select(
-        F.lit(name).alias("output"), "file", F.coalesce("rows", F.lit(0)).alias("rows"), "bytes", "sha256"
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    sizes = found.select(file, F.col("length").alias("bytes"))  # reads no content
+    # The filter is pushed down: content of larger files is never read.
+    hashed = found.where(F.col("length") <= HASHED_BYTES).select(file, F.sha2("content", 256).alias("sha256"))
+    landed = spark.read.parquet(path)
+    row = F.xxhash64(*[F.to_json(F.struct(c)) if _nested(landed, c) else F.col(c) for c in landed.columns])
+    rows = landed.select(file, row.alias("row")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("row").cast("decimal(38,0)")).cast("string").alias("content")
     )
+    both = sizes.join(hashed, "file", "left").join(rows, "file", "left")
+    return both.select(F.lit(name).alias("output"), "file", F.coalesce("rows", F.lit(0)).alias("rows"), "bytes", "sha256", "content")
+
+
+def _nested(df: DataFrame, column: str) -> bool:
+    return not isinstance(df.schema[column].dataType, T.AtomicType)

@@ -26,9 +26,8 @@ def refresh_arrivals(spark: SparkSession, cfg: JobConfig, schema: T.StructType,
 
     def on_batch(batch: DataFrame, _: int) -> None:
         days = batch.select(F.col(DATE).cast("date")).distinct().collect()  # one row per day
-        known = {r[0] for r in days if r[0] is not None}
-        if known:
-            refresh(batch.sparkSession, cfg, known)
+        if days:
+            refresh(batch.sparkSession, cfg, [r[0] for r in days])
 
     arrivals = spark.readStream.schema(schema).parquet(cfg.events_path).select(DATE)
     return (

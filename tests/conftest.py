@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import sys
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
@@ -10,67 +10,59 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from checks.compare import local_session  # noqa: E402
 from clicktide import schemas  # noqa: E402
-from clicktide.operators.funnel import CHECKOUT_STEPS  # noqa: E402
-
-# One line per session: user, number, start, steps taken (one a minute), source,
-# medium, campaign, order, amount, device, country.
-SESSIONS = [
-    ("u1", 1, "2020-11-01 09:00", 5, "search", "organic", "(not set)", "t1", 99.5, "desktop", "United States"),
-    ("u2", 1, "2020-11-01 10:00", 3, "(direct)", "(none)", "(not set)", None, 0, "mobile", "Canada"),
-    ("u3", 1, "2020-11-02 11:00", 4, "letter", "email", "november", None, 0, "tablet", "United States"),
-    ("u4", 1, "2020-11-03 12:00", 5, "video", "referral", "clip", "t2", 45.0, "mobile", "India"),
-    ("u1", 2, "2020-11-08 09:00", 2, "search", "organic", "(not set)", None, 0, "desktop", "United States"),
-    ("u5", 1, "2020-11-09 14:00", 1, "search", "cpc", "winter", None, 0, "mobile", "United Kingdom"),
+
+# Time, name, user, session, channel, order, amount, country. Copies, tied times,
+# missing users, names, sessions and orders, unreadable and negative amounts.
+CHANNELS = {"-": ("", "", ""), "r": ("radar", "paid", "spring"), "p": ("post", "owned", "")}
+CLICKS = [
+    ("2021-03-03 08:00:00", "first_visit", "ana", "a-7", "-", "", "0", "Peru"),
+    ("2021-03-03 08:00:00", "page_view", "ana", "a-7", "-", "", "0", "Peru"),
+    ("2021-03-03 08:05:00", "view_item", "ana", "a-7", "-", "", "", "Peru"),
+    ("2021-03-03 08:06:00", "add_to_cart", "ana", "a-7", "-", "", "", "Peru"),
+    ("2021-03-03 08:09:00", "begin_checkout", "ana", "a-7", "-", "", "", "Peru"),
+    ("2021-03-03 08:12:00", "purchase", "ana", "a-7", "-", "o-11", "30.25", "Peru"),
+    ("2021-03-03 08:12:00", "purchase", "ana", "a-7", "-", "o-11", "30.25", "Chile"),
+    ("2021-03-03 21:00:00", "page_view", "bo", "b-1", "r", "", "0", "Mali"),
+    ("2021-03-04 00:10:00", "view_item", "bo", "b-1", "r", "", "0", "Mali"),
+    ("2021-03-04 09:00:00", "purchase", "cy", "c-2", "p", "", "12,5", ""),
+    ("2021-03-04 09:00:00", "page_view", "cy", "c-2", "p", "", "", ""),
+    ("2021-03-04 10:00:00", "page_view", "", "x-1", "p", "", "", "Mali"),
+    ("2021-03-04 11:00:00", "", "di", "d-1", "p", "", "", "Mali"),
+    ("2021-03-12 07:30:00", "page_view", "ana", "a-8", "r", "", "", "Peru"),
+    ("2021-03-12 07:32:00", "purchase", "ana", "a-8", "r", "o-12", "-5", "Peru"),
+    ("2021-03-12 18:00:00", "purchase", "bo", "b-2", "r", "o-13", "8.4", "Mali"),
+    ("2021-03-12 18:00:00", "purchase", "bo", "b-3", "r", "o-13", "8.4", "Mali"),
+    ("2021-03-20 12:00:00", "page_view", "ed", "", "-", "", "", "Oman"),
+    ("2021-03-20 12:30:00", "first_visit", "fay", "f-1", "p", "", "", "Oman"),
+    ("2021-03-20 12:31:00", "page_view", "fay", "f-1", "p", "", "", "Oman"),
 ]
-ITEMS = [
-    ("2020-11-01 09:04:00", "u1", "t1", "i1", "Shirt", "Demo", "Apparel", 99.5),
-    ("2020-11-03 12:04:00", "u4", "t2", "i2", "Mug", "Demo", "Home", 45.0),
+# Time, user, order, id, name, brand, category, price, quantity, revenue.
+BASKETS = [
+    ("2021-03-03 08:12:00", "ana", "o-11", "k7", "Kettle", "Brum", "Kitchen", "15.25", "1", "15.25"),
+    ("2021-03-03 08:12:00", "ana", "o-11", "k9", "Cup", "Brum", "Kitchen", "7.5", "2", "15.0"),
+    ("2021-03-12 07:32:00", "ana", "o-12", "k9", "Cup", "Brum", "Kitchen", "7.5", "1", "-7.5"),
+    ("2021-03-12 18:00:00", "bo", "o-13", "", "", "", "", "n/a", "two", "8.4"),
 ]
 
 
-def session_rows(session: tuple) -> list[dict]:
-    user, number, start, steps, source, medium, campaign, order, amount, device, country = session
+def event_rows() -> list[dict]:
     rows = []
-    for i in range(steps):
-        at = datetime.fromisoformat(start) + timedelta(minutes=i)
-        bought = CHECKOUT_STEPS[i][0] == "purchase"
-        rows.append(
-            {
-                "event_date": at.date(),
-                "event_timestamp": at,
-                "event_name": CHECKOUT_STEPS[i][0],
-                "user_pseudo_id": user,
-                "session_id": f"{user}-{number}",
-                "source": source,
-                "medium": medium,
-                "campaign": campaign,
-                "page_location": f"/p/{i}",
-                "transaction_id": order if bought else None,
-                "purchase_revenue": amount if bought else 0,
-                "total_item_quantity": 1 if i >= 2 else 0,
-                "device_category": device,
-                "country": country,
-            }
-        )
+    for at, name, user, session, channel, order, amount, country in CLICKS:
+        source, medium, campaign = CHANNELS[channel]
+        values = (at[:10], at, name, user, session, source, medium, campaign, "/shop", order, amount, "1", "phone", country)
+        rows.append(dict(zip(schemas.EVENTS_CSV.names, values, strict=False)))
     return rows
 
 
-def event_rows() -> list[dict]:
-    return [row for session in SESSIONS for row in session_rows(session)]
-
-
 def write_csv(path: Path, rows: list[dict]) -> None:
     lines = [",".join(rows[0])]
-    lines += [",".join("" if v is None else str(v) for v in row.values()) for row in rows]
+    lines += [",".join("" if v is None else f'"{v}"' if "," in str(v) else str(v) for v in row.values()) for row in rows]
     path.write_text("\n".join(lines) + "\n")
 
 
 def item_rows() -> list[dict]:
     names = schemas.ITEMS.fieldNames()
-    return [
-        dict(zip(names, [at[:10], at, "purchase", user, order, item, name, brand, kind, price, 1, price]))
-        for at, user, order, item, name, brand, kind, price in ITEMS
-    ]
+    return [dict(zip(names, (row[0][:10], row[0], "purchase", *row[1:]), strict=True)) for row in BASKETS]
 
 
 @pytest.fixture(scope="session")

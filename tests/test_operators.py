@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Window
@@ -21,6 +22,7 @@ from clicktide.operators.sessions import session_summary
 from clicktide.operators.users import user_value
 from clicktide.operators.visits import condense
 from clicktide.schemas import EVENTS, ITEMS, NESTED_EVENTS
+from clicktide.session import scratch_root, scratch_scope
 
 from conftest import as_set, event, events_of, plan_of
 
@@ -281,7 +283,7 @@ def test_distributed_ntile_equals_builtin(spark, rows):
         F.concat(F.lit("u"), F.col("id")).alias("u"), F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(0).alias("x")
     )
     want = df.withColumn("b", F.ntile(5).over(Window.orderBy("x", "u")).cast("bigint"))
-    got = ntile_global(df, F.col("x").asc(), "u", 5, "b", rows, one_task_rows=0)
+    got = df.join(ntile_global(df, F.col("x").asc(), "u", 5, "b", rows), "u")
     assert as_set(got) == as_set(want)
 
 
@@ -292,15 +294,26 @@ def test_bucket_sizes(spark):
         assert [r["count"] for r in sizes] == [w for w in want if w]
 
 
-def test_distributed_scores_equal_small_scores(events):
-    assert as_set(user_value(events, one_task_rows=0)) == as_set(user_value(events))
-
-
-def test_large_ranking_has_no_whole_table_window(events):
-    plan = plan_of(user_value(events, one_task_rows=0))
+def test_ranking_has_no_whole_table_window(events):
+    plan = plan_of(user_value(events))
     physical = plan[plan.index("== Physical Plan ==") :]
     assert "ntile(" not in physical and "NestedLoop" not in physical and "CartesianProduct" not in physical
-    assert "ntile(" in plan_of(user_value(events))
+
+
+def test_scratch_of_a_ranking_goes_with_its_scope(spark, events):
+    root = Path(scratch_root(spark))
+    before = set(root.iterdir())
+    with scratch_scope(spark):
+        user_value(events).count()
+        assert len(set(root.iterdir()) - before) == 4
+    assert set(root.iterdir()) == before
+
+
+def test_an_order_column_does_not_make_events_visits(events):
+    from clicktide.operators.visits import visits
+
+    odd = events.withColumn("order_id", F.lit("x"))
+    assert as_set(visits(odd)) == as_set(visits(events))
 
 
 def test_top_k_breaks_ties_by_key(spark):

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from checks import registry
 from checks.compare import difference, duck, type_difference
 
 from conftest import plan_of
@@ -21,7 +22,7 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", registry.queries())
 def test_query_equals_sql(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     want = con.sql(entry.oracle_sql()[name])

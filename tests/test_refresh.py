@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+import os
 import random
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from clicktide import schemas
-from clicktide.operators.cleanse import cleanse_events, cleanse_items
 from clicktide.operators.kpi import daily_kpi
-from clicktide.operators.retention import cohort_retention
-from clicktide.operators.visits import condense
+from clicktide.operators.quality import Bounds
 from clicktide.plans import refresh as refresh_module
 from clicktide.plans.refresh import refresh
-from clicktide.plans.warehouse import INTERNAL, JobConfig, table_path
-from clicktide.sources.flat import read_events, read_items
-from clicktide.sources.tables import CONTRACT, read_table, write_table
+from clicktide.plans.warehouse import JobConfig, run, table_path
+from clicktide.session import scratch_root
+from clicktide.sources.flat import read_events
+from clicktide.sources.tables import read_table, write_table
 from clicktide.streaming.ingest import refresh_arrivals
 
 from conftest import as_set, event, events_of, plan_of
@@ -43,30 +44,23 @@ def land_items(spark, path, days):
 
 
 def config(tmp_path) -> JobConfig:
-    return JobConfig(str(tmp_path / "out"), str(tmp_path / "in" / "events"))
+    return JobConfig(str(tmp_path / "out"), str(tmp_path / "in" / "events"), Bounds(D0, D0 + timedelta(days=60)))
 
 
 def full_tables(spark, cfg):
-    events = cleanse_events(read_events(spark, cfg.events_path))
-    return {
-        "events": events,
-        "items": cleanse_items(read_items(spark, cfg.items_source)),
-        "visits": condense(events),
-        "daily_kpi": daily_kpi(events),
-        "cohort_retention": cohort_retention(events),
-    }
+    """Every table that a build of the source writes elsewhere."""
+    return run(spark, replace(cfg, base=f"{cfg.base}-full", items_path=cfg.items_source))
 
 
 def build(spark, cfg):
-    """The tables a refresh maintains, as a whole build writes them."""
-    for name, df in full_tables(spark, cfg).items():
-        write_table(df, table_path(cfg, name), {**CONTRACT, **INTERNAL}[name])
+    run(spark, cfg)
 
 
 def check_equals_full(spark, cfg):
     for name, want in full_tables(spark, cfg).items():
-        got = read_table(spark, table_path(cfg, name), want.schema)
-        assert as_set(got) == as_set(want), name
+        if name != "build_metadata":
+            got = read_table(spark, table_path(cfg, name), want.schema)
+            assert as_set(got) == as_set(want), name
 
 
 BEFORE = [on(d, user_pseudo_id=f"u{u}", session_id=f"u{u}-{d}") for d in range(0, 21, 2) for u in range(4)]
@@ -143,7 +137,7 @@ def test_random_back_fill(spark, tmp_path, seed):
     check_equals_full(spark, cfg)
 
 
-@pytest.mark.parametrize("table", ["cohort_retention", "visits", "events"])
+@pytest.mark.parametrize("table", ["cohort_retention", "user_weeks", "events"])
 def test_interrupted_refresh_can_be_repeated(spark, tmp_path, monkeypatch, table):
     cfg = config(tmp_path)
     land_rows(spark, cfg.events_path, BEFORE + [on(15, user_pseudo_id="late")])
@@ -177,3 +171,42 @@ def test_arrivals_refresh_their_days(spark, tmp_path):
     check_equals_full(spark, cfg)
     kpi = read_table(spark, table_path(cfg, "daily_kpi"), daily_kpi(events_of(spark, [])).schema)
     assert kpi.where(F.col("event_date") == D0 + timedelta(days=40)).first().users == 1
+
+
+def test_rows_without_a_day(spark, tmp_path):
+    """They are named by None, arrive by stream, and may have copies on dated days."""
+    cfg = config(tmp_path)
+    late = on(4, event_date=None, user_pseudo_id="n")
+    schema = land_rows(spark, cfg.events_path, BEFORE)
+    build(spark, cfg)
+    progress = str(tmp_path / "progress")
+    refresh_arrivals(spark, cfg, schema, progress).awaitTermination()
+    events_of(spark, [late]).write.mode("append").partitionBy("event_date").parquet(cfg.events_path)
+    refresh_arrivals(spark, cfg, schema, progress).awaitTermination()
+    check_equals_full(spark, cfg)
+    land_rows(spark, cfg.events_path, [*BEFORE, late, on(4, user_pseudo_id="n"), on(0, event_date=None)])
+    refresh(spark, cfg, [None])
+    check_equals_full(spark, cfg)
+
+
+def test_a_wrong_clock_does_not_widen_the_scan(spark):
+    odd = [on(0), on(0, event_timestamp=datetime(1999, 1, 1)), on(0, event_timestamp=datetime(2020, 11, 2, 8, 50))]
+    spans, untimed = refresh_module._time_spans(events_of(spark, odd), {D0})
+    assert [(a.year, (b - a).seconds) for a, b in spans] == [(1999, 0), (2020, 3000)] and not untimed
+
+
+def test_cohorts_open_their_own_folders_only(spark, tmp_path):
+    cfg = config(tmp_path)
+    land_rows(spark, cfg.events_path, BEFORE)
+    build(spark, cfg)
+    weeks = spark.read.parquet(table_path(cfg, "user_weeks")).where(refresh_module.on_days({D0, None}, "cohort_week"))
+    assert "PartitionFilters: [(coalesce((cohort_week" in plan_of(weeks)
+
+
+def test_refresh_leaves_no_scratch(spark, tmp_path):
+    cfg = config(tmp_path)
+    land_rows(spark, cfg.events_path, BEFORE[:8])
+    build(spark, cfg)
+    before = set(os.listdir(scratch_root(spark)))
+    refresh(spark, cfg, [D0])
+    assert set(os.listdir(scratch_root(spark))) == before
