@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktide.llm.common import batches, ready, text_of
-from clicktide.llm.token_ids import token_ids
+from clicktide.llm.token_ids import REMEMBERED, token_ids
 from clicktide.session import settle
 
 # A sequence with so few free tokens is done.
@@ -72,12 +72,12 @@ def _first(level: int, part: int, count: int) -> np.ndarray:
     return (np.int64(level) << 56) + (np.int64(part) << 32) + np.arange(count, dtype=np.int64)
 
 
-def _local(path: str, size: int):
+def _local(path: str, size: int, remembered: int):
     schema = pa.schema([(n, pa.int32() if n == "piece" else pa.int64()) for n in ("doc_id", "piece", "start", "length", "ids_crc32", "bin", "offset", "filled")])
     end = np.array([0], "<u4").tobytes()
 
     def pack(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        encode = token_ids(path)
+        encode = token_ids(path, remembered)
         found: list[tuple] = []
         for part in parts:
             ids, texts = (part.column(c).to_pylist() for c in ("doc_id", "text"))
@@ -114,7 +114,7 @@ def _merge(level: int, size: int):
     return lambda parts: batches(pack(parts), schema)
 
 
-def pack(docs: DataFrame, path: str, size: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, path: str, size: int = 2048, remembered: int = REMEMBERED) -> DataFrame:
     """Pieces of all documents and their places: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     A document is its token ids (NULL text: none) followed by id 0, so that every
@@ -123,10 +123,12 @@ def pack(docs: DataFrame, path: str, size: int = 2048) -> DataFrame:
     packed like others; an empty table gives an empty table. Columns other than
     ``doc_id`` and ``text`` are not looked at. What a task holds is bounded: the
     pieces' numbers of one input partition, then ``ITEMS_PER_TASK`` sequences.
+    ``remembered`` pieces of text stay in a worker's memory (about 200 bytes each):
+    more memory saves encoding the same words again.
     """
     ready(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text"))
-    placed = settle(rows.mapInArrow(_local(path, size), PIECES), "pieces")
+    placed = settle(rows.mapInArrow(_local(path, size, remembered), PIECES), "pieces")
     under = placed.where(F.col("filled") < size - NEARLY_FULL).select("bin", "filled").distinct()
     under = settle(under, "underfull")
     left, level = under.count(), 0

@@ -22,8 +22,8 @@ JOINED = r"[^\W_]+(?:'[^\W_]+)*"
 KEPT_SPACE = re.compile(f" ?{JOINED}|'{JOINED}| ?(?:[^\\w{SPACE}]|_)+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 # White space that the tokenizer drops anyhow.
 DROPPED_SPACE = re.compile("[^ \t\n\r]+")
-# Pieces kept in memory, of about 200 bytes each.
-REMEMBERED = 1_000_000
+# Pieces that a worker keeps in memory, of about 200 bytes each.
+REMEMBERED = 300_000
 
 
 def cutter(spec: dict) -> re.Pattern | None:
@@ -47,7 +47,8 @@ def cutter(spec: dict) -> re.Pattern | None:
 class TokenIds:
     """Encodes texts into little-endian unsigned 32-bit ids without added special tokens."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -73,7 +74,7 @@ class TokenIds:
     def _some(self, texts: list[str]) -> list[bytes]:
         if self.cut is None:
             return self._library(texts)
-        if len(self.seen) > REMEMBERED:
+        if len(self.seen) > self.remembered:
             self.seen.clear()
         whole = [bool(self.special and self.special.search(t)) for t in texts]
         cut = [() if w else self.cut.findall(t) for t, w in zip(texts, whole, strict=True)]
@@ -88,6 +89,6 @@ class TokenIds:
 
 
 @cache
-def token_ids(path: str) -> TokenIds:
+def token_ids(path: str, remembered: int = REMEMBERED) -> TokenIds:
     """One encoder per worker process and file."""
-    return TokenIds(path)
+    return TokenIds(path, remembered)
