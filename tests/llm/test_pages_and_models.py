@@ -1,0 +1,179 @@
+"""Pages, licences and classifiers: fixtures with known results, held-out accuracy, odd documents."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from clicktide.llm import html_extract, licenses, quality, toxicity
+from llm.edge_tables import ROWS, documents, key_order, with_clashes
+
+PAGE = (
+    '<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p><article>";</script></head><body class="x">'
+    '<header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav><!-- <p>no</p> --><div class="ad">Buy &amp; buy</div>'
+    '<div class="cookie-notice">We use cookies</div><{tag}><h1>Head {n}</h1><p><b>Bo</b>ld &amp; &eacute;t&eacute;<br>new&nbsp;line <a href="?a>b">li'
+    "nk</a><p>Second &lt;b&gt;\n  block<div class=\"share\">Share</div><form>Name<input></form></p></{end}>"
+    '<aside>Side</aside><div id="comments"><p>{long}</p></div><footer>&copy; me</footer></body></html>'
+)
+WANT = "Head {n} Bold & été new line link Second <b> block"
+
+
+def page(tag: str, n: int) -> str:
+    return PAGE.format(tag=tag, end=tag.split()[0], n=n, long="A reader says this. " * 30)
+
+
+def test_pages(spark):
+    rows = [(n, f"https://www.one.example/{n}", page('div class="post-%d body"' % n, n)) for n in range(4)]
+    rows += [(10, "http://two.example:80/a?b#c", page("article", 10)), (11, "HTTP://me@Two.example/x", page("article", 11))]
+    odd = [(20, None, None), (None, "nonsense", ""), (21, "http://two.example/", "<p>bare text"), (22, "", "<nav>menu</nav>"), (22, "", "<nav>menu</nav>")]
+    odd += [(23, "http://three.example/", "plain & simple"), (24, "http://two.example/cut", '<article><p>cut off <b>here</b> <a href="x')]
+    pages = with_clashes(spark.createDataFrame(rows + odd, "page_id long, url string, html string").repartition(3))
+    got = {(r.page_id, r.url): r.text for r in html_extract.extract_pages(pages).collect()}
+    assert {k[0]: v for k, v in got.items() if k[0] is not None and k[0] < 20} == {n: WANT.format(n=n) for n in (0, 1, 2, 3, 10, 11)}
+    assert [got[k] for k in ((20, None), (None, "nonsense"), (22, ""))] == ["", "", ""]
+    assert got[(21, "http://two.example/")] == "bare text" and got[(23, "http://three.example/")] == "plain & simple"
+    assert got[(24, "http://two.example/cut")] == "cut off here"
+    assert html_extract.extract_pages(pages).count() == len(rows + odd)
+    paths = {r.host: r.paths for r in html_extract.host_paths(pages).collect()}
+    assert paths["one.example"] == ["html>body.x>div.body.post-#"] and paths["two.example"][0] == "html>body.x>article"
+    assert html_extract.extract_pages(pages.limit(0)).count() == 0
+
+
+def test_a_host_outvotes_a_page_with_long_comments(spark):
+    """On one page the comments are unmarked and longer than the article; the host's path still wins."""
+    def source(n, talk):
+        return f"<body><div class=story><h1>T{n}</h1><p>{'word ' * 60}</p></div><div class=talk><p>{talk}</p></div></body>"
+
+    rows = [(n, "http://h.example/", source(n, "ok ")) for n in range(5)] + [(9, "http://h.example/", source(9, "chat " * 200))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert all("chat" not in r.text and r.text.startswith("T") for r in html_extract.extract_pages(pages).collect())
+
+
+def test_licences(spark):
+    rows = [
+        ("lib/LICENSE", "MIT License\n" + licenses.TEMPLATES["MIT"][2]),
+        ("lib/a/COPYING.txt", "Released. This work is licensed under the GNU General Public License, version 3."),
+        ("lib/x.py", "code\n# Licensed under the Apache License, Version 2.0.\nmore"),
+        ("lib/y.py", "code"),
+        ("lib/a/b/c/z.py", None),
+        ("library/q.py", "The licence of poetry is not a licence."),
+        ("top.py", ""),
+        (None, "x"),
+        ("lib/y.py", "code"),
+    ]
+    got = licenses.scan(with_clashes(spark.createDataFrame(rows, "path string, text string")))
+    found = key_order((r.path, r.licence, r.found_in) for r in got.collect())
+    assert found == key_order(
+        [
+            ("lib/LICENSE", "MIT", "lib/LICENSE"),
+            ("lib/a/COPYING.txt", "GPL-3.0", "lib/a/COPYING.txt"),
+            ("lib/x.py", "Apache-2.0", "lib/x.py"),
+            ("lib/y.py", "MIT", "lib"),
+            ("lib/y.py", "MIT", "lib"),
+            ("lib/a/b/c/z.py", "GPL-3.0", "lib/a"),
+            ("library/q.py", None, None),
+            ("top.py", None, None),
+            ("", None, None),
+        ]
+    )
+    assert licenses.scan(spark.createDataFrame([], "path string, text string")).count() == 0
+
+
+def test_every_template_is_closest_to_itself(spark):
+    rows = [(f"{n}#{k}", t) for n, ts in licenses.TEMPLATES.items() for k, t in enumerate(ts)]
+    for r in licenses.match(spark.createDataFrame(rows, "path string, passage string")).collect():
+        assert r.licence == r.path.split("#")[0] and r.cosine == pytest.approx(1)
+
+
+def test_block_max_search_is_exact():
+    rng = np.random.default_rng(0)
+    rows = []
+    for _ in range(700):
+        terms = np.sort(rng.choice(40, rng.integers(1, 6), replace=False))
+        weights = rng.random(len(terms)) + 0.1
+        rows.append((terms, weights / np.linalg.norm(weights)))
+    index = toxicity.BlockMaxIndex(rows, 40)
+    dense = np.zeros((700, 40))
+    for r, (t, w) in enumerate(rows):
+        dense[r, t] = w
+    for r in range(0, 700, 7):
+        cosines = dense @ dense[r]
+        cosines[r] = 0
+        want = [x for x in np.lexsort((np.arange(700), -np.round(cosines, 12)))[:15] if cosines[x] > 0]
+        got, near = index.nearest(*rows[r], 15, without=r)
+        assert np.allclose(near, cosines[want]) and np.allclose(np.sort(cosines[got]), np.sort(cosines[want]))
+
+
+def corpus(seed: int, n: int):
+    """Documents with labels: a tenth toxic by their words, a sixth poor by their form."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8))) for _ in range(400)]
+    docs, labels = [], []
+    for i in range(1, n + 1):
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(30, 120))]
+        toxic, poor = i % 10 == 3, i % 6 == 1
+        if toxic:
+            for _ in range(4):
+                words.insert(rng.randrange(len(words)), rng.choice(["vileness", "wretched", "nastily"]))
+        text = " ".join(words)
+        text = rng.choice([text.upper().replace(" ", "!! "), text.replace(" ", "### "), f"{words[0]} " * 90]) if poor else text
+        docs.append((i, text, "en", f"s{i % 4}", len(text)))
+        if i % 5 < 4:
+            labels.append((i, int(not poor), int(toxic)))
+    return docs, labels
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    docs, labels = corpus(1, 1500)
+    labels += [(None, 1, 1), (3, 1, 0), (4, None, None)]
+    return documents(spark, docs + ROWS[:0]), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), docs
+
+
+def held_out(i) -> bool:
+    return i is None or zlib.crc32(str(i).encode()) % 5 == 0
+
+
+@pytest.mark.parametrize(("classify", "truth"), [(toxicity.toxicity, lambda i: i % 10 == 3), (quality.quality, lambda i: i % 6 != 1)])
+def test_held_out_accuracy(spark, labelled, classify, truth):
+    docs, labels, _ = labelled
+    odd = [(None, "a b", None, None, None), (9001, None, None, None, None), (9002, "", "xx", "new", 0), (9002, "", "xx", "new", 0)]
+    got = classify(with_clashes(docs.unionByName(documents(spark, odd))), labels).collect()
+    assert len(got) == 1504 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) and r.held_out == held_out(r.doc_id) for r in got)
+    held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id <= 1500]
+    right = [r.predicted == truth(r.doc_id) for r in held if not (classify is toxicity.toxicity and r.doc_id % 6 == 1)]
+    assert len(held) > 200 and np.mean(right) > 0.97
+
+
+@pytest.mark.parametrize("classify", [toxicity.toxicity, quality.quality])
+def test_nothing_to_learn_from(spark, classify):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    got = classify(documents(spark), none).collect()
+    assert len(got) == len(ROWS) and len({r.score for r in got}) == 1
+    assert classify(documents(spark, []), none).count() == 0
+
+
+def test_pipeline_stages(spark, labelled, tmp_path):
+    docs, labels, rows = labelled
+    docs = with_clashes(docs.unionByName(documents(spark, [(5001, rows[1][1], "en", "a", 1), (5002, rows[1][1] + " end", "en", "a", 1)])))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    now, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        columns = now.columns
+        stage(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        now = spark.read.parquet(f"{tmp_path}/{name}")
+        kept[name] = {r.doc_id for r in now.select("doc_id").collect()}
+        assert name == "packing" or now.columns == columns
+    good = {i for i in range(1, 1501) if i % 6 != 1}
+    assert len(good & kept["quality"]) >= 0.98 * len(good) and len(kept["quality"] - good - {5001, 5002}) <= 0.05 * 250
+    clean = {i for i in kept["quality"] if i > 1500 or i % 10 != 3}
+    assert len(clean & kept["toxicity"]) >= 0.98 * len(clean) and len(kept["toxicity"] - clean) <= 3
+    assert 5001 not in kept["simhash"] and kept["simhash"] == kept["packing"]
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()} == kept["packing"]
+
+
