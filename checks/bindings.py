@@ -61,6 +61,19 @@ def flat_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def defective_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts as text, some unreadable; some rows without user or name."""
+    rows = flat_source(spark, sf_dir).withColumn("k", F.pmod(F.dayofmonth("event_date"), F.lit(7)))
+    amount = F.when(F.col("k") == 3, "n/a").otherwise(F.col("purchase_revenue").cast("string"))
+    return rows.withColumns(
+        {
+            "purchase_revenue": amount,
+            "user_pseudo_id": F.when(F.col("k") != 4, F.col("user_pseudo_id")),
+            "event_name": F.when(F.col("k") != 5, F.col("event_name")),
+        }
+    ).drop("k")
+
+
 def doubled_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event twice, the copies differing in country: dedupe has to choose."""
     source = flat_source(spark, sf_dir)
@@ -121,6 +134,9 @@ def nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _param("ga_session_id", number=F.when(k >= 10, F.dayofmonth("ts"))),
         _param("entrances", number=F.when(k < 50, 1).otherwise(0)),
     )
+    # Some rows name the page and the session once more; the first entry counts.
+    again = F.array(_param("page_location", text=F.lit("/again")), _param("ga_session_id", number=F.lit(99)))
+    params = F.when(k < 20, F.concat(params, again)).otherwise(params)
     return _coded_events(spark, sf_dir).select(
         F.date_format("ts", "yyyyMMdd").alias("event_date"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("event_timestamp"),

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,14 +26,14 @@ from clicktide.operators.retention import cohort_retention, weighted_retention
 from clicktide.operators.sessions import session_summary
 from clicktide.operators.users import user_base, user_value
 from clicktide.operators.visits import condense
+from clicktide.plans.analysis import analysis_summary
 from clicktide.plans.extract import extract
 from clicktide.plans.refresh import refresh
-from clicktide.plans.warehouse import JobConfig, table_path
-from clicktide.schemas import EVENTS
+from clicktide.plans.warehouse import JobConfig, run, table_path
 from clicktide.session import scratch_path, settle
 from clicktide.sources.flat import read_events, read_items
 from clicktide.sources.landing import land, manifest
-from clicktide.sources.shards import scan_days
+from clicktide.sources.shards import scan_days, validate_range
 from clicktide.sources.tables import export_contract, read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,18 +107,18 @@ def _quality(spark: SparkSession, sf: str) -> DataFrame:
         "daily_kpi": _daily(condensed),
         "funnel": _steps(events),
         "cohort_retention": cohort_retention(condensed),
-        "user_value": user_base(condensed),  # the rule only counts its rows
+        "user_value": user_value(condensed),
     }
     return quality_report(tables, b.BOUNDS)
 
 
 def _csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    """Events through CSV text and back into the cleansed table."""
+    """Events through CSV text of all 15 columns, in an order of their own, and back into the cleansed table."""
     path = scratch_path(spark, "events") + ".csv"
     source = b.flat_source(spark, sf).withColumns(
-        {"page_location": F.lit(None).cast("string"), "total_item_quantity": F.lit("1")}
+        {"page_location": F.lit(None).cast("string"), "total_item_quantity": F.lit("1"), "is_entrance": F.lit(True)}
     )
-    order = [*source.columns[:8], "page_location", "transaction_id", "purchase_revenue", "total_item_quantity"]
+    order = ["is_entrance", *source.columns[:8], "page_location", "transaction_id", "purchase_revenue", "total_item_quantity"]
     out = source.select(*order, "device_category", "country")
     out.write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
     return cleanse_events(read_events(spark, path))
@@ -137,14 +139,15 @@ def _scan_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """Totals per landed output; the hashes must all be there."""
+    """Rows per landed day, from the manifest's files; every file must be hashed both ways."""
     outputs = {"events": scratch_path(spark, "land-events"), "items": scratch_path(spark, "land-items")}
     land(flatten_events(b.nested_events(spark, sf)), outputs["events"])
     land(flatten_items(b.nested_baskets(spark, sf)), outputs["items"])
     files = manifest(spark, outputs, "supplied tables", "20240101", "20240130")
-    return files.groupBy("source", "start", "end", "output").agg(
-        F.sum("rows").alias("rows"),
-        (F.count_if((F.length("sha256") == 64) & (F.col("bytes") > 0)) == F.count(F.lit(1))).alias("all_hashed"),
+    day = F.regexp_extract("file", r"event_date=(\d{4}-\d{2}-\d{2})", 1).alias("day")
+    hashed = (F.length("sha256") == 64) & (F.col("bytes") > 0) & F.col("content").isNotNull()
+    return files.groupBy("source", "start", "end", "output", day).agg(
+        F.sum("rows").alias("rows"), (F.count_if(hashed) == F.count(F.lit(1))).alias("all_hashed")
     )
 
 
@@ -172,8 +175,19 @@ def _one_item() -> Column:
     )
 
 
+TOTALS = {
+    "events": "purchase_revenue",
+    "items": "item_revenue",
+    "daily_kpi": "revenue",
+    "funnel": "users",
+    "channel_summary": "revenue",
+    "user_value": "revenue",
+    "product_summary": "item_revenue",
+}
+
+
 def _contract(spark: SparkSession, sf: str) -> DataFrame:
-    """Row count of each exported table, read back from its files."""
+    """Rows, one total and the columns of each exported table, read back from its files."""
     events, items = b.events(spark, sf), b.items(spark, sf)
     folder = scratch_path(spark, "platform")
     done = export_contract(
@@ -188,30 +202,96 @@ def _contract(spark: SparkSession, sf: str) -> DataFrame:
         },
         folder,
     )
-    counts = [df.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows")) for n, df in done.items()]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    parts = [
+        df.agg(
+            F.lit(n).alias("table_name"),
+            F.count(F.lit(1)).alias("rows"),
+            r2(F.sum(F.col(TOTALS[n]).cast("double"))).alias("total"),
+            F.lit(" ".join(sorted(df.columns))).alias("column_names"),
+        )
+        for n, df in done.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _config(spark: SparkSession, source: str) -> JobConfig:
+    base, none = scratch_path(spark, "base"), scratch_path(spark, "no-items")
+    return JobConfig(base, source, b.BOUNDS, none, first_visit=b.FIRST_VISIT, steps=b.STEPS)
+
+
+# Builds of this session, by what they were made from: several queries look at one build's tables.
+_DONE: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def _once(make: Callable[..., dict[str, DataFrame]]) -> Callable[..., dict[str, DataFrame]]:
+    def tables(spark: SparkSession, sf: str, *args) -> dict[str, DataFrame]:
+        key = (make.__name__, spark.sparkContext.applicationId, sf, *args)
+        if key not in _DONE:
+            _DONE[key] = make(spark, sf, *args)
+        return _DONE[key]
+
+    return tables
 
 
-def _refreshed(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """Tables built on all but the last week, then refreshed with that week."""
+@_once
+def _built(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """A whole build of the supplied events."""
     source = scratch_path(spark, "landed")
     write_table(b.flat_source(spark, sf), source, "event_date")
-    cfg = JobConfig(
-        scratch_path(spark, "base"), source, scratch_path(spark, "no-items"), first_visit=b.FIRST_VISIT, steps=b.STEPS
-    )
+    return run(spark, _config(spark, source))
+
+
+def _analysis(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return analysis_summary(_built(spark, sf), 7)
+
+
+@_once
+def _all_refreshed(spark: SparkSession, sf: str, undated: bool) -> dict[str, DataFrame]:
+    """Tables built on all but the last week, then refreshed with that week.
+
+    ``undated`` takes the day from a third of that week's rows.
+    """
+    source = scratch_path(spark, "landed")
     last = b.BOUNDS.last
     week = [last - timedelta(days=d) for d in range(7)]
-    before = cleanse_events(read_events(spark, source).where(F.col("event_date") < min(week)))
-    events = write_table(before, table_path(cfg, "events"), "event_date")
-    write_table(condense(events, b.FIRST_VISIT), table_path(cfg, "visits"), "event_date")
-    write_table(_daily(events), table_path(cfg, "daily_kpi"), "event_date")
-    cohorts = write_table(cohort_retention(events), table_path(cfg, "cohort_retention"), "cohort_week")
-    schemas = {"daily_kpi": _daily(events).schema, "cohort_retention": cohorts.schema, "events": EVENTS}
-    refresh(spark, cfg, week)
-    return read_table(spark, table_path(cfg, name), schemas[name])
+    rows = b.flat_source(spark, sf)
+    new = F.col("event_date") >= min(week)
+    if undated:
+        rows = rows.withColumn("event_date", F.when(~new | (F.minute("event_timestamp") >= 20), F.col("event_date")))
+        new = F.coalesce(new, F.lit(True))
+    write_table(rows.where(~new), source, "event_date")
+    cfg = _config(spark, source)
+    schemas = {name: df.schema for name, df in run(spark, cfg).items()}
+    write_table(rows, source, "event_date")
+    refresh(spark, cfg, [*week, None] if undated else week)
+    return {name: read_table(spark, table_path(cfg, name), schema) for name, schema in schemas.items()}
+
+
+def _refreshed(spark: SparkSession, sf: str, name: str, undated: bool = False) -> DataFrame:
+    return _all_refreshed(spark, sf, undated)[name]
+
+
+def _refused(spark: SparkSession, sf: str) -> DataFrame:
+    """What must be refused or tolerated, tried on the supplied events; one row of flags."""
+    events = flatten_events(b.nested_events(spark, sf))
+
+    def fails(attempt: Callable[[], object]) -> bool:
+        try:
+            attempt()
+        except (ValueError, RuntimeError, AnalysisException):
+            return True
+        return False
+
+    nowhere = scratch_path(spark, "nowhere")
+    days = events.select(F.date_format(F.max("event_date"), "yyyyMMdd")).first()[0]
+    flags = {
+        "missing_events": fails(lambda: read_events(spark, nowhere)),
+        "missing_items_are_empty": read_items(spark, nowhere).count() == 0,
+        "empty_extract": fails(lambda: land(events.where("event_name = 'nothing'"), nowhere)),
+        "days_after_the_last": fails(lambda: validate_range("20240101", "20991231", "20240101", days)),
+        "turned_range": fails(lambda: validate_range(days, "20240101", "20240101", days)),
+    }
+    return events.agg(*[F.lit(flag).alias(name) for name, flag in flags.items()], F.count(F.lit(1)).alias("rows"))
 
 
 def queries() -> dict[str, Query]:
@@ -221,7 +301,7 @@ def queries() -> dict[str, Query]:
         "dwd_events_copies": lambda s, d: cleanse_events(b.doubled_source(s, d)),
         "dwd_items": lambda s, d: b.items(s, d),
         "dedupe_lineitem": _dedupe_lineitem,
-        "raw_defects": lambda s, d: raw_defects(b.flat_source(s, d)),
+        "raw_defects": lambda s, d: raw_defects(b.defective_source(s, d)),
         "flatten_events": lambda s, d: flatten_events(b.nested_events(s, d)),
         "flatten_items": lambda s, d: flatten_items(b.nested_baskets(s, d)),
         "repeated_params": lambda s, d: repeated_params(b.nested_events(s, d)),
@@ -247,8 +327,7 @@ def queries() -> dict[str, Query]:
         "top_products": _over_items(lambda it: views.products(product_summary(it), 8)),
         "user_base": _over_events(user_base),
         "user_value": _over_events(user_value),
-        # Threshold 0 takes the path large user tables take.
-        "user_value_distributed": _over_events(lambda ev: user_value(ev, one_task_rows=0)),
+        "user_value_distributed": _over_events(lambda ev: user_value(condense(ev))),
         "segments": _over_events(lambda ev: views.segments(user_value(ev))),
         "daily_anomaly": _over_events(_anomaly),
         "anomalies": _over_events(_anomalies),
@@ -260,4 +339,21 @@ def queries() -> dict[str, Query]:
         "incremental_events": lambda s, d: _refreshed(s, d, "events"),
         "incremental_kpi": lambda s, d: _refreshed(s, d, "daily_kpi"),
         "incremental_cohorts": lambda s, d: _refreshed(s, d, "cohort_retention"),
+        "incremental_undated": lambda s, d: _refreshed(s, d, "events", undated=True),
+        "incremental_undated_kpi": lambda s, d: _refreshed(s, d, "daily_kpi", undated=True),
+        "incremental_sessions": lambda s, d: _refreshed(s, d, "session_summary").withColumn("revenue", r2(F.col("revenue"))),
+        "incremental_funnel": lambda s, d: _refreshed(s, d, "funnel"),
+        "incremental_channels": lambda s, d: _refreshed(s, d, "channel_summary"),
+        "incremental_users": lambda s, d: _refreshed(s, d, "user_value"),
+        "incremental_anomaly": lambda s, d: _refreshed(s, d, "daily_anomaly").withColumns(
+            {c: to_places(F.col(c), 6) for c in ("avg_7d", "sd_7d")}
+        ),
+        "incremental_summary": lambda s, d: _refreshed(s, d, "summary"),
+        "run_summary": lambda s, d: _built(s, d)["summary"],
+        "run_metadata": lambda s, d: _built(s, d)["build_metadata"].select("data_mode", F.col("built_at").isNotNull().alias("timed")),
+        "analysis_summary": lambda s, d: _analysis(s, d)["summary"],
+        "analysis_funnel": lambda s, d: _analysis(s, d)["funnel"],
+        "analysis_channels": lambda s, d: _analysis(s, d)["top_channels"],
+        "analysis_retention": lambda s, d: _analysis(s, d)["retention_weeks_0_to_4"],
+        "refused_input": _refused,
     }
