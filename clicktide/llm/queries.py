@@ -56,7 +56,8 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     text, notice = F.coalesce("text", F.lit("")), r"(?i)^[^\n]{0,40}licen[sc]e[^\n]{0,200}\n?$"
     name = F.when(text.rlike(notice), F.concat_ws("-", F.lit("LICENSE"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
     files = table(spark, sf_dir, "documents").select(F.concat_ws("/", "source", "lang", name).alias("path"), "text")
-    return licenses.scan(files)
+    doc_id = F.regexp_extract("path", r"(?:/|LICENSE-)(-?\d+)$", 1).try_cast("long").alias("doc_id")
+    return licenses.scan(files).select(doc_id, "*")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
