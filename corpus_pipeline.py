@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from clicktide.llm import packing, quality, simhash, toxicity
-from clicktide.session import scratch_path
+from clicktide.session import scratch_path, scratch_scope
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch_scope(spark):  # what the stage itself wrote goes with it
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
