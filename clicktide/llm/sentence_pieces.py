@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from clicktide.llm.common import batches, ready, text_of
 
 BLANK = "▁"
-WORDS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 REMEMBERED = 300_000
 LETTERS_AT_ONCE = 4_000_000
 # Two odd bases; both hashes must agree.
@@ -39,6 +38,17 @@ NONE = np.int64(-1)
 UNKNOWN = 1 << 24
 
 
+def cutter(texts: list[str]) -> re.Pattern:
+    """Words that no piece spans: a blank begins one, and letters or digits end one before any other character.
+
+    Letters and digits that some piece joins to such a character do not count as ones.
+    """
+    joined = {a for t in texts for a, b in zip(t, t[1:], strict=False) if a.isalnum() and not b.isalnum() and b != BLANK}
+    odd = re.escape("".join(sorted(joined | {"_"})))
+    other = f"(?:[^\\w{BLANK}]|[{odd}])"
+    return re.compile(f"{BLANK}*{other}*[^\\W{odd}]+|{BLANK}*{other}+|{BLANK}+")
+
+
 class Pieces:
     """A model's pieces, and encoding and decoding with them."""
 
@@ -62,6 +72,7 @@ class Pieces:
         normal = [i for i, s in enumerate(special) if not s]
         if any(re.search(f"[^{BLANK}]{BLANK}", self.text[i]) for i in normal):
             raise ValueError("a piece spans two words")
+        self.cut = cutter([self.text[i] for i in normal])
         self.unknown = model.unk_id()
         self.score = np.array([model.get_score(i) for i in range(len(special))])
         self.rank = {self.text[i]: float(self.score[i]) for i in normal}
@@ -217,7 +228,7 @@ class Pieces:
         return out
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        cut = [WORDS.findall((BLANK if self.dummy and t else "") + t.replace(" ", BLANK)) for t in texts]
+        cut = [self.cut.findall((BLANK if self.dummy and t else "") + t.replace(" ", BLANK)) for t in texts]
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
         self._learn(list(set().union(*cut) - self.seen.keys()))
