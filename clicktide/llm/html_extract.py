@@ -22,6 +22,8 @@ from clicktide.llm.common import batches, ready, text_of
 
 # Ranked paths that a host's pages try before their own best container.
 RANKED = 8
+# Tasks that the pages of one host may spread over.
+SHARES = 64
 
 # HTML elements by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -269,6 +271,10 @@ def extract_pages(pages: DataFrame, paths: DataFrame | None = None) -> DataFrame
     """
     ready(pages.sparkSession)
     ranked = host_paths(pages) if paths is None else paths
-    rows = pages.select("page_id", "url", text_of("html").alias("html"), host_of().alias("host")).join(ranked, "host", "left")
+    # The pages of a host are dealt over SHARES keys and its paths copied to each, so that no task gets a whole large host.
+    share = F.pmod(F.monotonically_increasing_id(), F.lit(SHARES)).cast("int").alias("share")
+    rows = pages.select("page_id", "url", text_of("html").alias("html"), host_of().alias("host"), share)
+    ranked = ranked.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    rows = rows.join(ranked, ["host", "share"], "left")
     rows = rows.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "paths")
     return rows.mapInArrow(lambda parts: batches(_texts(parts), TEXTS), "page_id long, url string, text string, path string")
