@@ -81,8 +81,8 @@ def _local(path: str, size: int, remembered: int):
         found: list[tuple] = []
         for part in parts:
             ids, texts = (part.column(c).to_pylist() for c in ("doc_id", "text"))
-            for at in range(0, len(texts), 128):
-                for doc, tokens in zip(ids[at : at + 128], encode(texts[at : at + 128]), strict=True):
+            for at in range(0, len(texts), 512):
+                for doc, tokens in zip(ids[at : at + 512], encode(texts[at : at + 512]), strict=True):
                     found += [(doc, *p) for p in pieces_of(tokens + end, size)]
         if not found:
             return

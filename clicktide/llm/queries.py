@@ -44,7 +44,7 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), remembered=1_000_000)
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), remembered=2_000_000)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

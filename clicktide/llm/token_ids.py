@@ -65,7 +65,7 @@ class TokenIds:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [pack(f"<{len(e.ids)}I", *e.ids) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, texts: list[str], at_once: int = 128) -> list[bytes]:
+    def __call__(self, texts: list[str], at_once: int = 512) -> list[bytes]:
         out: list[bytes] = []
         for start in range(0, len(texts), at_once):
             out += self._some(texts[start : start + at_once])
