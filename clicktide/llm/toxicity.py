@@ -1,139 +1,181 @@
 """Toxicity scores from the nearest labelled examples.
 
-Examples are a bounded sample of labelled texts. Words and word beginnings that
-go with the label (by the chi-square statistic) are the features; a text is its
-TF-IDF vector over them. The exact nearest examples by cosine are found with an
-inverted index in blocks: for each term and block of examples the largest weight
-is known, so that blocks whose bound cannot reach the k-th similarity are never
-opened. Neighbours vote by similarity, and the votes are calibrated on the
-examples themselves, each without its own vote.
+Examples are a bounded sample of labelled texts, clean ones too. A text is the
+TF-IDF vector of all its words, of unit length over the whole text; a word that
+goes with the label (by the chi-square statistic) weighs more, none weighs less.
+The exact nearest examples by cosine are found with an inverted index: the words
+of few examples are added up first, and the words of many only in blocks whose
+largest weights can still reach the k-th similarity. Neighbours vote by
+similarity, and the votes are calibrated on the examples themselves, each without
+its own vote.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
+import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktide.llm.common import batches, fold_of, learning_sample, ready, text_of
 from clicktide.session import settle
 
-# Bounds of what is learned from; scoring has none.
+# Bound of what is learned from; scoring has none.
 EXAMPLES = 20_000
-CANDIDATES = 20_000
-FEATURES = 1024
 NEIGHBOURS = 15
 BLOCK = 64
+# Terms in more than one of so many rows are added up by blocks.
+COMMON = 8
+# Blocks are opened one by one where fewer than one in so many is needed.
+FEW = 8
 
-# Lengths of word beginnings, for words that are inflected.
-BEGINNINGS = (4, 5, 6)
-SUPPORT = 4
-# Least chi-square of a feature: few words come so far by chance.
-CLEAR = 25.0
-# Least share of labelled texts among those that have a feature.
-PURE = 0.75
+# Deviations from chance up to which a word weighs by its rarity alone; few words come so far by chance.
+CHANCE = 3.0
 # Weight of the share of toxic examples in a vote, beside the cosines: far neighbours say little.
 PRIOR = 1.0
-REMEMBERED = 50_000
+# Texts whose scores a task remembers.
+REMEMBERED = 10_000
 
 WORD = re.compile(r"\w+")
 
 
-def features(text: str, known: Callable[[str], object] = lambda f: f) -> Counter:
-    """How often each known feature occurs: ``word``, ``begin*``, and ``begin*3`` if that many words begin so."""
-    found: Counter = Counter()
-    begun: Counter = Counter()
-    for word, times in Counter(WORD.findall(text.lower())).items():
-        if (f := known(word)) is not None:
-            found[f] += times
-        for size in BEGINNINGS:
-            if len(word) > size:
-                begun[word[:size]] += times
-    for begin, times in begun.items():
-        if (f := known(begin + "*")) is not None:
-            found[f] += times
-        if times >= 3 and (f := known(begin + "*3")) is not None:
-            found[f] += times
-    return found
+def words(text: str) -> Counter:
+    """How often each word occurs."""
+    return Counter(WORD.findall(text.lower()))
 
 
 class BlockMaxIndex:
-    """Inverted index of unit vectors with the largest weight per term and block."""
+    """Inverted index of unit vectors with the largest weight per common term and block."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], terms: int) -> None:
-        # Alike rows side by side make blocks with few terms and tight bounds.
-        heaviest = [(int(t[np.argmax(w)]) if len(t) else -1, len(t)) for t, w in rows]
-        self.row = np.array(sorted(range(len(rows)), key=lambda r: (heaviest[r], r)), dtype=np.int64)
+        sizes = np.array([len(t) for t, _ in rows], dtype=np.int64)
+        # Flat (row, term, weight), a row's terms together.
+        row = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+        term = np.concatenate([t for t, _ in rows]).astype(np.int32) if len(rows) else np.zeros(0, np.int32)
+        weight = np.concatenate([w for _, w in rows]) if len(rows) else np.zeros(0)
+        seen = np.bincount(term, minlength=terms)
+        common = np.flatnonzero(seen * COMMON > len(rows))
+        self.number = np.full(terms, -1, dtype=np.int32)
+        self.number[common] = np.arange(len(common))
+        often = np.flatnonzero(self.number[term] >= 0)
+        often_row, often_number, often_weight = row[often], self.number[term[often]], weight[often]
+        # Alike rows side by side make blocks with tight bounds: by the heaviest common term.
+        by = np.lexsort((often_number, -often_weight, often_row))
+        known, first = np.unique(often_row[by], return_index=True)
+        heaviest = np.full(len(rows), -1, dtype=np.int64)
+        heaviest[known] = often_number[by][first]
+        self.row = np.lexsort((np.arange(len(rows)), heaviest))
+        self.place = np.argsort(self.row).astype(np.int32)
         self.blocks = -(-len(rows) // BLOCK)
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for place, r in enumerate(self.row):
-            for term, weight in zip(*rows[r], strict=True):
-                lists[term].append((place, weight))
-        self.places = [np.array([p for p, _ in x], dtype=np.int64) for x in lists]
-        self.weights = [np.array([w for _, w in x], dtype=np.float64) for x in lists]
-        self.most = []
-        for places, weights in zip(self.places, self.weights, strict=True):
-            which, start = np.unique(places // BLOCK, return_index=True)
-            self.most.append((which, np.append(start, len(places)), np.maximum.reduceat(weights, start) if len(start) else weights))
+        by = np.argsort(term, kind="stable")
+        self.places, self.weights = self.place[row[by]], weight[by]
+        self.start = np.append(0, np.cumsum(seen))
+        self.dense = np.zeros((self.blocks, BLOCK, len(common)))
+        at = self.place[often_row]
+        self.dense[at // BLOCK, at % BLOCK, often_number] = often_weight
+        self.most = self.dense.max(axis=1) if self.blocks else np.zeros((0, len(common)))
+
+    def _added(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Sum of products by place over the postings of ``terms``."""
+        spans = [slice(a, b) for a, b in zip(self.start[terms].tolist(), self.start[terms + 1].tolist(), strict=True)]
+        if not spans:
+            return np.zeros(self.blocks * BLOCK)
+        by = np.repeat(weights, self.start[terms + 1] - self.start[terms])
+        by *= np.concatenate([self.weights[s] for s in spans])
+        return np.bincount(np.concatenate([self.places[s] for s in spans]), by, self.blocks * BLOCK)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the ``k`` nearest, nearest first, ties to the smaller row; zero cosines are left out."""
-        bound = np.zeros(self.blocks)
-        for term, weight in zip(terms, weights, strict=True):
-            which, _, most = self.most[term]
-            bound[which] += weight * most
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        best_rows, best = np.zeros(0, np.int64), np.zeros(0)
-        for at in range(0, len(order), 4):
-            opened = order[at : at + 4]
-            if len(best) == k and bound[opened[0]] < best[-1] - 1e-12:
-                break
-            sums = np.zeros((len(opened), BLOCK))
-            for n, block in enumerate(opened):
-                for term, weight in zip(terms, weights, strict=True):
-                    which, start, _ = self.most[term]
-                    here = int(np.searchsorted(which, block))
-                    if here < len(which) and which[here] == block:
-                        some = slice(start[here], start[here + 1])
-                        sums[n, self.places[term][some] - block * BLOCK] += weight * self.weights[term][some]
-            n, inside = np.nonzero(sums > 0)
-            rows, cosines = self.row[opened[n] * BLOCK + inside], sums[n, inside]
-            rows, cosines = rows[rows != without], cosines[rows != without]
-            best_rows, best = np.r_[best_rows, rows], np.r_[best, cosines]
-            keep = np.lexsort((best_rows, -best))[:k]
-            best_rows, best = best_rows[keep], best[keep]
-        return best_rows, best
+        if not self.blocks:
+            return np.zeros(0, np.int64), np.zeros(0)
+        often = self.number[terms] >= 0
+        sums = self._added(terms[~often], weights[~often])
+        if without >= 0:
+            sums[self.place[without]] = -np.inf
+        if often.any():
+            asked = np.zeros(self.most.shape[1])
+            asked[self.number[terms[often]]] = weights[often]
+            bound = self.most @ asked
+            least = np.partition(sums, -k)[-k] if len(sums) > k else 0.0
+            opened = np.flatnonzero((bound > 0) & (sums.reshape(-1, BLOCK).max(axis=1) + bound >= least - 1e-9))
+            if len(opened) * FEW < self.blocks:
+                sums.reshape(-1, BLOCK)[opened] += self.dense[opened] @ asked
+            else:
+                sums += self._added(terms[often], weights[often])
+        least = np.partition(sums, -k)[-k] if len(sums) > k else 0.0
+        found = np.flatnonzero((sums >= least - 1e-12) & (sums > 0))
+        rows, cosines = self.row[found], sums[found]
+        keep = np.lexsort((rows, -np.round(cosines, 12)))[:k]
+        return rows[keep], cosines[keep]
 
 
 @dataclass
 class Model:
+    """What scores texts. It travels small: the index is made where it is first used."""
+
     vocabulary: dict[str, int]
-    rarity: np.ndarray  # inverse document frequency per feature
-    index: BlockMaxIndex
+    rarity: np.ndarray  # weight per word of the examples: inverse document frequency, times relevance
+    rare: float  # the same for any other word
+    terms: np.ndarray  # of all examples, one after the other
+    times: np.ndarray  # how often each occurs
+    sizes: np.ndarray  # number of terms of each example
     ids: np.ndarray
     toxic: np.ndarray
     base: float  # share of toxic texts among all examples
-    bare: float  # the same among examples without any feature
+    bare: float  # the same among examples without any word
     slope: float = 1.0
     offset: float = 0.0
 
     def __post_init__(self) -> None:
-        self.seen: dict[tuple, tuple[float, list]] = {}
-
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        counts = sorted(features(text, self.vocabulary.get).items())
-        terms = np.array([t for t, _ in counts], dtype=np.int64)
-        weights = (1 + np.log(np.array([n for _, n in counts], dtype=np.float64))) * self.rarity[terms]
-        return terms, weights / np.sqrt((weights**2).sum()) if len(terms) else weights
+        self.seen: dict[bytes, tuple[float, list]] = {}
+        self.shared: Broadcast | None = None
+
+    def __getstate__(self) -> dict:
+        arrays = {k: v for k, v in vars(self).items() if isinstance(v, np.ndarray)}
+        rest = {k: v for k, v in vars(self).items() if k not in arrays and k not in ("vocabulary", "seen", "shared", "held", "index")}
+        small = {k: (v.dtype.str, zlib.compress(v.tobytes(), 1)) for k, v in arrays.items()}
+        return {"words": zlib.compress(" ".join(self.vocabulary).encode(), 1), "arrays": small, "rest": rest}
+
+    def __setstate__(self, state: dict) -> None:
+        vars(self).update(state["rest"])
+        for name, (kind, data) in state["arrays"].items():
+            setattr(self, name, np.frombuffer(zlib.decompress(data), kind))
+        self.vocabulary = {w: i for i, w in enumerate(zlib.decompress(state["words"]).decode().split(" "))} if len(self.rarity) else {}
+        self.__post_init__()
+
+    @cached_property
+    def held(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Unit vectors of the examples."""
+        weights = (1 + np.log(self.times.astype(np.float64))) * self.rarity[self.terms]
+        end = np.cumsum(self.sizes)
+        parts = [slice(b - n, b) for n, b in zip(self.sizes.tolist(), end.tolist(), strict=True)]
+        return [(self.terms[p], weights[p] / math.sqrt(float((weights[p] ** 2).sum()))) for p in parts]
+
+    @cached_property
+    def index(self) -> BlockMaxIndex:
+        return BlockMaxIndex(self.held, len(self.rarity))
+
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Known terms and their weights, of unit length together with the unknown words; None without any word."""
+        counts = words(text)
+        if not counts:
+            return None
+        known = sorted((t, n) for w, n in counts.items() if (t := self.vocabulary.get(w)) is not None)
+        terms = np.array([t for t, _ in known], dtype=np.int64)
+        weights = (1 + np.log(np.array([n for _, n in known], dtype=np.float64))) * self.rarity[terms]
+        other = sum((1 + math.log(n)) ** 2 for w, n in counts.items() if w not in self.vocabulary) * self.rare**2
+        return terms, weights / math.sqrt(float((weights**2).sum()) + other)
 
     def vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, list]:
         """Logit of the similarity-weighted vote, and the neighbours as evidence."""
@@ -154,103 +196,112 @@ class Model:
         self.slope, self.offset = float(beta[0]), float(beta[1])
 
     def score(self, text: str) -> tuple[float, list]:
-        terms, weights = self.vector(text)
-        if not len(terms):
-            return self.bare, []
-        key = (terms.tobytes(), weights.tobytes())
+        key = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
         if key not in self.seen:
             if len(self.seen) > REMEMBERED:
                 self.seen.clear()
-            logit, evidence = self.vote(terms, weights)
-            self.seen[key] = 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * logit + self.offset)))), evidence
+            found = self.vector(text)
+            if found is None or not len(self.sizes):
+                self.seen[key] = self.bare, []
+            else:
+                logit, evidence = self.vote(*found)
+                self.seen[key] = 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * logit + self.offset)))), evidence
         return self.seen[key]
 
 
-def _counted(rows: DataFrame, keep: dict[str, int] | None) -> DataFrame:
-    """In how many texts of ``rows`` each feature occurs (only those of ``keep`` if given)."""
-    schema = pa.schema([("feature", pa.string()), ("n", pa.int64())])
+def _counted(rows: DataFrame) -> DataFrame:
+    """In how many texts of ``rows`` each word occurs, and in how many toxic ones: ``word, n, a``."""
+    schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("a", pa.int64())])
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        found: Counter = Counter()
-        known = (lambda f: f) if keep is None else (lambda f: f if f in keep else None)
+        every: Counter = Counter()
+        toxic: Counter = Counter()
         for part in parts:
-            for text in part.column("text").to_pylist():
-                found.update(features(text, known).keys())
-        yield {"feature": list(found), "n": list(found.values())}
+            for text, y in zip(part.column("text").to_pylist(), part.column("y").to_pylist(), strict=True):
+                found = words(text).keys()
+                every.update(found)
+                if y:
+                    toxic.update(found)
+        yield {"word": list(every), "n": list(every.values()), "a": [toxic[w] for w in every]}
 
-    counted = rows.select("text").mapInArrow(lambda parts: batches(count(parts), schema), "feature string, n long")
-    return counted.groupBy("feature").agg(F.sum("n").alias("n"))
+    counted = rows.select("text", "y").mapInArrow(lambda parts: batches(count(parts), schema), "word string, n long, a long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("a").alias("a"))
 
 
 def _vocabulary(sample: DataFrame, positive: int, negative: int) -> tuple[dict[str, int], np.ndarray]:
-    """Features that go with the label most clearly, and their inverse document frequencies."""
-    common = _counted(sample.where("y = 1"), None).where(F.col("n") >= SUPPORT)
-    # Not more than CANDIDATES rows reach the driver.
-    with_label = {r["feature"]: r["n"] for r in common.orderBy(F.desc("n"), "feature").limit(CANDIDATES).collect()}
-    without = {r["feature"]: r["n"] for r in _counted(sample.where("y = 0"), with_label).collect()}
+    """All words of the examples and their weights: inverse document frequency times relevance.
+
+    Relevance is 1, and more for words whose count among toxic texts is more than
+    ``CHANCE`` standard deviations (the root of chi-square) off what chance gives.
+    """
     total = positive + negative
-    scored = []
-    for f, a in with_label.items():
-        b = without.get(f, 0)
-        seen = a + b
-        expected = seen * positive / total
-        if a >= PURE * (seen + 1):
-            spread = expected * (1 - positive / total) * (1 - seen / total)
-            if (clear := (a - expected) ** 2 / max(spread, 1e-9)) >= CLEAR:
-                scored.append((clear, f, seen))
-    scored.sort(key=lambda x: (-x[0], x[1]))
-    chosen = scored[:FEATURES]
-    return {f: i for i, (_, f, _) in enumerate(chosen)}, np.array([math.log((1 + total) / (1 + n)) + 1 for _, _, n in chosen])
+    share = positive / total
+    expected = F.col("n") * share
+    spread = F.sqrt(F.greatest(expected * (1 - share) * (1 - F.col("n") / total), F.lit(1e-9)))
+    apart = F.greatest(F.abs(F.col("a") - expected) - 0.5, F.lit(0.0)) / spread
+    relevance = 1 + F.greatest(apart - CHANCE, F.lit(0.0))
+    rarity = F.log((1 + total) / (1 + F.col("n"))) + 1
+    found = _counted(sample).select("word", (rarity * relevance).alias("weight")).orderBy("word").toArrow()
+    return {w: i for i, w in enumerate(found.column("word").to_pylist())}, found.column("weight").to_numpy()
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES) -> Model:
     """Learn from at most ``rows`` labelled texts outside fold 0.
 
-    What reaches the driver is bounded by ``rows``: at most ``FEATURES`` numbers
-    per example, a handful in practice. With no labelled text, or none of one
-    class, every text gets the share of toxic examples (0 without examples).
+    What reaches the driver is bounded by ``rows``: the distinct words of the
+    examples, and a number and a weight for each word of an example. With no
+    labelled text, or none of one class, every text gets the share of toxic
+    examples (0 without examples).
     """
-    ready(docs.sparkSession)
+    spark = ready(docs.sparkSession)
     chosen = learning_sample(labels, "toxic", rows)
     sample = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
     sample = settle(sample.select("doc_id", "y", "text"), "toxicity-examples")
     sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     positive, negative = sizes.get(1, 0), sizes.get(0, 0)
     base = positive / max(1, positive + negative)
-    words, rarity = _vocabulary(sample, positive, negative) if positive and negative else ({}, np.zeros(0))
-    empty = Model(words, rarity, BlockMaxIndex([], len(words)), np.zeros(0, np.int64), np.zeros(0), base, base)
-    if not words:
+    known, rarity = _vocabulary(sample, positive, negative) if positive and negative else ({}, np.zeros(0))
+    rare = math.log(1 + positive + negative) + 1
+    none = np.zeros(0, np.int32)
+    empty = Model(known, rarity, rare, none, none, none, np.zeros(0, np.int64), np.zeros(0), base, base)
+    if not known:
         return empty
-    schema = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("terms", pa.list_(pa.int64())), ("weights", pa.list_(pa.float64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("terms", pa.binary()), ("times", pa.binary())])
+    shared = spark.sparkContext.broadcast(empty)
 
-    def vectors(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    def counts(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        number = shared.value.vocabulary
         for part in parts:
-            found = [empty.vector(t) for t in part.column("text").to_pylist()]
-            terms, weights = ([x[k].tolist() for x in found] for k in (0, 1))
-            yield {"doc_id": part.column("doc_id"), "y": part.column("y"), "terms": terms, "weights": weights}
-
-    found = sample.mapInArrow(lambda p: batches(vectors(p), schema), "doc_id long, y int, terms array<long>, weights array<double>")
-    examples = sorted(found.collect(), key=lambda r: (r["doc_id"], r["y"], r["terms"], r["weights"]))
-    bare = [r["y"] for r in examples if not r["terms"]]
-    full = [r for r in examples if r["terms"]]
-    held = [(np.array(r["terms"], np.int64), np.array(r["weights"])) for r in full]
-    toxic = np.array([r["y"] for r in full], dtype=np.float64)
+            found = [sorted((number[w], n) for w, n in words(t).items()) for t in part.column("text").to_pylist()]
+            terms, times = ([np.array([x[k] for x in f], "<i4").tobytes() for f in found] for k in (0, 1))
+            yield {"doc_id": part.column("doc_id"), "y": part.column("y"), "terms": terms, "times": times}
+
+    found = sample.mapInArrow(lambda p: batches(counts(p), schema), "doc_id long, y int, terms binary, times binary").toArrow()
+    shared.destroy()
+    examples = sorted(zip(*(found.column(c).to_pylist() for c in schema.names), strict=True))
+    bare = [y for _, y, terms, _ in examples if not terms]
+    full = [x for x in examples if x[2]]
+    terms, times = (np.frombuffer(b"".join(x[k] for x in full), "<i4") for k in (2, 3))
+    sizes = np.array([len(x[2]) // 4 for x in full], np.int32)
+    ids, toxic = np.array([x[0] for x in full], np.int64), np.array([x[1] for x in full], np.float64)
     rest = (sum(bare) + base) / (len(bare) + 1)
-    model = Model(words, rarity, BlockMaxIndex(held, len(words)), np.array([r["doc_id"] for r in full], np.int64), toxic, base, rest)
-    model.calibrate(*_own_votes(docs, model, held))
+    model = Model(known, rarity, rare, terms, times, sizes, ids, toxic, base, rest)
+    model.shared = spark.sparkContext.broadcast(model)
+    model.calibrate(*_own_votes(docs, model))
     return model
 
 
-def _own_votes(docs: DataFrame, model: Model, held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+def _own_votes(docs: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Vote on each example by the others, in parallel."""
-    numbers = docs.sparkSession.range(0, len(held), 1, max(1, len(held) // 500))
+    shared, total = model.shared, len(model.sizes)
 
     @F.pandas_udf("double")
     def vote(rows: pd.Series) -> pd.Series:
-        return pd.Series([model.vote(*held[r], without=r)[0] for r in rows], dtype="float64")
+        return pd.Series([shared.value.vote(*shared.value.held[r], without=r)[0] for r in rows], dtype="float64")
 
+    numbers = docs.sparkSession.range(0, total, 1, max(1, total // 500))
     votes = {r["id"]: r["vote"] for r in numbers.select("id", vote("id").alias("vote")).collect()}
-    return np.array([votes[r] for r in range(len(held))]), model.toxic
+    return np.array([votes[r] for r in range(total)]), model.toxic
 
 
 SCORED = "score double, evidence array<struct<doc_id long, cosine double, toxic double>>"
@@ -258,11 +309,16 @@ SCORED = "score double, evidence array<struct<doc_id long, cosine double, toxic
 
 def scorer(model: Model):
     """A column function: score of a text and the examples that voted."""
+    # Each Python worker reads the model once, not once a task; what was learned after it was sent is added there.
+    shared = model.shared or SparkSession.active().sparkContext.broadcast(model)
+    line = model.slope, model.offset
 
     @F.pandas_udf(SCORED)
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        here = shared.value
+        here.slope, here.offset = line
         for part in texts:
-            found = [model.score(t) for t in part]
+            found = [here.score(t) for t in part]
             evidence = [[{"doc_id": d, "cosine": c, "toxic": t} for d, c, t in e] for _, e in found]
             yield pd.DataFrame({"score": [s for s, _ in found], "evidence": evidence})
 
@@ -273,7 +329,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES) -> DataFr
     """Score of every whole text: ``doc_id, held_out, score, predicted, evidence``.
 
     Every input row gives one row, repeated rows and NULL ids (held out) too; NULL
-    texts count as empty, and texts without any feature get the share of toxic
+    texts count as empty, and texts without any word get the share of toxic
     examples among such texts. Scores depend on the text alone. Columns other than
     ``doc_id`` and ``text`` are not looked at.
     """

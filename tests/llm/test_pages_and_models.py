@@ -149,6 +149,33 @@ def test_held_out_accuracy(spark, labelled, classify, truth):
     assert len(held) > 200 and np.mean(right) > 0.97
 
 
+def test_clean_words_that_begin_like_toxic_ones(spark):
+    """Every example is a neighbour with all its words, so that one clean word marks no text, short or very long."""
+    rng = random.Random(5)
+    plain = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8))) for _ in range(400)]
+    rows, labels = [], []
+    for i in range(1, 901):
+        text = [rng.choice(plain) for _ in range(60)]
+        if i % 10 == 3:
+            text[5:5] = ["pathetic", "worthless", "nastily"]
+        rows.append((i, " ".join(text), "en", "s", 1))
+        labels.append((i, 1, int(i % 10 == 3)))
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    long = " ".join(rng.choice(plain) for _ in range(4000))
+    texts = [long, *(f"{long[: at]} {word} {long[at:]}" for word in ("pathway", "worthwhile") for at in (50, 9000))]
+    texts += ["pathway", "worthwhile", f"{long[:300]} pathway worthwhile"]
+    odd = documents(spark, [(10_000 + k, t, "en", "s", 1) for k, t in enumerate(texts)])
+    docs = documents(spark, rows)
+    model = toxicity.fit(docs, labels)
+    used = [i for i in range(1, 901) if not held_out(i)]
+    assert sorted(model.ids.tolist()) == used
+    assert set(model.vocabulary) == {w for r in rows if r[0] in set(used) for w in r[1].split()}
+    found = {r.doc_id: r for r in toxicity.toxicity(docs.unionByName(odd), labels).collect()}
+    assert [found[10_000 + k].predicted for k in range(len(texts))] == [0] * len(texts)
+    assert all(len(found[k].evidence) == toxicity.NEIGHBOURS for k in (10_000, 10_001))
+    assert np.mean([found[i].predicted == (i % 10 == 3) for i in range(1, 901)]) > 0.97
+
+
 @pytest.mark.parametrize("classify", [toxicity.toxicity, quality.quality])
 def test_nothing_to_learn_from(spark, classify):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
