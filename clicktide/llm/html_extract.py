@@ -74,8 +74,9 @@ class Element:
     tag: str
     path: str
     parent: int
-    main: bool  # may be part of an article
+    main: bool  # may be part of an article; nothing within boilerplate may
     likely: bool
+    marked: bool = False  # boilerplate by a word of its class, id or role only
     texts: int = 0  # characters in its main text
     links: int = 0  # of them in links
     prose: int = 0  # of them in paragraphs and headings
@@ -99,12 +100,36 @@ def attributes(source: str) -> dict[str, str]:
 def _element(tag: str, source: str, parent: int, above: str) -> Element:
     attrs = attributes(source) if source.strip(" /\n\t") else {}
     classes = sorted({DIGITS.sub("#", c) for c in attrs.get("class", "").split()})
-    words = set(WORDS.split(" ".join(attrs.get(k, "") for k in ("class", "id", "role")).lower()))
+    names = {n: set(WORDS.split(n)) for n in " ".join(attrs.get(k, "") for k in ("class", "id", "role")).lower().split()}
+    words = set().union(*names.values())
     hidden = "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", attrs.get("style", ""))
     frame = tag in ("html", "body", "main")
-    main = frame or (tag not in SKIPPED and not hidden and not words & NOT_MAIN)
+    main = frame or (tag not in SKIPPED and not hidden)
+    # "post comments-open" and "content with-sidebar" name an article and its surroundings, "comment-body" names none.
+    marks = {n for n, w in names.items() if w & NOT_MAIN}
+    article = not marks & NOT_MAIN and any(w & LIKELY_MAIN for n, w in names.items() if n not in marks)
     path = above + ">" + ".".join([tag, *classes])
-    return Element(tag, path, parent, main, tag in ("article", "main") or bool(words & LIKELY_MAIN))
+    likely = tag in ("article", "main") or bool(words & LIKELY_MAIN)
+    return Element(tag, path, parent, main, likely, main and not frame and bool(marks) and not article)
+
+
+def _inherit(page: Page) -> None:
+    """Boilerplate by a word goes, unless it looks like the article and holds most of the page's prose; all within goes with it."""
+    inside: list[bool] = []  # a paragraph or heading
+    for e in page.elements:  # parents come first
+        e.main = e.main and (e.parent < 0 or page.elements[e.parent].main)
+        inside.append(e.tag in PROSE or (e.parent >= 0 and inside[e.parent]))
+    if any(e.marked and e.likely and e.main for e in page.elements):
+        prose = [0] * len(page.elements)
+        for inner, text in page.pieces:
+            if text and inside[inner] and page.elements[inner].main:
+                prose[inner] += len(text.strip())
+        for k in range(len(prose) - 1, 0, -1):
+            prose[page.elements[k].parent] += prose[k]
+        for e, size in zip(page.elements, prose, strict=True):
+            e.marked = e.marked and not (e.likely and size * 5 > prose[0] * 4)
+    for e in page.elements:
+        e.main = e.main and not e.marked and (e.parent < 0 or page.elements[e.parent].main)
 
 
 def parse(source: str) -> Page:
@@ -148,6 +173,7 @@ def parse(source: str) -> Page:
             at = ended.end() if ended else end + 1
         elif tag not in VOID and not (attrs.endswith("/") and tag in ("svg", "path", "circle", "rect", "use")):
             stack.append(len(page.elements) - 1)
+    _inherit(page)
     return page
 
 

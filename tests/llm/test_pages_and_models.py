@@ -53,6 +53,22 @@ def test_a_host_outvotes_a_page_with_long_comments(spark):
     assert all("chat" not in r.text and r.text.startswith("T") for r in html_extract.extract_pages(pages).collect())
 
 
+def test_boilerplate_is_inherited_and_an_article_survives_one_word(spark):
+    story, talk = f"<h1>Tale</h1><p>{'word ' * 40}</p>", f"<p>{'chat ' * 300}</p>"
+    sources = [
+        f"<body><div class=story>{story}</div><div id=comments><article class=item>{talk}</article></div></body>",
+        f"<body><div class=story>{story}</div><footer><div class=content>{talk}</div></footer></body>",
+        f"<body><article class='post comments-open'>{story}</article></body>",
+        f"<body><div class='content with-sidebar'>{story}<div class=sidebar>{talk}</div></div></body>",
+        f"<body><article class=share>{story}</article><p>Home</p></body>",
+    ]
+    rows = [(n, f"http://h{n}.example/", source) for n, source in enumerate(sources)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = "Tale " + " ".join(["word"] * 40)
+    got = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
+    assert got == dict.fromkeys(range(5), want)
+
+
 def test_licences(spark):
     rows = [
         ("lib/LICENSE", "MIT License\n" + licenses.TEMPLATES["MIT"][2]),
