@@ -1,30 +1,25 @@
 """Main text of web pages by consensus host paths.
 
 Every page scores its containers and votes for the generalised path (tags and
-classes, digits blanked) of the best one. Spark adds the votes up by host and
-ranks the paths; then each page is extracted again with the best-ranked path of
-its host that it has. A page on which no ranked path holds text uses its own best
-container.
+classes, digits blanked) of the best one. Spark adds the votes up by host; all
+voted paths are joined with the paths on which each page has text, and the page is
+extracted again with its best one. A page without any uses its own best container.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktide.llm.common import batches, ready, text_of
 
-# Ranked paths that a host's pages try before their own best container.
-RANKED = 8
-# Tasks that the pages of one host may spread over.
-SHARES = 64
-
 # HTML elements by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -180,7 +175,7 @@ def parse(source: str) -> Page:
 def _score(page: Page) -> None:
     """Add every text to the elements that it is main text of, and as boilerplate to those above."""
     for inner, text in page.pieces:
-        size = len(text.strip()) if text else 0
+        size = len(text.strip()) if text and html.unescape(text).strip() else 0
         if not size:
             continue
         tags, e, main = set(), inner, True
@@ -240,26 +235,36 @@ def _votes(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         yield out
 
 
+def _filled(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Paths of each page's containers with text."""
+    for part in parts:
+        out: dict[str, list] = {"page": [], "spot": []}
+        for number, host, source in zip(*(part.column(c).to_pylist() for c in ("page", "host", "html")), strict=True):
+            page = parse(source)
+            _score(page)
+            have = {e.path for k, e in enumerate(page.elements) if (e.tag in CONTAINERS or k == 0) and e.main and e.texts}
+            out["page"].extend([number] * len(have))
+            out["spot"].extend(hashlib.md5(f"{host} {path}".encode()).digest() for path in sorted(have))
+        yield out
+
+
 def _texts(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for part in parts:
         out: dict[str, list] = {"page_id": part.column("page_id"), "url": part.column("url"), "text": [], "path": []}
-        for source, ranked in zip(*(part.column(c).to_pylist() for c in ("html", "paths")), strict=True):
+        for source, used in zip(*(part.column(c).to_pylist() for c in ("html", "path")), strict=True):
             page = parse(source)
-            have = {e.path for e in page.elements}
-            found, used = "", None
-            for path in ranked or ():
-                if path in have and (found := extract(page, path)):
-                    used = path
-                    break
-            if not found and (best := vote(page)[0]) >= 0:
-                used = page.elements[best].path
-                found = extract(page, used)
+            found = extract(page, used) if used is not None else ""
+            if not found:
+                best = vote(page)[0]
+                used = page.elements[best].path if best >= 0 else None
+                found = extract(page, used) if best >= 0 else ""
             out["text"].append(found)
             out["path"].append(used)
         yield out
 
 
 VOTES = pa.schema([("host", pa.string()), ("path", pa.string()), ("score", pa.float64())])
+FILLED = pa.schema([("page", pa.binary()), ("spot", pa.binary())])
 TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("path", pa.string())])
 
 
@@ -269,22 +274,23 @@ def host_of(url: str = "url"):
     return F.regexp_replace(host, r"^www\.", "")
 
 
-def host_paths(pages: DataFrame) -> DataFrame:
-    """Ranked container paths of each host: ``host, paths``, best first.
+def voted_paths(pages: DataFrame) -> DataFrame:
+    """Every container path that a page of a host chose: ``host, path, score``.
 
     A path's votes are the scores of the pages that chose it, added up with
     map-side combining, so that a host with most of the pages is no hot spot.
-    Equal sums are ranked by path.
     """
     ready(pages.sparkSession)
     rows = pages.select(host_of().alias("host"), text_of("html").alias("html"))
     votes = rows.mapInArrow(lambda parts: batches(_votes(parts), VOTES), "host string, path string, score double")
     # Whole numbers, so that the sum does not depend on the order of addition.
-    summed = votes.groupBy("host", "path").agg(F.sum(F.ceil(F.col("score"))).alias("score"))
-    place = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("score"), "path"))
-    ranked = summed.withColumn("place", place).where(F.col("place") <= RANKED)
-    listed = F.sort_array(F.collect_list(F.struct("place", "path")))
-    return ranked.groupBy("host").agg(F.transform(listed, lambda x: x["path"]).alias("paths"))
+    return votes.groupBy("host", "path").agg(F.sum(F.ceil(F.col("score"))).alias("score"))
+
+
+def host_paths(pages: DataFrame) -> DataFrame:
+    """The same as a list for each host, for looking at: ``host, paths``, best first; equal sums are ranked by path."""
+    listed = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "path")))
+    return voted_paths(pages).groupBy("host").agg(F.transform(listed, lambda x: x["path"]).alias("paths"))
 
 
 def extract_pages(pages: DataFrame, paths: DataFrame | None = None) -> DataFrame:
@@ -292,15 +298,18 @@ def extract_pages(pages: DataFrame, paths: DataFrame | None = None) -> DataFrame
 
     One row per input row, repeated rows and NULL ids too. NULL, empty and
     text-free pages have the empty text and no path. Pages without a host share
-    the empty host. ``paths`` (``host, paths``) is voted on here unless given.
+    the empty host. ``paths`` (``host, path, score``) is voted on here unless given;
+    no number of paths is too many, and equal scores are ranked by path.
     Columns other than ``page_id``, ``url`` and ``html`` are not looked at.
     """
     ready(pages.sparkSession)
-    ranked = host_paths(pages) if paths is None else paths
-    # The pages of a host are dealt over SHARES keys and its paths copied to each, so that no task gets a whole large host.
-    share = F.pmod(F.monotonically_increasing_id(), F.lit(SHARES)).cast("int").alias("share")
-    rows = pages.select("page_id", "url", text_of("html").alias("html"), host_of().alias("host"), share)
-    ranked = ranked.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
-    rows = rows.join(ranked, ["host", "share"], "left")
-    rows = rows.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "paths")
+    voted = voted_paths(pages) if paths is None else paths
+    rows = pages.select("page_id", "url", text_of("html").alias("html"), host_of().alias("host"))
+    # Pages of one host with the same source have the same path.
+    rows = rows.withColumn("page", F.unhex(F.md5(F.concat_ws(" ", "host", "html").cast("binary"))))
+    have = rows.select("page", "host", "html").mapInArrow(lambda parts: batches(_filled(parts), FILLED), "page binary, spot binary")
+    spot = F.unhex(F.md5(F.concat_ws(" ", "host", "path").cast("binary"))).alias("spot")
+    ranked = voted.select(spot, F.struct((-F.col("score")).alias("minus"), "path").alias("rank"))
+    best = have.join(ranked, "spot").groupBy("page").agg(F.min("rank")["path"].alias("path"))
+    rows = rows.join(best, "page", "left").select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "path")
     return rows.mapInArrow(lambda parts: batches(_texts(parts), TEXTS), "page_id long, url string, text string, path string")

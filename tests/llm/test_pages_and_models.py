@@ -53,6 +53,18 @@ def test_a_host_outvotes_a_page_with_long_comments(spark):
     assert all("chat" not in r.text and r.text.startswith("T") for r in html_extract.extract_pages(pages).collect())
 
 
+def test_a_host_with_many_layouts(spark):
+    """The ninth and later paths of a host still win over a page's own long comments."""
+    def source(k, talk):
+        return f"<body><div class=story-{'abcdefghijklmno'[k]}><h1>T{k}</h1><p>{'word ' * (60 + 5 * k)}</p></div><div class=talk><p>{talk}</p></div></body>"
+
+    rows = [(10 * k + n, "http://h.example/", source(k, "ok ")) for k in range(14) for n in range(8)]
+    rows += [(1000, "http://h.example/", source(0, "chat " * 150))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
+    assert len(got) == len(rows) and all(t.startswith("T") and "chat" not in t and "ok" not in t for t in got.values())
+
+
 def test_boilerplate_is_inherited_and_an_article_survives_one_word(spark):
     story, talk = f"<h1>Tale</h1><p>{'word ' * 40}</p>", f"<p>{'chat ' * 300}</p>"
     sources = [
