@@ -1,7 +1,7 @@
 """Licence scan: TF-IDF cosine of headers and licence files to templates, inherited down directories.
 
 Licence files are compared as a whole, other files by the sentences that speak of
-a licence. A file without a licence of its own takes that of the licence file in
+a licence and by the comment at their top. A file without a licence of its own takes that of the licence file in
 the nearest directory above it.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,10 +69,18 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
 }
+# Whole licences, by SPDX name, and the lines that name one.
+TEXTS = {f.stem: f.read_text(encoding="utf-8") for f in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
+FAMILY = ("", "-only", "-or-later")
+for _name in sorted({*TEMPLATES, *TEXTS}):
+    _lines = [f"SPDX-License-Identifier: {_name}{v}" for v in (FAMILY if "GPL" in _name else ("",))]
+    TEMPLATES[_name] = (*TEMPLATES.get(_name, ()), *filter(None, [TEXTS.get(_name)]), *_lines)
 # What a sentence about a licence holds, and the names of licence files.
 CUE = r"(?i)licen[sc]|copyright|spdx|permission is hereby|redistribution and use|public domain|free software"
 LICENCE_FILE = r"(?i)(^|/)(un)?(licen[sc]e|copying)([._-][^/]*)?$"
 SENTENCE = r"[\r\n]+|(?<=[.!?;])\s+(?=\p{Lu})"
+COMMENT = r"^\s*($|#|//|/?\*|--|;|%|<!--)"
+MARKER = r"(?m)^[ \t]*(#+|/+\*+|//+|\*+/?|--+>?|;+|%+|<!--)|\*/|-->"
 TOKEN = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
 
@@ -130,6 +139,15 @@ def inherited(directories: DataFrame, licensed: DataFrame) -> DataFrame:
     return climbed.join(named, "from_dir").groupBy("dir").agg(nearest).select("dir", "n.licence", "n.from_dir")
 
 
+def opening(text: str = "text"):
+    """The comment at the top of a file as one line without its marks; empty if there is none."""
+    lines = F.split(text, r"\r?\n")
+    other = F.array_position(F.transform(lines, lambda x: x.rlike(COMMENT)), False)
+    led = F.array_join(F.slice(lines, F.lit(1), F.when(other > 0, other - 1).otherwise(F.size(lines)).cast("int")), "\n")
+    block = F.when(F.ltrim(F.col(text)).startswith("/*"), F.substring_index(text, "*/", 1)).otherwise(led)
+    return F.trim(F.regexp_replace(F.regexp_replace(block, MARKER, " "), r"\s+", " "))
+
+
 def scan(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """Licence of every file: ``path, licence, cosine, found_in``.
 
@@ -142,8 +160,10 @@ def scan(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, le
     rows = files.select(F.coalesce("path", F.lit("")).alias("path"), text_of().alias("text"))
     speaking = rows.where(F.col("text").rlike(CUE))
     sentences = F.filter(F.split("text", SENTENCE), lambda s: s.rlike(CUE))
+    # A comment wrapped over lines is compared joined, as a whole and by its sentences.
+    header = F.filter(F.concat(F.array(opening()), F.split(opening(), SENTENCE)), lambda s: s.rlike(CUE))
     whole = F.col("path").rlike(LICENCE_FILE)
-    passages = speaking.select("path", F.explode(F.when(whole, F.array("text")).otherwise(sentences)).alias("passage"))
+    passages = speaking.select("path", F.explode(F.when(whole, F.array("text")).otherwise(F.concat(sentences, header))).alias("passage"))
     own = match(passages, templates, least)
     licensed = own.where(F.col("path").rlike(LICENCE_FILE)).select(directory().alias("dir"), "licence")
     paths = rows.select("path").withColumn("dir", directory())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -111,6 +112,20 @@ def test_licences(spark):
     assert licenses.scan(spark.createDataFrame([], "path string, text string")).count() == 0
 
 
+def test_whole_licences_and_wrapped_headers(spark):
+    rows = [(f"{name}/LICENSE", f"Copyright (c) 2019 Some One\n\n{text}") for name, text in licenses.TEXTS.items()]
+    want = {f"{name}/LICENSE": name for name in licenses.TEXTS}
+    for name in ("MIT", "BSD-3-Clause", "ISC"):
+        lines = textwrap.wrap(licenses.TEXTS[name], 76)
+        for k, block in enumerate(("\n".join(f"# {x}" for x in lines), "/*\n" + "\n".join(lines) + "\n */", "/*\n * " + "\n * ".join(lines) + "\n */")):
+            rows.append((f"src/{name}-{k}.c", f"{block}\nint x;\n"))
+            want[f"src/{name}-{k}.c"] = name
+    rows += [("a.py", "# SPDX-License-Identifier: MIT\nx = 1"), ("b.py", "// SPDX-License-Identifier: GPL-2.0-or-later\n"), ("Apache-2.0/x.py", "x")]
+    want |= {"a.py": "MIT", "b.py": "GPL-2.0", "Apache-2.0/x.py": "Apache-2.0"}
+    files = spark.createDataFrame(rows, "path string, text string")
+    assert {r.path: r.licence for r in licenses.scan(files).collect()} == want
+
+
 def test_every_template_is_closest_to_itself(spark):
     rows = [(f"{n}#{k}", t) for n, ts in licenses.TEMPLATES.items() for k, t in enumerate(ts)]
     for r in licenses.match(spark.createDataFrame(rows, "path string, passage string")).collect():
