@@ -115,6 +115,16 @@ def fingerprints(docs: DataFrame, words: int = 3, id_column: str = "doc_id", tex
     return docs.select(F.col(id_column).alias("doc_id"), _fingerprints(words)(text_of(text)).alias("fp"))
 
 
+def _grouped(rows: DataFrame, max_bits: int, segments: int) -> DataFrame:
+    """Group of each fingerprint of ``doc_id, fp``: ``fp, component, component_id`` (a fingerprint and the smallest id of the group)."""
+    prints = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    groups = components(hamming_links(prints.select("fp"), max_bits, segments), "a", "b")
+    named = prints.join(groups.withColumnRenamed("node", "fp"), "fp", "left")
+    named = named.withColumn("component", F.coalesce("component", "fp"))
+    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return named.join(smallest, "component").select("fp", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, segments: int = 2) -> DataFrame:
     """Fingerprint and group of every document: ``doc_id, fp, component_id``.
 
@@ -125,12 +135,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, segments
     than ``doc_id`` and ``text`` are not looked at.
     """
     rows = settle(fingerprints(docs, words), "fingerprints")
-    prints = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    groups = components(hamming_links(prints.select("fp"), max_bits, segments), "a", "b")
-    named = prints.join(groups.withColumnRenamed("node", "fp"), "fp", "left")
-    named = named.withColumn("component", F.coalesce("component", "fp"))
-    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(smallest, "component").select("fp", "component_id")
+    named = _grouped(rows, max_bits, segments)
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -139,14 +144,15 @@ def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 3, segments: int =
 
     The row with the smallest ``doc_id`` stays; of several such rows (repeated ids,
     or none but NULL ids) the one with the smallest text, then any of the rows equal in both.
+    Groups are told apart by fingerprint, so that one id in several groups stays in each.
     """
-    groups = near_duplicates(docs, words, max_bits, segments)
-    named = groups.where("component_id IS NOT NULL").select(F.col("component_id").alias("keep_id")).distinct()
-    # Rows in groups without any id are told apart by fingerprint.
-    bare = groups.where("component_id IS NULL").select("fp").distinct()
+    groups = _grouped(settle(fingerprints(docs, words), "fingerprints"), max_bits, segments)
     packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("keep_id"), F.col("text").alias("keep_text"))
-    with_id = packed.join(named, "keep_id", "left_semi")
-    chosen = with_id.groupBy("keep_id").agg(F.min_by("row", F.struct(F.col("keep_text").isNull(), "keep_text")).alias("row"))
-    without = packed.where("keep_id IS NULL").withColumn("fp", _fingerprints(words)(text_of("keep_text")))
-    without = without.join(bare, "fp", "left_semi").groupBy("fp").agg(F.min_by("row", "keep_text").alias("row"))
-    return chosen.select("row").unionByName(without.select("row")).select("row.*")
+    # Only rows with the smallest id of some group are fingerprinted again, and NULL ids.
+    ids = groups.select(F.col("component_id").alias("keep_id")).distinct()
+    some = packed.join(ids, packed["keep_id"].eqNullSafe(ids["keep_id"]), "left_semi")
+    some = some.withColumn("keep_fp", _fingerprints(words)(text_of("keep_text")))
+    known = groups.select(F.col("fp").alias("keep_fp"), "component", F.col("component_id").alias("least_id"))
+    least = some.join(known, "keep_fp").where(F.col("keep_id").eqNullSafe(F.col("least_id")))
+    order = F.struct(F.col("keep_text").isNull(), "keep_text")
+    return least.groupBy("component").agg(F.min_by("row", order).alias("row")).select("row.*")

@@ -170,6 +170,13 @@ def test_one_of_each_group_stays(spark):
     assert simhash.keep_one(documents(spark, [])).count() == 0
 
 
+def test_one_id_in_two_groups_stays_in_both(spark):
+    one, other = "a b c d e f g h i", "entirely different words stand in this text here"
+    rows = [(5, one), (5, other), (9, other.upper()), (7, one.upper())]
+    kept = simhash.keep_one(documents(spark, [(i, t, "en", "s", 1) for i, t in rows]))
+    assert key_order((r.doc_id, r.text) for r in kept.collect()) == key_order([(5, one), (5, other)])
+
+
 def test_queries_over_a_folder(spark, tmp_path):
     documents(spark).write.parquet(f"{tmp_path}/documents.parquet")
     for name in ("op2_token_counts", "op3_sentence_pieces", "op7_licenses", "op9_simhash"):
