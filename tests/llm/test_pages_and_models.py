@@ -219,6 +219,16 @@ def test_clean_words_that_begin_like_toxic_ones(spark):
     assert np.mean([found[i].predicted == (i % 10 == 3) for i in range(1, 901)]) > 0.97
 
 
+def test_a_rare_toxic_word_among_many_common_ones(spark):
+    """More than 20,000 words are commoner in toxic texts than the one that tells."""
+    common = [f"n{i}" for i in range(20_500)]
+    rows = [(i, " ".join(common) + (" vilest" if k < 9 else ""), 1) for k, i in enumerate(range(1, 13))]
+    rows += [(i, " ".join(common), 0) for i in range(13, 60)]
+    sample = spark.createDataFrame([(t, y) for _, t, y in rows], "text string, y int")
+    known, weights = toxicity._vocabulary(sample, 12, 47)
+    assert len(known) == 20_501 and weights[known["vilest"]] > 2 * weights[known["n0"]]
+
+
 @pytest.mark.parametrize("classify", [toxicity.toxicity, quality.quality])
 def test_nothing_to_learn_from(spark, classify):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
