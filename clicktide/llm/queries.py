@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktide.llm import ann, embed_dedup, html_extract, licenses, packing, quality, sentence_pieces, simhash, token_counts, toxicity
+from clicktide.llm import (
+    ann,
+    audit_sql,
+    divergence,
+    embed_dedup,
+    html_extract,
+    licenses,
+    line_dedup,
+    merkle,
+    packing,
+    quality,
+    sentence_pieces,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from clicktide.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +88,20 @@ def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), least_docs=10, least_chars=1)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"), least_docs=30, top=50)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.audit(table(spark, sf_dir, "documents"), tampered, fanout=16)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_text": op1_html_text,
@@ -85,6 +114,9 @@ def queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_simhash": op9_simhash,
         "op10_embedding_duplicates": op10_embedding_duplicates,
+        "op11_line_dedup": op11_line_dedup,
+        "op12_source_divergence": op12_source_divergence,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
@@ -115,4 +147,9 @@ FROM embeddings JOIN groups ON node = vec_id LEFT JOIN counts ON a = vec_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_embedding_duplicates": OP10_SQL}
+    return {
+        "op10_embedding_duplicates": OP10_SQL,
+        "op11_line_dedup": audit_sql.LINES,
+        "op12_source_divergence": audit_sql.DIVERGENCE,
+        "op13_merkle_manifest": audit_sql.manifest(),
+    }
