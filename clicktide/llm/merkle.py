@@ -10,6 +10,7 @@ brings the siblings and the path above.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -92,24 +93,29 @@ class Trees:
             tops[0] = tops[0].unionByName(more)
         return tops[0]
 
-    def paths(self, above: DataFrame | None = None) -> DataFrame:
-        """``grp, idx, path`` for every leaf: an array of the digests left and right of it, level by level to the root.
+    def paths(self, above: DataFrame | None = None, more: Sequence[str] = ()) -> DataFrame:
+        """``grp, idx``, the leaf columns ``more`` and ``path`` for every leaf: the digests left and right of it, level by level to the root.
 
-        ``above`` (``grp, path``) goes on from the root of each group.
+        ``above`` (``grp, path`` and any other columns, which every leaf of the group
+        gets) goes on from the root of each group. A path moves once, to the run below it.
         """
         nothing = F.expr("cast(array() as array<struct<lead: string, tail: string>>)")
+        given = [] if above is None else [c for c in above.columns if c not in ("grp", "path")]
         path = None
         for k in reversed(range(len(self.levels))):
-            tops = self.levels[k].where("size = 1").select("grp", "idx")
+            own = ["grp", "idx", *(more if k == 0 else ())]
+            tops = self.levels[k].where("size = 1").select(*own)
             here = tops.withColumn("path", nothing) if above is None else tops.join(above, "grp")
+            here = here.select(*own, *given, "path")
             if path is not None:
-                kids = self.levels[k].where("size > 1").select("grp", "idx", F.expr(f"idx div {self.fanout}").alias("up"))
+                kids = self.levels[k].where("size > 1").select(*own, F.expr(f"idx div {self.fanout}").alias("up"))
                 over = path.join(self.levels[k + 1].select("grp", "idx", "children"), ["grp", "idx"]).withColumnRenamed("idx", "up")
                 slot = (F.col("idx") % self.fanout).cast("int")
                 lead = F.array_join(F.slice("children", F.lit(1), slot), "")
                 tail = F.array_join(F.slice("children", slot + 2, F.lit(self.fanout)), "")
                 step = F.array(F.struct(lead.alias("lead"), tail.alias("tail")))
-                here = here.unionByName(kids.join(over, ["grp", "up"]).select("grp", "idx", F.concat(step, "path").alias("path")))
+                under = kids.join(over, ["grp", "up"]).select(*own, *given, F.concat(step, "path").alias("path"))
+                here = here.unionByName(under)
             path = here
         return path
 
@@ -157,9 +163,7 @@ def manifest(docs: DataFrame, group: str, order: str, leaf: Column, *more: Colum
     root = top.roots().select("grp", F.col("node").alias("root"))
     above = roots.select("grp", "idx", "of", F.col("node").alias("subroot")).join(top.paths(), ["grp", "idx"]).join(root, "grp")
     above = settle(above.select(F.col("of").alias("grp"), "subroot", "root", "path"), "merkle-groups")
-    paths = trees.paths(above.select("grp", "path"))
-    named = above.select("grp", "subroot", "root")
-    found = leaves.join(paths, ["grp", "idx"]).join(named, "grp")
+    found = trees.paths(above, ["place", "node", *extra])
     return found.select(F.col("place").alias(order), F.col("node").alias("leaf"), "subroot", "root", "path", *extra)
 
 
