@@ -220,7 +220,8 @@ def drop_repeated_lines(docs: DataFrame, least_docs: int = 10, least_chars: int
     held = context.broadcast(_filter_of(confirmed, filter_bits(confirmed.count(), most_bits)))
 
     pages = each.select("page", "digest").distinct().join(confirmed, "digest")
-    lost = pages.groupBy("page").agg(F.collect_list(F.struct("digest", "first.id", "first.line")).alias("lost"))
+    # Written out, so that the join below may split the rows of a text with very many copies.
+    lost = settle(pages.groupBy("page").agg(F.collect_list(F.struct("digest", "first.id", "first.line")).alias("lost")), "lost-lines")
 
     @F.pandas_udf("boolean")
     def may_lose(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
