@@ -25,7 +25,7 @@ UNIT = 1_000_000_000
 # Occurrences added to every term.
 ADDED = 5
 # Terms of a slice and sources of a block: a task holds at most two blocks of arrays of one slice.
-SLICE = 1 << 15
+SLICE = 1 << 13
 BLOCK = 32
 # Distinct terms that a counting task holds before it passes them on.
 HELD = 300_000
