@@ -115,9 +115,16 @@ def items_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed basket lines, as an extract lands them."""
     return cleanse_items(items_source(spark, sf_dir))
 
 
+def dated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Basket lines posted in the month of the events, by order number."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("transaction_id").cast("bigint"), F.lit(30)).cast("int"))
+    return items(spark, sf_dir).withColumn("event_date", day)
+
+
 def _param(key: str, number: Column | None = None, text: Column | None = None) -> Column:
     value = F.struct(
         (F.lit(None) if number is None else number).cast("bigint").alias("int_value"),

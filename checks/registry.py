@@ -19,6 +19,7 @@ from clicktide.operators.channels import channel_summary
 from clicktide.operators.cleanse import cleanse_events, cleanse_items, dedupe, raw_defects
 from clicktide.operators.flatten import flatten_events, flatten_items, repeated_params
 from clicktide.operators.funnel import funnel
+from clicktide.operators.gaps import gap_sessions
 from clicktide.operators.metrics import metrics
 from clicktide.operators.products import product_summary
 from clicktide.operators.quality import quality_report, step_rises
@@ -35,6 +36,7 @@ from clicktide.sources.flat import read_events, read_items
 from clicktide.sources.landing import land, manifest
 from clicktide.sources.shards import scan_days, validate_range
 from clicktide.sources.tables import export_contract, read_table, write_table
+from clicktide.streaming.facts import stream_facts, streamed_facts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +61,23 @@ def _sessions(events: DataFrame) -> DataFrame:
     return session_summary(events).withColumn("revenue", r2(F.col("revenue")))
 
 
+def _gaps(events: DataFrame, gap: timedelta, cells: int) -> DataFrame:
+    return gap_sessions(events, gap, cells).withColumn("revenue", r2(F.col("revenue")))
+
+
+def _streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Events through three landings of a stream: each brings some days late, and the last days before it once more."""
+    landed, target, progress = (scratch_path(spark, f"stream-{part}") for part in ("landed", "facts", "progress"))
+    rows = b.flat_source(spark, sf)
+    day = F.dayofmonth("event_date")
+    late = (day % 4 == 0) & (F.minute("event_timestamp") < 20)
+    landings = [(day <= 10) & ~late, (day.between(9, 20) & ~late) | ((day <= 10) & late), (day >= 19) | (day.between(11, 20) & late)]
+    for chosen in landings:
+        rows.where(chosen).write.mode("append").parquet(landed)
+        stream_facts(spark, landed, target, progress, rows.schema, delay="12 days").awaitTermination()
+    return streamed_facts(spark, target)
+
+
 def _visits(spark: SparkSession, sf: str) -> DataFrame:
     return condense(b.events(spark, sf), b.FIRST_VISIT).withColumn("revenue", r2(F.col("revenue")))
 
@@ -139,13 +158,13 @@ def _scan_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows per landed day, from the manifest's files; every file must be hashed both ways."""
+    """Rows per landed day, from the manifest's files; every file must have its digest."""
     outputs = {"events": scratch_path(spark, "land-events"), "items": scratch_path(spark, "land-items")}
     land(flatten_events(b.nested_events(spark, sf)), outputs["events"])
     land(flatten_items(b.nested_baskets(spark, sf)), outputs["items"])
     files = manifest(spark, outputs, "supplied tables", "20240101", "20240130")
     day = F.regexp_extract("file", r"event_date=(\d{4}-\d{2}-\d{2})", 1).alias("day")
-    hashed = (F.length("sha256") == 64) & (F.col("bytes") > 0) & F.col("content").isNotNull()
+    hashed = (F.length("digest") == 64) & (F.col("bytes") > 0)
     return files.groupBy("source", "start", "end", "output", day).agg(
         F.sum("rows").alias("rows"), (F.count_if(hashed) == F.count(F.lit(1))).alias("all_hashed")
     )
@@ -214,9 +233,9 @@ def _contract(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _config(spark: SparkSession, source: str) -> JobConfig:
-    base, none = scratch_path(spark, "base"), scratch_path(spark, "no-items")
-    return JobConfig(base, source, b.BOUNDS, none, first_visit=b.FIRST_VISIT, steps=b.STEPS)
+def _config(spark: SparkSession, source: str, items: str, fixture: bool = False) -> JobConfig:
+    base = scratch_path(spark, "base")
+    return JobConfig(base, source, b.BOUNDS, items, fixture, first_visit=b.FIRST_VISIT, steps=b.STEPS)
 
 
 # Builds of this session, by what they were made from: several queries look at one build's tables.
@@ -234,11 +253,25 @@ def _once(make: Callable[..., dict[str, DataFrame]]) -> Callable[..., dict[str,
 
 
 @_once
-def _built(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """A whole build of the supplied events."""
-    source = scratch_path(spark, "landed")
+def _built(spark: SparkSession, sf: str, fixture: bool = False) -> dict[str, DataFrame]:
+    """A whole build of the supplied events and items."""
+    source, items = scratch_path(spark, "landed"), scratch_path(spark, "landed-items")
     write_table(b.flat_source(spark, sf), source, "event_date")
-    return run(spark, _config(spark, source))
+    write_table(b.items(spark, sf), items, "event_date")
+    return run(spark, _config(spark, source, items, fixture))
+
+
+def _built_fixture(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the tables of a fixture build, read from the folders that it alone writes to."""
+    done = _built(spark, sf, True)
+    parts = []
+    for name in ("funnel", "user_value", "product_summary", "session_summary", "quality_report"):
+        read = spark.read.parquet(*{f.rsplit("/", 1)[0] for f in done[name].inputFiles()})
+        place = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3)
+        parts.append(read.groupBy(place.alias("folder"), F.lit(name).alias("table_name")).agg(F.count(F.lit(1)).alias("rows")))
+    skipped = done["quality_report"].where("status = 'not_applicable'")
+    parts.append(skipped.groupBy(F.lit("warehouse_fixture").alias("folder"), F.col("rule").alias("table_name")).agg(F.count(F.lit(1)).alias("rows")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _analysis(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -251,7 +284,7 @@ def _all_refreshed(spark: SparkSession, sf: str, undated: bool) -> dict[str, Dat
 
     ``undated`` takes the day from a third of that week's rows.
     """
-    source = scratch_path(spark, "landed")
+    source, items = scratch_path(spark, "landed"), scratch_path(spark, "landed-items")
     last = b.BOUNDS.last
     week = [last - timedelta(days=d) for d in range(7)]
     rows = b.flat_source(spark, sf)
@@ -259,10 +292,13 @@ def _all_refreshed(spark: SparkSession, sf: str, undated: bool) -> dict[str, Dat
     if undated:
         rows = rows.withColumn("event_date", F.when(~new | (F.minute("event_timestamp") >= 20), F.col("event_date")))
         new = F.coalesce(new, F.lit(True))
+    things = b.dated_items(spark, sf)
     write_table(rows.where(~new), source, "event_date")
-    cfg = _config(spark, source)
+    write_table(things.where(F.col("event_date") < min(week)), items, "event_date")
+    cfg = _config(spark, source, items)
     schemas = {name: df.schema for name, df in run(spark, cfg).items()}
     write_table(rows, source, "event_date")
+    write_table(things, items, "event_date")
     refresh(spark, cfg, [*week, None] if undated else week)
     return {name: read_table(spark, table_path(cfg, name), schema) for name, schema in schemas.items()}
 
@@ -306,6 +342,9 @@ def queries() -> dict[str, Query]:
         "flatten_items": lambda s, d: flatten_items(b.nested_baskets(s, d)),
         "repeated_params": lambda s, d: repeated_params(b.nested_events(s, d)),
         "session_summary": _over_events(_sessions),
+        "gap_sessions": _over_events(lambda ev: _gaps(ev, timedelta(minutes=30), 4096)),
+        "gap_sessions_stitched": _over_events(lambda ev: _gaps(ev, timedelta(hours=12), 3)),
+        "streamed_events": _streamed,
         "daily_kpi": _over_events(_daily),
         "trend": _over_events(lambda ev: views.trend(_daily(ev))),
         "summary": _over_events(lambda ev: kpi.summary(ev, "fixture", b.FIRST_VISIT)),
@@ -349,11 +388,23 @@ def queries() -> dict[str, Query]:
             {c: to_places(F.col(c), 6) for c in ("avg_7d", "sd_7d")}
         ),
         "incremental_summary": lambda s, d: _refreshed(s, d, "summary"),
+        "incremental_items": lambda s, d: _refreshed(s, d, "items"),
+        "incremental_products": lambda s, d: _refreshed(s, d, "product_summary"),
+        "incremental_visits": lambda s, d: _refreshed(s, d, "visits").withColumn("revenue", r2(F.col("revenue"))),
+        "incremental_build_summary": lambda s, d: _refreshed(s, d, "build_summary"),
+        "incremental_quality": lambda s, d: _refreshed(s, d, "quality_report"),
         "run_summary": lambda s, d: _built(s, d)["summary"],
+        "run_items": lambda s, d: _built(s, d)["items"],
+        "run_products": lambda s, d: _built(s, d)["product_summary"],
+        "run_build_summary": lambda s, d: _built(s, d)["build_summary"],
+        "run_quality": lambda s, d: _built(s, d)["quality_report"],
+        "run_fixture": _built_fixture,
         "run_metadata": lambda s, d: _built(s, d)["build_metadata"].select("data_mode", F.col("built_at").isNotNull().alias("timed")),
         "analysis_summary": lambda s, d: _analysis(s, d)["summary"],
         "analysis_funnel": lambda s, d: _analysis(s, d)["funnel"],
         "analysis_channels": lambda s, d: _analysis(s, d)["top_channels"],
+        "analysis_products": lambda s, d: _analysis(s, d)["top_products"],
+        "analysis_anomalies": lambda s, d: _analysis(s, d)["anomaly_dates"],
         "analysis_retention": lambda s, d: _analysis(s, d)["retention_weeks_0_to_4"],
         "refused_input": _refused,
     }

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from clicktide.functions.dates import week_start
 from clicktide.operators.cleanse import cleanse_events, cleanse_items, event_key, typed_events
+from clicktide.operators.funnel import step_times
 from clicktide.operators.kpi import daily_kpi
 from clicktide.operators.retention import cohort_retention, retention_of, user_weeks
 from clicktide.operators.visits import condense
@@ -128,33 +129,41 @@ def _monday(day: date | None) -> date | None:
 def refresh(spark: SparkSession, cfg: JobConfig, days: Iterable[date | None]) -> None:
     """Bring all written tables up to date for ``days`` of the source; None names rows without a day.
 
-    Facts, visits, daily KPI and cohorts are refreshed by day and by cohort.
-    The marts over all days are then made anew, from visits, items and KPI. What
+    Facts, visits, step times, daily KPI and cohorts are refreshed by day and by cohort.
+    The marts over all days are then made anew, from visits, step times, items and KPI;
+    the events of other days are read for the row rules only. What
     is derived is replaced before what it is derived from, the event facts last;
     if the job dies in between, running it again ends in the same tables.
     """
     require_strict(spark)
     with scratch_scope(spark):
         _refresh_facts(spark, cfg, set(days))
-    done = {name: spark.read.schema(schema).parquet(table_path(cfg, name)).select(*schema.fieldNames()) for name, schema in _schemas(spark).items()}
+    done = {name: spark.read.schema(schema).parquet(table_path(cfg, name)).select(*schema.fieldNames()) for name, schema in _schemas(spark, cfg).items()}
     dependent_marts(spark, cfg, done)
 
 
-def _schemas(spark: SparkSession) -> dict[str, T.StructType]:
+def _schemas(spark: SparkSession, cfg: JobConfig) -> dict[str, T.StructType]:
     """Schemas of the tables that the other marts are made from."""
     events = spark.createDataFrame([], EVENTS)
-    made = {"visits": condense(events), "daily_kpi": daily_kpi(events), "user_weeks": user_weeks(events), "cohort_retention": cohort_retention(events)}
+    made = {
+        "visits": condense(events),
+        "step_times": step_times(events, cfg.steps),
+        "daily_kpi": daily_kpi(events),
+        "user_weeks": user_weeks(events),
+        "cohort_retention": cohort_retention(events),
+    }
     return {"events": EVENTS, "items": cleanse_items(empty_items(spark)).schema} | {name: df.schema for name, df in made.items()}
 
 
 def _refresh_facts(spark: SparkSession, cfg: JobConfig, days: set[date | None]) -> None:
-    schemas = _schemas(spark)
+    schemas = _schemas(spark, cfg)
     ods = read_events(spark, cfg.events_path)
     old = read_table(spark, table_path(cfg, "events"), EVENTS)
     affected = days | _days_sharing_events(ods, old, days)
 
     come = settle(cleansed_days(ods, affected), "refreshed-events")
     come_visits = settle(condense(come, cfg.first_visit), "refreshed-visits")
+    come_steps = settle(step_times(come, cfg.steps), "refreshed-steps")
     kpi = settle(daily_kpi(come_visits), "refreshed-kpi")
 
     # Visits of the touched weeks: the stored days that stay, and the refreshed ones.
@@ -177,5 +186,6 @@ def _refresh_facts(spark: SparkSession, cfg: JobConfig, days: set[date | None])
     replace_partitions(kpi, table_path(cfg, "daily_kpi"), CONTRACT["daily_kpi"], affected)
     replace_partitions(retention, table_path(cfg, "cohort_retention"), INTERNAL["cohort_retention"], cohorts)
     replace_partitions(current, table_path(cfg, "user_weeks"), INTERNAL["user_weeks"], cohorts)
+    replace_partitions(come_steps, table_path(cfg, "step_times"), INTERNAL["step_times"], affected)
     replace_partitions(come_visits, table_path(cfg, "visits"), INTERNAL["visits"], affected)
     replace_partitions(come, table_path(cfg, "events"), CONTRACT["events"], affected)

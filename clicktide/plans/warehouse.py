@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clicktide.operators.anomaly import daily_anomaly
 from clicktide.operators.channels import channel_summary
 from clicktide.operators.cleanse import cleanse_events, cleanse_items
-from clicktide.operators.funnel import CHECKOUT_STEPS, funnel
+from clicktide.operators.funnel import CHECKOUT_STEPS, funnel_of, step_times
 from clicktide.operators.kpi import build_metadata, build_summary, daily_kpi, summary
 from clicktide.operators.products import product_summary
 from clicktide.operators.quality import FIXTURE, Bounds, quality_report
@@ -28,6 +28,7 @@ OFFICIAL = "official_bigquery_export"
 # Tables kept for later steps but not part of the contract, with their folder column.
 INTERNAL = {
     "visits": DATE,
+    "step_times": DATE,
     "user_weeks": "cohort_week",
     "session_summary": None,
     "cohort_retention": "cohort_week",
@@ -80,15 +81,15 @@ def keep(cfg: JobConfig, done: dict[str, DataFrame], name: str, df: DataFrame) -
 
 
 def dependent_marts(spark: SparkSession, cfg: JobConfig, done: dict[str, DataFrame]) -> None:
-    """Write every table that is made anew from facts, visits, daily KPI and cohorts, quality last.
+    """Write every table that is made anew from facts, visits, step times, daily KPI and cohorts, quality last.
 
-    All but the funnel and the row rules come from visits, items or marts. The
+    All but the row rules come from visits, step times, items or marts. The
     scratch tables of a mart go as soon as it is written.
     """
-    events, items, condensed = done["events"], done["items"], done["visits"]
+    items, condensed = done["items"], done["visits"]
     made = {
         "session_summary": lambda: session_summary(condensed),
-        "funnel": lambda: funnel(events, cfg.steps),
+        "funnel": lambda: funnel_of(done["step_times"], cfg.steps),
         "channel_summary": lambda: channel_summary(condensed),
         "user_value": lambda: user_value(condensed),
         "product_summary": lambda: product_summary(items),
@@ -107,7 +108,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     """Build every table and return each as read back from where it was written.
 
     Each table is written once: the contract tables in their final place, the
-    others beside them. The event facts are read three times: for the funnel,
+    others beside them. The event facts are read three times: for the step times,
     for the row checks, and once to condense them into visits, which all other
     marts are derived from.
     """
@@ -116,6 +117,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     keep(cfg, done, "events", cleanse_events(read_events(spark, cfg.events_path)))
     keep(cfg, done, "items", cleanse_items(read_items(spark, cfg.items_source)))
     keep(cfg, done, "visits", condense(done["events"], cfg.first_visit))
+    keep(cfg, done, "step_times", step_times(done["events"], cfg.steps))
     keep(cfg, done, "daily_kpi", daily_kpi(done["visits"]))
     keep(cfg, done, "user_weeks", user_weeks(done["visits"]))
     keep(cfg, done, "cohort_retention", retention_of(done["user_weeks"]))

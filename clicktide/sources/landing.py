@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from clicktide.schemas import DATE
 
-# Files up to this size are hashed as they lie; Spark holds such a file as one value.
-HASHED_BYTES = 256 << 20
+# Rows of a range, the unit of a file's digest.
+RANGE_ROWS = 1 << 16
 
 
 def land(df: DataFrame, path: str, require_rows: bool = True, partition: str | None = DATE) -> int:
@@ -34,11 +34,10 @@ def land(df: DataFrame, path: str, require_rows: bool = True, partition: str | N
 def manifest(
     spark: SparkSession, outputs: Mapping[str, str], source: str, start: str, end: str
 ) -> DataFrame:
-    """One row per landed file: output, rows, bytes and hashes, with source, range and time.
+    """One row per landed file: output, rows, bytes and digest, with source, range and time.
 
-    ``content`` is a hash of the file's rows that does not depend on their order,
-    computed without holding the file. ``sha256`` of the file's bytes is there for
-    files up to ``HASHED_BYTES`` and NULL for larger ones.
+    ``digest`` is the SHA-256 over the digests of the file's row ranges, in order
+    (see ``file_ranges``); it is made alike for files of every size.
     """
     files = reduce(DataFrame.unionByName, [_files(spark, name, path) for name, path in outputs.items()])
     return files.select(
@@ -50,24 +49,49 @@ def manifest(
         "file",
         "rows",
         "bytes",
-        "sha256",
-        "content",
+        "digest",
     )
 
 
+def file_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """Digest of every ``RANGE_ROWS`` rows of each file below ``path``: ``file, part, rows, digest``.
+
+    A row is hashed with its place in the file, with which of its columns are NULL,
+    and under two keys; sums of these hashes are added up within a task, so that a
+    range is one row of the shuffle and no file is ever held as a value. A changed,
+    moved, missing or added row changes the digest of its range.
+    """
+    landed = spark.read.parquet(path)
+    place = F.col("_metadata.row_index")
+    values = [F.to_json(F.struct(c)) if _nested(landed, c) else F.col(c) for c in landed.columns]
+    # Hashing skips NULLs, so their places are hashed as well.
+    row = [place, *values, *[F.col(c).isNull() for c in landed.columns]]
+    wide = "decimal(38,0)"
+    sums = [F.sum(F.xxhash64(F.lit(key), *row).cast(wide)).cast("string") for key in ("first", "second")]
+    part = F.call_function("div", place, F.lit(RANGE_ROWS)).alias("part")
+    found = landed.groupBy(F.col("_metadata.file_path").alias("file"), part).agg(
+        F.count(F.lit(1)).alias("rows"), F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums).alias("sums")
+    )
+    return found.select("file", "part", "rows", F.sha2("sums", 256).alias("digest"))
+
+
+def changed_ranges(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``file, part`` of the ranges whose digests differ, or that only one of two ``file_ranges`` has."""
+    old = before.select("file", "part", F.col("digest").alias("was"))
+    both = old.join(after.select("file", "part", "digest"), ["file", "part"], "full")
+    return both.where(~F.col("was").eqNullSafe(F.col("digest"))).select("file", "part")
+
+
 def _files(spark: SparkSession, name: str, path: str) -> DataFrame:
     file = F.col("_metadata.file_path").alias("file")
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
     sizes = found.select(file, F.col("length").alias("bytes"))  # reads no content
-    # The filter is pushed down: content of larger files is never read.
-    hashed = found.where(F.col("length") <= HASHED_BYTES).select(file, F.sha2("content", 256).alias("sha256"))
-    landed = spark.read.parquet(path)
-    row = F.xxhash64(*[F.to_json(F.struct(c)) if _nested(landed, c) else F.col(c) for c in landed.columns])
-    rows = landed.select(file, row.alias("row")).groupBy("file").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.col("row").cast("decimal(38,0)")).cast("string").alias("content")
-    )
-    both = sizes.join(hashed, "file", "left").join(rows, "file", "left")
-    return both.select(F.lit(name).alias("output"), "file", F.coalesce("rows", F.lit(0)).alias("rows"), "bytes", "sha256", "content")
+    ranges = F.sort_array(F.collect_list(F.struct("part", "digest")))  # one entry per RANGE_ROWS rows of a file
+    root = F.sha2(F.array_join(F.transform(ranges, lambda x: x["digest"]), ""), 256)
+    rows = file_ranges(spark, path).groupBy("file").agg(F.sum("rows").alias("rows"), root.alias("digest"))
+    both = sizes.join(rows, "file", "left")
+    empty = F.sha2(F.lit(""), 256)
+    return both.select(F.lit(name).alias("output"), "file", F.coalesce("rows", F.lit(0)).alias("rows"), "bytes", F.coalesce("digest", empty).alias("digest"))
 
 
 def _nested(df: DataFrame, column: str) -> bool:

@@ -17,6 +17,7 @@ from clicktide.plans import refresh as refresh_module
 from clicktide.plans.refresh import refresh
 from clicktide.plans.warehouse import JobConfig, run, table_path
 from clicktide.session import scratch_root
+from clicktide.operators.funnel import funnel, funnel_of
 from clicktide.sources.flat import read_events
 from clicktide.sources.tables import read_table, write_table
 from clicktide.streaming.ingest import refresh_arrivals
@@ -210,3 +211,24 @@ def test_refresh_leaves_no_scratch(spark, tmp_path):
     before = set(os.listdir(scratch_root(spark)))
     refresh(spark, cfg, [D0])
     assert set(os.listdir(scratch_root(spark))) == before
+
+
+def test_funnel_takes_back_a_day_without_other_days_events(spark, tmp_path):
+    """Only the refreshed day's step times are replaced, and the funnel is read from step times alone."""
+    cfg = config(tmp_path)
+    names = [name for name, _ in cfg.steps]
+    rows = [on(d, user_pseudo_id=f"u{u}", session_id=f"u{u}", event_name=names[(d + u) % 5]) for d in range(6) for u in range(7)]
+    land_rows(spark, cfg.events_path, rows)
+    build(spark, cfg)
+    path = table_path(cfg, "step_times")
+    files = {day: set(os.listdir(f"{path}/event_date={D0 + timedelta(days=day)}")) for day in range(6)}
+    gone, moved = rows[7:14], [on(1, user_pseudo_id=f"u{u}", event_name=names[0]) for u in range(3)]
+    land_rows(spark, cfg.events_path, [r for r in rows if r not in gone] + moved)
+    refresh(spark, cfg, [D0 + timedelta(days=1)])
+    for day, before in files.items():
+        now = set(os.listdir(f"{path}/event_date={D0 + timedelta(days=day)}"))
+        assert (now == before) == (day != 1)
+    times = spark.read.parquet(path)
+    assert all("/step_times/" in f for f in funnel_of(times, cfg.steps).inputFiles())
+    assert as_set(funnel_of(times, cfg.steps)) == as_set(funnel(read_table(spark, table_path(cfg, "events"), schemas.EVENTS), cfg.steps))
+    check_equals_full(spark, cfg)

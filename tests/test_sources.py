@@ -11,7 +11,7 @@ from clicktide.schemas import EVENTS_CSV, NESTED_EVENTS
 from clicktide.session import scratch_path
 from clicktide.sources.flat import read_events
 from clicktide.sources import landing
-from clicktide.sources.landing import land, manifest
+from clicktide.sources.landing import changed_ranges, file_ranges, land, manifest
 from clicktide.sources.shards import scan_days, validate_range
 from clicktide.sources.tables import replace_partitions, write_table
 
@@ -65,14 +65,41 @@ def test_landing_counts_and_refuses_nothing(spark, tmp_path):
     assert land(df.where("country = 'nowhere'"), str(tmp_path / "c"), require_rows=False) == 0
 
 
-def test_manifest_hashes_every_file(spark, tmp_path):
-    path = str(tmp_path / "out")
-    land(spark.range(1000).repartition(3), path, partition=None)
+def test_manifest_digests_every_file(spark, tmp_path, monkeypatch):
+    """The digest is that of the row ranges, whatever the size; the same rows give the same digest."""
+    monkeypatch.setattr(landing, "RANGE_ROWS", 100)
+    path, again = str(tmp_path / "out"), str(tmp_path / "again")
+    for where in (path, again):
+        land(spark.range(0, 1000, 1, 3), where, partition=None)
     rows = manifest(spark, {"events": path}, "src", FIRST, LAST).collect()
     assert sum(r.rows for r in rows) == 1000 and {r.output for r in rows} == {"events"}
+    ranges = {(r.file, r.part): r.digest for r in file_ranges(spark, path).collect()}
     for r in rows:
-        content = Path(unquote(urlparse(r.file).path)).read_bytes()
-        assert (r.bytes, r.sha256) == (len(content), hashlib.sha256(content).hexdigest())
+        own = [d for (file, _), d in sorted(ranges.items()) if file == r.file]
+        assert len(own) == -(-r.rows // 100) and r.digest == hashlib.sha256("".join(own).encode()).hexdigest()
+        assert r.bytes == len(Path(unquote(urlparse(r.file).path)).read_bytes())
+    assert len({r.digest for r in rows}) == 3
+    assert {r.digest for r in manifest(spark, {"events": again}, "src", FIRST, LAST).collect()} == {r.digest for r in rows}
+
+
+def test_a_changed_row_changes_its_range_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "RANGE_ROWS", 64)
+    plain = spark.range(0, 1000, 1, 1).select("id", F.lit(None).cast("string").alias("a"), F.lit("x").alias("b"))
+    changed = {
+        "value": plain.withColumn("b", F.when(F.col("id") == 700, "y").otherwise(F.col("b"))),
+        # The same values, one column further left: only the NULL has moved.
+        "null": plain.select("id", F.when(F.col("id") == 700, "x").alias("a"), F.when(F.col("id") != 700, "x").alias("b")),
+    }
+    plain.write.parquet(str(tmp_path / "plain"))
+    before = file_ranges(spark, str(tmp_path / "plain")).withColumn("file", F.lit("f"))
+    for name, df in changed.items():
+        df.write.parquet(str(tmp_path / name))
+        after = file_ranges(spark, str(tmp_path / name)).withColumn("file", F.lit("f"))
+        assert [tuple(r) for r in changed_ranges(before, after).collect()] == [("f", 700 // 64)]
+    fewer = plain.where("id < 990")
+    fewer.write.parquet(str(tmp_path / "fewer"))
+    after = file_ranges(spark, str(tmp_path / "fewer")).withColumn("file", F.lit("f"))
+    assert [tuple(r) for r in changed_ranges(before, after).collect()] == [("f", 15)]
 
 
 def test_csv_header_must_match(spark, tmp_path):
@@ -92,16 +119,6 @@ def test_csv_columns_bind_by_name(spark, tmp_path):
     assert got.where("is_entrance").count() == got.count() and plain.where("is_entrance IS NULL").count() == plain.count()
 
 
-def test_manifest_without_whole_files(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "out")
-    land(spark.range(1000).repartition(3), path, partition=None)
-    one = manifest(spark, {"events": path}, "src", FIRST, LAST).agg(F.sum(F.col("content").cast("decimal(38,0)"))).first()
-    monkeypatch.setattr(landing, "HASHED_BYTES", 10)
-    rows = manifest(spark, {"events": path}, "src", FIRST, LAST)
-    assert rows.where("sha256 IS NULL AND rows > 0 AND bytes > 0 AND content IS NOT NULL").count() == 3
-    assert rows.agg(F.sum(F.col("content").cast("decimal(38,0)"))).first() == one
-
-
 def test_csv_schema(spark, fixture_csv):
     df = read_events(spark, fixture_csv)
     assert df.columns == EVENTS_CSV.fieldNames() and df.count() == 20
