@@ -13,6 +13,17 @@ from pyspark.sql import functions as F
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 
+# Rows of a batch sent to Python where workers hold large models as well: a batch has whole texts.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send Python workers no more than ``BATCH_ROWS`` rows at a time from now on."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+
+
 def ready(spark: SparkSession) -> SparkSession:
     """Let Python workers find this package wherever the driver was started."""
     env = spark.sparkContext.environment

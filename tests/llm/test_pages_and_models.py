@@ -132,23 +132,50 @@ def test_every_template_is_closest_to_itself(spark):
         assert r.licence == r.path.split("#")[0] and r.cosine == pytest.approx(1)
 
 
-def test_block_max_search_is_exact():
+def unit_rows(rng, rows: int, kinds: int, common: int, rare: int):
+    """Rows of some kinds: each kind has common terms of its own, each row some of the many rare ones."""
+    out = []
+    for r in range(rows):
+        kind = rng.integers(kinds)
+        often = kind * common + rng.choice(common, rng.integers(1, common), replace=False)
+        seldom = kinds * common + rng.choice(rare, rng.integers(0, 12), replace=False)
+        terms = np.sort(np.concatenate([often, seldom])).astype(np.int32)
+        weights = (rng.random(len(terms)) + 0.1) * np.where(terms < kinds * common, 0.4, 1.0)
+        out.append((terms, (weights / np.linalg.norm(weights)).astype(np.float32)))
+    return out + out[:30]
+
+
+@pytest.mark.parametrize(("kinds", "common", "rare", "least"), [(8, 20, 4000, 0.3), (1, 30, 50, 0.0), (3, 5, 2000, 0.0)])
+def test_block_max_search_is_exact(kinds, common, rare, least, monkeypatch):
+    """With common and rare terms, texts of a batch and ties; where rows have kinds, blocks stay closed."""
+    monkeypatch.setattr(toxicity, "COMMON", kinds * common)
     rng = np.random.default_rng(0)
-    rows = []
-    for _ in range(700):
-        terms = np.sort(rng.choice(40, rng.integers(1, 6), replace=False))
-        weights = rng.random(len(terms)) + 0.1
-        rows.append((terms, weights / np.linalg.norm(weights)))
-    index = toxicity.BlockMaxIndex(rows, 40)
-    dense = np.zeros((700, 40))
+    rows = unit_rows(rng, 3000, kinds, common, rare)
+    terms = kinds * common + rare
+    index = toxicity.BlockMaxIndex(np.array([len(t) for t, _ in rows]), np.concatenate([t for t, _ in rows]), np.concatenate([w for _, w in rows]), terms)
+    assert (index.number >= 0).sum() > 0 and len(index.places) > 0
+    dense = np.zeros((len(rows), terms))
     for r, (t, w) in enumerate(rows):
         dense[r, t] = w
-    for r in range(0, 700, 7):
-        cosines = dense @ dense[r]
-        cosines[r] = 0
-        want = [x for x in np.lexsort((np.arange(700), -np.round(cosines, 12)))[:15] if cosines[x] > 0]
-        got, near = index.nearest(*rows[r], 15, without=r)
-        assert np.allclose(near, cosines[want]) and np.allclose(np.sort(cosines[got]), np.sort(cosines[want]))
+    asked = list(range(0, len(rows), 29))
+    for at in range(0, len(asked), 16):
+        part = asked[at : at + 16]
+        found = index.nearest([(rows[r][0], rows[r][1].astype(np.float64)) for r in part], 15, part)
+        for r, (got, near) in zip(part, found, strict=True):
+            cosines = dense @ dense[r]
+            cosines[r] = 0
+            want = [x for x in np.lexsort((np.arange(len(rows)), -np.round(cosines, 10)))[:15] if cosines[x] > 0]
+            assert got.tolist() == want and np.allclose(near, cosines[want], atol=1e-9)
+    assert index.opened <= (1 - least) * len(asked) * index.blocks
+
+
+def test_nothing_is_near_nothing():
+    empty = toxicity.BlockMaxIndex(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32), 0)
+    none = np.zeros(0, np.int64), np.zeros(0)
+    assert [x.tolist() for x in empty.nearest([none], 3)[0]] == [[], []]
+    one = toxicity.BlockMaxIndex(np.array([1]), np.array([0], np.int32), np.ones(1, np.float32), 2)
+    assert one.nearest([], 3) == [] and [x.tolist() for x in one.nearest([(np.array([1]), np.ones(1))], 3)[0]] == [[], []]
+    assert [x.tolist() for x in one.nearest([(np.array([0]), np.ones(1))], 3)[0]] == [[0], [1.0]]
 
 
 def corpus(seed: int, n: int):
@@ -212,7 +239,8 @@ def test_clean_words_that_begin_like_toxic_ones(spark):
     model = toxicity.fit(docs, labels)
     used = [i for i in range(1, 901) if not held_out(i)]
     assert sorted(model.ids.tolist()) == used
-    assert set(model.vocabulary) == {w for r in rows if r[0] in set(used) for w in r[1].split()}
+    known = toxicity.term_numbers(toxicity.Counter(w for r in rows if r[0] in set(used) for w in r[1].split()))
+    assert model.terms.tolist() == sorted(known.tolist())
     found = {r.doc_id: r for r in toxicity.toxicity(docs.unionByName(odd), labels).collect()}
     assert [found[10_000 + k].predicted for k in range(len(texts))] == [0] * len(texts)
     assert all(len(found[k].evidence) == toxicity.NEIGHBOURS for k in (10_000, 10_001))
@@ -225,8 +253,9 @@ def test_a_rare_toxic_word_among_many_common_ones(spark):
     rows = [(i, " ".join(common) + (" vilest" if k < 9 else ""), 1) for k, i in enumerate(range(1, 13))]
     rows += [(i, " ".join(common), 0) for i in range(13, 60)]
     sample = spark.createDataFrame([(t, y) for _, t, y in rows], "text string, y int")
-    known, weights = toxicity._vocabulary(sample, 12, 47)
-    assert len(known) == 20_501 and weights[known["vilest"]] > 2 * weights[known["n0"]]
+    terms, weights = toxicity._vocabulary(sample, 12, 47)
+    told, plain = np.searchsorted(terms, toxicity.term_numbers(["vilest", "n0"]))
+    assert len(terms) == 20_501 and weights[told] > 2 * weights[plain]
 
 
 @pytest.mark.parametrize("classify", [toxicity.toxicity, quality.quality])
