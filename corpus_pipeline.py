@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from clicktide.llm import packing, quality, simhash, toxicity
+from clicktide.llm.common import small_batches
 from clicktide.session import scratch_path, scratch_scope
 
 
@@ -20,11 +21,13 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
+    small_batches(spark)
     return quality.keep_good(docs, _labels(spark, sf_dir))
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic go."""
+    small_batches(spark)
     return toxicity.keep_clean(docs, _labels(spark, sf_dir))
 
 
