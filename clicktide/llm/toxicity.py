@@ -37,8 +37,11 @@ BLOCK = 64
 COMMON = 512
 # Blocks of the largest bounds, opened before the others are judged.
 FIRST = 12
-# Texts that are searched together.
-BATCH = 128
+# Texts that are searched together: a row of numbers per example for each.
+BATCH = 96
+
+# Words that a counting task holds before it passes them on.
+HELD = 50_000
 
 # Deviations from chance up to which a word weighs by its rarity alone; few words come so far by chance.
 CHANCE = 3.0
@@ -90,7 +93,7 @@ class BlockMaxIndex:
         by = rare[np.lexsort((self.place[row[rare]], term[rare]))]
         self.places = self.place[row[by]].astype(np.uint16 if rows <= 1 << 16 else np.int32)
         self.weights = weight[by].astype(np.float32)
-        self.start = np.append(0, np.cumsum(np.where(self.number < 0, seen, 0)))
+        self.start = np.append(0, np.cumsum(np.where(self.number < 0, seen, 0))).astype(np.int32 if len(by) < 1 << 31 else np.int64)
         self.dense = np.zeros((self.blocks, BLOCK, len(common)), np.float32)
         at = self.place[often_row]
         self.dense[at // BLOCK, at % BLOCK, often_number] = often_weight
@@ -117,9 +120,10 @@ class BlockMaxIndex:
         if not self.blocks or not vectors:
             return [(np.zeros(0, np.int64), np.zeros(0)) for _ in vectors]
         shape = len(vectors), self.blocks, BLOCK
-        rarer = np.stack([self._rarer(*v) for v in vectors])
+        rarer = np.empty((len(vectors), self.blocks * BLOCK))
         asked = np.zeros((len(vectors), self.dense.shape[2]))
         for i, (terms, weights) in enumerate(vectors):
+            rarer[i] = self._rarer(terms, weights)
             numbers = self.number[terms]
             asked[i, numbers[numbers >= 0]] = weights[numbers >= 0]
         if len(without):
@@ -129,7 +133,7 @@ class BlockMaxIndex:
         # What the common terms can add in a block: by their largest weights, and by lengths.
         most = np.minimum(single @ self.most.T, np.outer(length, self.length)) * (1 + 1e-4)
         bound = rarer.reshape(shape).max(axis=2) + most
-        total = rarer.copy()
+        total = rarer.astype(np.float32)
 
         def opened(need: np.ndarray) -> None:
             for block in np.flatnonzero(need.any(axis=0)):
@@ -235,6 +239,9 @@ def _counted(rows: DataFrame) -> DataFrame:
     """In how many texts of ``rows`` each word occurs, and in how many toxic ones: ``term, n, a``."""
     schema = pa.schema([("term", pa.int64()), ("n", pa.int64()), ("a", pa.int64())])
 
+    def out(every: Counter, toxic: Counter) -> dict:
+        return {"term": term_numbers(every).view(np.int64), "n": list(every.values()), "a": [toxic[w] for w in every]}
+
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         every: Counter = Counter()
         toxic: Counter = Counter()
@@ -244,7 +251,11 @@ def _counted(rows: DataFrame) -> DataFrame:
                 every.update(found)
                 if y:
                     toxic.update(found)
-        yield {"term": term_numbers(every).view(np.int64), "n": list(every.values()), "a": [toxic[w] for w in every]}
+                if len(every) > HELD:
+                    yield out(every, toxic)
+                    every.clear()
+                    toxic.clear()
+        yield out(every, toxic)
 
     counted = rows.select("text", "y").mapInArrow(lambda parts: batches(count(parts), schema), "term long, n long, a long")
     return counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("a").alias("a"))
