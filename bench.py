@@ -25,6 +25,7 @@ HEADLINE = (
     "flatten_events",
     "flatten_items",
     "session_summary",
+    "gap_sessions",
     "daily_kpi",
     "summary",
     "funnel",
