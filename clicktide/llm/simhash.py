@@ -148,11 +148,10 @@ def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 3, segments: int =
     """
     groups = _grouped(settle(fingerprints(docs, words), "fingerprints"), max_bits, segments)
     packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("keep_id"), F.col("text").alias("keep_text"))
-    # Only rows with the smallest id of some group are fingerprinted again, and NULL ids.
-    ids = groups.select(F.col("component_id").alias("keep_id")).distinct()
-    some = packed.join(ids, packed["keep_id"].eqNullSafe(ids["keep_id"]), "left_semi")
-    some = some.withColumn("keep_fp", _fingerprints(words)(text_of("keep_text")))
-    known = groups.select(F.col("fp").alias("keep_fp"), "component", F.col("component_id").alias("least_id"))
-    least = some.join(known, "keep_fp").where(F.col("keep_id").eqNullSafe(F.col("least_id")))
+    # By fingerprint and id at once: texts move once here, and copies of a text are dealt out by their ids.
+    known = groups.select("fp", "component", F.col("component_id").alias("least_id"))
+    printed = packed.withColumn("keep_fp", _fingerprints(words)(text_of("keep_text")))
+    chosen = (F.col("keep_fp") == F.col("fp")) & F.col("keep_id").eqNullSafe(F.col("least_id"))
+    least = printed.join(known, chosen).select("row", "keep_text", "component")
     order = F.struct(F.col("keep_text").isNull(), "keep_text")
     return least.groupBy("component").agg(F.min_by("row", order).alias("row")).select("row.*")
