@@ -10,7 +10,10 @@ follow from merges, which no sum of scores reproduces. There, every prefix of a
 word has exactly one last piece: the one which, after the last piece of the prefix
 before it, is left as it is when the two are merged from letters. So candidates
 are admitted by that test (remembered per pair), and the longest admitted one is
-the backpointer.
+the backpointer. That piece depends on the last pieces of a few prefixes before it
+only, so a very long word is cut into overlapping spans of equal length that
+advance together; a span holds from where it has agreed with the one before it for
+as many positions as the longest piece has letters.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from clicktide.llm.common import batches, ready, text_of
 BLANK = "▁"
 REMEMBERED = 300_000
 LETTERS_AT_ONCE = 4_000_000
+# Spans of a long word begin this many longest pieces or so apart, and overlap by so many.
+APART, OVERLAP = 15, 4
 # Two odd bases; both hashes must agree.
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 NONE = np.int64(-1)
@@ -118,8 +123,8 @@ class Pieces:
         hit = (self.keys[at] == first) & (self.second[at] == second)
         return np.where(hit, self.key_id[at], NONE)
 
-    def _advance(self, words: list[str], size: int) -> np.ndarray:
-        """Start of the last piece at each end position of each word."""
+    def _advance(self, words: list[str], size: int, known: np.ndarray | None = None) -> np.ndarray:
+        """Start of the last piece at each end position of each word; ``known`` holds the last pieces of the first positions."""
         letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), size)
         sums = []
         with np.errstate(over="ignore"):
@@ -132,7 +137,11 @@ class Pieces:
         best = np.full((len(words), size + 1), -np.inf)
         best[:, 0] = 0.0
         rows = np.arange(len(words))
-        for end in range(1, size + 1):
+        first = 1
+        if known is not None:
+            first = known.shape[1]
+            last[:, :first] = known
+        for end in range(first, size + 1):
             starts = list(range(max(0, end - self.longest), end))  # longest first
             ids = np.stack([self._lookup(sums, s, end) for s in starts])
             alone = ids[-1] == NONE
@@ -199,6 +208,10 @@ class Pieces:
         for w in words:
             by_size.setdefault(len(w), []).append(w)
         for size, group in by_size.items():
+            if not self.unigram and size > 2 * (APART + OVERLAP) * self.longest:
+                for word in group:
+                    self.seen[word] = np.array(self._walk(self._in_spans(word)), "<i4").tobytes()
+                continue
             # About a million letters at a time bound the matrices in memory.
             step = max(1, 1_000_000 // (size * min(size, self.longest)))
             for at in range(0, len(group), step):
@@ -213,6 +226,54 @@ class Pieces:
                         end = int(back[r, end])
                     self.seen[word] = np.array(ids[::-1], "<i4").tobytes()
 
+    def _in_spans(self, word: str) -> np.ndarray:
+        """Last piece of every prefix of one long word, from spans that advance together."""
+        shared, n = OVERLAP * self.longest, len(word)
+        # A multiple of many small numbers, so that repeated letters meet pieces in step.
+        apart = -(-APART * self.longest // 240) * 240
+        size = apart + shared
+        starts = [*range(0, n - size, apart), n - size]
+        last = np.full(n + 1, NONE)
+        done = 0
+        step = max(1, 1_000_000 // (size * self.longest))
+        for at in range(0, len(starts), step):
+            some = starts[at : at + step]
+            self._advance([word[s : s + size] for s in some], size)
+            for s, span in zip(some, self._last, strict=True):
+                if not s:
+                    last[: size + 1] = span
+                else:
+                    differ = np.nonzero(last[s + 1 : done + 1] != span[1 : done - s + 1])[0]
+                    # Ends of the runs of agreement before each difference, and of the one before the end.
+                    stops = np.r_[differ, done - s]
+                    runs = np.diff(np.r_[-1, stops]) - 1
+                    enough = np.nonzero(runs >= self.longest)[0]
+                    if len(enough):
+                        here = int(stops[enough[-1]])
+                        last[s + here + 1 : s + size + 1] = span[here + 1 :]
+                    else:
+                        last[done + 1 : s + size + 1] = self._go_on(word[: s + size], last, done)
+                done = s + size
+        return last
+
+    def _go_on(self, word: str, last: np.ndarray, done: int) -> np.ndarray:
+        """Last pieces after position ``done``, one letter after the other."""
+        start = done - 2 * self.longest
+        kept = self._last
+        self._advance([word[start:]], len(word) - start, last[None, start : done + 1])
+        found, self._last = self._last[0, done - start + 1 :], kept
+        return found
+
+    def _walk(self, last: np.ndarray) -> list[int]:
+        """Ids of one word from the last piece of each of its prefixes."""
+        ids: list[int] = []
+        end = len(last) - 1
+        while end:
+            i = int(last[end])
+            ids += [i] if i < UNKNOWN else [self.byte[b] for b in reversed(chr(i - UNKNOWN).encode("utf-8", "replace"))]
+            end -= 1 if i >= UNKNOWN else len(self.text[i])
+        return ids[::-1]
+
     # --- texts --------------------------------------------------------------------
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -48,6 +49,43 @@ def test_sentence_pieces_are_those_of_the_library():
         assert mine.decode(want) == library.decode(want)
 
 
+def long_words(size: int) -> list[str]:
+    """Words that no white space cuts: random letters, code, and repetitions of several lengths."""
+    rng = random.Random(3)
+    base = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(size))
+    stems = ["in", "ter", "nation", "al", "isation", "the", "e", "s", "日本", "é"]
+    made = "".join(rng.choice(stems) for _ in range(size // 4))
+    return [base, made, *("".join(w * (size // len(w) + 1)) for w in ("a", "=", "abc", "internal", "thethes", "xyzzy" * 7 + "q"))]
+
+
+def test_pieces_of_long_words_are_those_of_the_library():
+    library, mine = sentencepiece.SentencePieceProcessor(model_file=PIECES), sentence_pieces.Pieces(PIECES)
+    texts = [w for size in (700, 1200, 5000) for w in long_words(size)]
+    for text, ids in zip(texts, mine.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<i4").tolist() == library.encode(text), text[:40]
+
+
+def test_a_very_long_word_takes_seconds():
+    library, mine = sentencepiece.SentencePieceProcessor(model_file=PIECES), sentence_pieces.Pieces(PIECES)
+    text = long_words(200_000)[0]
+    began = time.monotonic()
+    ids = mine.encode([text])[0]
+    assert time.monotonic() - began < 30
+    assert np.frombuffer(ids, "<i4").tolist() == library.encode(text)
+
+
+def test_spans_that_do_not_agree_go_on_letter_by_letter(monkeypatch):
+    """Spans that overlap by one longest piece hardly ever agree for so long; the result is still the library's."""
+    library, mine = sentencepiece.SentencePieceProcessor(model_file=PIECES), sentence_pieces.Pieces(PIECES)
+    monkeypatch.setattr(sentence_pieces, "OVERLAP", 1)
+    went_on, go_on = [], mine._go_on
+    monkeypatch.setattr(mine, "_go_on", lambda *a: went_on.append(1) or go_on(*a))
+    texts = long_words(1500)
+    for text, ids in zip(texts, mine.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<i4").tolist() == library.encode(text), text[:40]
+    assert went_on
+
+
 def test_token_counts(spark):
     cache = scratch_path(spark, "cache")
     library = Tokenizer.from_file(WORDS)
