@@ -4,6 +4,9 @@ Every page scores its containers and votes for the generalised path (tags and
 classes, digits blanked) of the best one. Spark adds the votes up by host; all
 voted paths are joined with the paths on which each page has text, and the page is
 extracted again with its best one. A page without any uses its own best container.
+
+Work on a page grows with its size however deeply its tags are nested: paths are
+running digests, and texts are added up from the innermost elements outwards.
 """
 
 from __future__ import annotations
@@ -11,6 +14,8 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,13 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktide.llm.common import batches, ready, text_of
+from clicktide.session import settle
 
 # HTML elements by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 SKIPPED = frozenset(
-    "script style textarea title noscript iframe xmp noembed noframes head nav header footer aside form template svg math "
-    "button select option dialog menu object canvas audio video".split()
+    "script style textarea title noscript iframe xmp noembed noframes head nav header footer aside template svg math "
+    "label button select option dialog menu object canvas audio video".split()
 )
 CONTAINERS = frozenset("article main section div td body center".split())
 INLINE = frozenset(
@@ -67,7 +73,8 @@ WORDS = re.compile(r"[^a-z0-9]+")
 @dataclass
 class Element:
     tag: str
-    path: str
+    step: str  # tag and generalised classes
+    key: bytes  # MD5 of the path: all steps down to here, joined by ">"
     parent: int
     main: bool  # may be part of an article; nothing within boilerplate may
     likely: bool
@@ -84,6 +91,49 @@ class Page:
     # (innermost element, text) in page order; None is a break between blocks.
     pieces: list[tuple[int, str | None]] = field(default_factory=list)
 
+    def path(self, k: int) -> str:
+        steps = []
+        while k >= 0:
+            steps.append(self.elements[k].step)
+            k = self.elements[k].parent
+        return ">".join(reversed(steps))
+
+
+class OpenTags:
+    """The stack of open elements, with the places of each tag on it."""
+
+    def __init__(self) -> None:
+        self.numbers: list[int] = []  # of the elements
+        self.tags: list[str] = []
+        self.digests: list = []  # running MD5 of each path
+        self.places: dict[str, list[int]] = defaultdict(list)
+
+    def push(self, number: int, tag: str, digest) -> None:
+        self.places[tag].append(len(self.numbers))
+        self.numbers.append(number)
+        self.tags.append(tag)
+        self.digests.append(digest)
+
+    def close_from(self, place: int) -> None:
+        while len(self.numbers) > place:
+            self.places[self.tags.pop()].pop()
+            self.numbers.pop()
+            self.digests.pop()
+
+    def innermost(self, tag: str) -> int:
+        """Place of the last open one; 0, the root's, if there is none."""
+        found = self.places.get(tag)
+        return found[-1] if found else 0
+
+    def close_all(self, tags: set[str]) -> None:
+        """Close every open one of these tags, and what is within, up to the nearest container."""
+        if not any(self.places.get(t) for t in tags):
+            return
+        upto = max(self.innermost(t) for t in SCOPE - tags)
+        within = [self.places[t][k] for t in tags if (k := bisect_right(self.places[t], upto)) < len(self.places[t])]
+        if within:
+            self.close_from(min(within))
+
 
 def attributes(source: str) -> dict[str, str]:
     found: dict[str, str] = {}
@@ -92,7 +142,8 @@ def attributes(source: str) -> dict[str, str]:
     return found
 
 
-def _element(tag: str, source: str, parent: int, above: str) -> Element:
+def _element(tag: str, source: str, parent: int, above) -> tuple[Element, object]:
+    """An element and the running digest of its path; ``above`` is that of its parent."""
     attrs = attributes(source) if source.strip(" /\n\t") else {}
     classes = sorted({DIGITS.sub("#", c) for c in attrs.get("class", "").split()})
     names = {n: set(WORDS.split(n)) for n in " ".join(attrs.get(k, "") for k in ("class", "id", "role")).lower().split()}
@@ -103,9 +154,13 @@ def _element(tag: str, source: str, parent: int, above: str) -> Element:
     # "post comments-open" and "content with-sidebar" name an article and its surroundings, "comment-body" names none.
     marks = {n for n, w in names.items() if w & NOT_MAIN}
     article = not marks & NOT_MAIN and any(w & LIKELY_MAIN for n, w in names.items() if n not in marks)
-    path = above + ">" + ".".join([tag, *classes])
-    likely = tag in ("article", "main") or bool(words & LIKELY_MAIN)
-    return Element(tag, path, parent, main, likely, main and not frame and bool(marks) and not article)
+    step = ".".join([tag, *classes])
+    digest = above.copy()
+    digest.update(f">{step}".encode("utf-8", "replace"))
+    # A form goes as boilerplate does, unless the page is wrapped in it.
+    likely = tag in ("article", "main", "form") or bool(words & LIKELY_MAIN)
+    marked = tag == "form" or (not frame and bool(marks) and not article)
+    return Element(tag, step, digest.digest(), parent, main, likely, main and marked), digest
 
 
 def _inherit(page: Page) -> None:
@@ -115,28 +170,31 @@ def _inherit(page: Page) -> None:
         e.main = e.main and (e.parent < 0 or page.elements[e.parent].main)
         inside.append(e.tag in PROSE or (e.parent >= 0 and inside[e.parent]))
     if any(e.marked and e.likely and e.main for e in page.elements):
-        prose = [0] * len(page.elements)
+        prose, total = [0] * len(page.elements), 0
         for inner, text in page.pieces:
-            if text and inside[inner] and page.elements[inner].main:
-                prose[inner] += len(text.strip())
+            if text and page.elements[inner].main:
+                total += len(text.strip())
+                prose[inner] += len(text.strip()) * inside[inner]
         for k in range(len(prose) - 1, 0, -1):
             prose[page.elements[k].parent] += prose[k]
         for e, size in zip(page.elements, prose, strict=True):
-            e.marked = e.marked and not (e.likely and size * 5 > prose[0] * 4)
+            # A form must hold most of all text as well: one with the only paragraphs of a page may ask for a comment.
+            e.marked = e.marked and not (e.likely and size * 5 > prose[0] * 4 and (e.tag != "form" or size * 2 > total))
     for e in page.elements:
         e.main = e.main and not e.marked and (e.parent < 0 or page.elements[e.parent].main)
 
 
 def parse(source: str) -> Page:
     """Elements and texts of one page; unclosed and stray tags are mended as browsers do, roughly."""
-    page, stack, at, end = Page(), [], 0, len(source)
-    page.elements.append(Element("html", "html", -1, True, False))
-    stack.append(0)
+    page, opened, at, end = Page(), OpenTags(), 0, len(source)
+    root = hashlib.md5(b"html")
+    page.elements.append(Element("html", "html", root.digest(), -1, True, False))
+    opened.push(0, "html", root)
     while at <= end:
         tag_at = MARKUP.search(source, at)
         upto = tag_at.start() if tag_at else end
         if upto > at:
-            page.pieces.append((stack[-1], source[at:upto]))
+            page.pieces.append((opened.numbers[-1], source[at:upto]))
         if not tag_at:
             break
         at = tag_at.end() if tag_at.end() > tag_at.start() else end + 1
@@ -145,51 +203,50 @@ def parse(source: str) -> Page:
             continue
         tag = tag.lower()
         if tag not in INLINE:
-            page.pieces.append((stack[-1], None))
+            page.pieces.append((opened.numbers[-1], None))
         if closing:
-            if any(page.elements[e].tag == tag for e in stack[1:]):
-                while page.elements[stack.pop()].tag != tag:
-                    pass
+            if place := opened.innermost(tag):
+                opened.close_from(place)
             continue
         if tag == "html":
             continue
-        shut = CLOSES.get(tag, set()) | ({"p"} if tag in CLOSE_P else set())
         if tag == "body":
-            del stack[1:]
-        for k in range(len(stack) - 1, 0, -1):
-            if not shut or (page.elements[stack[k]].tag in SCOPE and page.elements[stack[k]].tag not in shut):
-                break
-            if page.elements[stack[k]].tag in shut:
-                del stack[k:]
-        parent = stack[-1]
-        page.elements.append(_element(tag, attrs, parent, page.elements[parent].path))
+            opened.close_from(1)
+        shut = CLOSES.get(tag, set()) | ({"p"} if tag in CLOSE_P else set())
+        if shut:
+            opened.close_all(shut)
+        element, digest = _element(tag, attrs, opened.numbers[-1], opened.digests[-1])
+        page.elements.append(element)
         if tag in RAW:
             ended = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
             at = ended.end() if ended else end + 1
         elif tag not in VOID and not (attrs.endswith("/") and tag in ("svg", "path", "circle", "rect", "use")):
-            stack.append(len(page.elements) - 1)
+            opened.push(len(page.elements) - 1, tag, digest)
     _inherit(page)
     return page
 
 
 def _score(page: Page) -> None:
     """Add every text to the elements that it is main text of, and as boilerplate to those above."""
+    elements = page.elements
     for inner, text in page.pieces:
         size = len(text.strip()) if text and html.unescape(text).strip() else 0
-        if not size:
-            continue
-        tags, e, main = set(), inner, True
-        while e >= 0:
-            element = page.elements[e]
-            tags.add(element.tag)
-            main = main and element.main
-            if main:
-                element.texts += size
-                element.links += size * ("a" in tags)
-                element.prose += size * bool(tags & PROSE)
-            else:
-                element.other += size
-            e = element.parent
+        if elements[inner].main:
+            elements[inner].texts += size
+        else:
+            elements[inner].other += size
+    # Parents come first, so from the last element on each one is complete when it is added to its parent.
+    for e in reversed(elements):
+        if e.tag == "a":
+            e.links = e.texts
+        if e.tag in PROSE:
+            e.prose = e.texts
+        if e.parent >= 0:
+            above = elements[e.parent]
+            above.texts += e.texts
+            above.links += e.links
+            above.prose += e.prose
+            above.other += e.other
 
 
 def vote(page: Page) -> tuple[int, float]:
@@ -209,11 +266,11 @@ def vote(page: Page) -> tuple[int, float]:
     return best, most
 
 
-def extract(page: Page, path: str) -> str:
-    """Main text of all elements with this path, in page order."""
+def extract(page: Page, key: bytes) -> str:
+    """Main text of all elements on the path with this digest, in page order."""
     chosen: list[bool] = []
     for e in page.elements:  # parents come first
-        chosen.append(e.main and (e.path == path or (e.parent >= 0 and chosen[e.parent])))
+        chosen.append(e.main and (e.key == key or (e.parent >= 0 and chosen[e.parent])))
     blocks: list[str] = []
     for inner, text in page.pieces:
         if text is None:
@@ -223,28 +280,18 @@ def extract(page: Page, path: str) -> str:
     return " ".join("".join(blocks).split())
 
 
-def _votes(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for part in parts:
-        out: dict[str, list] = {"host": [], "path": [], "score": []}
-        for host, source in zip(*(part.column(c).to_pylist() for c in ("host", "html")), strict=True):
-            page = parse(source)
-            best, score = vote(page)
-            if best >= 0:
-                for column, value in zip(out, (host, page.elements[best].path, score), strict=True):
-                    out[column].append(value)
-        yield out
-
-
-def _filled(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Paths of each page's containers with text."""
+def _looks(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Vote of each page, and the digests of the paths of all its containers with text."""
     for part in parts:
-        out: dict[str, list] = {"page": [], "spot": []}
+        out: dict[str, list] = {"page": [], "host": [], "path": [], "score": [], "have": []}
         for number, host, source in zip(*(part.column(c).to_pylist() for c in ("page", "host", "html")), strict=True):
             page = parse(source)
-            _score(page)
-            have = {e.path for k, e in enumerate(page.elements) if (e.tag in CONTAINERS or k == 0) and e.main and e.texts}
-            out["page"].extend([number] * len(have))
-            out["spot"].extend(hashlib.md5(f"{host} {path}".encode()).digest() for path in sorted(have))
+            best, score = vote(page)
+            if best < 0:
+                continue
+            have = {e.key for k, e in enumerate(page.elements) if (e.tag in CONTAINERS or k == 0) and e.main and e.texts}
+            for column, value in zip(out, (number, host, page.path(best), score, sorted(have)), strict=True):
+                out[column].append(value)
         yield out
 
 
@@ -253,18 +300,17 @@ def _texts(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         out: dict[str, list] = {"page_id": part.column("page_id"), "url": part.column("url"), "text": [], "path": []}
         for source, used in zip(*(part.column(c).to_pylist() for c in ("html", "path")), strict=True):
             page = parse(source)
-            found = extract(page, used) if used is not None else ""
+            found = extract(page, hashlib.md5(used.encode()).digest()) if used is not None else ""
             if not found:
                 best = vote(page)[0]
-                used = page.elements[best].path if best >= 0 else None
-                found = extract(page, used) if best >= 0 else ""
+                used = page.path(best) if best >= 0 else None
+                found = extract(page, page.elements[best].key) if best >= 0 else ""
             out["text"].append(found)
             out["path"].append(used)
         yield out
 
 
-VOTES = pa.schema([("host", pa.string()), ("path", pa.string()), ("score", pa.float64())])
-FILLED = pa.schema([("page", pa.binary()), ("spot", pa.binary())])
+LOOKS = pa.schema([("page", pa.binary()), ("host", pa.string()), ("path", pa.string()), ("score", pa.float64()), ("have", pa.list_(pa.binary()))])
 TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("path", pa.string())])
 
 
@@ -274,6 +320,22 @@ def host_of(url: str = "url"):
     return F.regexp_replace(host, r"^www\.", "")
 
 
+def _keyed(pages: DataFrame) -> DataFrame:
+    rows = pages.select("page_id", "url", text_of("html").alias("html"), host_of().alias("host"))
+    # Pages of one host with the same source have the same path.
+    return rows.withColumn("page", F.unhex(F.md5(F.concat_ws(" ", "host", "html").cast("binary"))))
+
+
+def _look(rows: DataFrame) -> DataFrame:
+    looks = "page binary, host string, path string, score double, have array<binary>"
+    return rows.select("page", "host", "html").mapInArrow(lambda parts: batches(_looks(parts), LOOKS), looks)
+
+
+def _added(looks: DataFrame) -> DataFrame:
+    # Whole numbers, so that the sum does not depend on the order of addition.
+    return looks.groupBy("host", "path").agg(F.sum(F.ceil(F.col("score"))).alias("score"))
+
+
 def voted_paths(pages: DataFrame) -> DataFrame:
     """Every container path that a page of a host chose: ``host, path, score``.
 
@@ -281,10 +343,7 @@ def voted_paths(pages: DataFrame) -> DataFrame:
     map-side combining, so that a host with most of the pages is no hot spot.
     """
     ready(pages.sparkSession)
-    rows = pages.select(host_of().alias("host"), text_of("html").alias("html"))
-    votes = rows.mapInArrow(lambda parts: batches(_votes(parts), VOTES), "host string, path string, score double")
-    # Whole numbers, so that the sum does not depend on the order of addition.
-    return votes.groupBy("host", "path").agg(F.sum(F.ceil(F.col("score"))).alias("score"))
+    return _added(_look(_keyed(pages)))
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
@@ -303,13 +362,12 @@ def extract_pages(pages: DataFrame, paths: DataFrame | None = None) -> DataFrame
     Columns other than ``page_id``, ``url`` and ``html`` are not looked at.
     """
     ready(pages.sparkSession)
-    voted = voted_paths(pages) if paths is None else paths
-    rows = pages.select("page_id", "url", text_of("html").alias("html"), host_of().alias("host"))
-    # Pages of one host with the same source have the same path.
-    rows = rows.withColumn("page", F.unhex(F.md5(F.concat_ws(" ", "host", "html").cast("binary"))))
-    have = rows.select("page", "host", "html").mapInArrow(lambda parts: batches(_filled(parts), FILLED), "page binary, spot binary")
-    spot = F.unhex(F.md5(F.concat_ws(" ", "host", "path").cast("binary"))).alias("spot")
-    ranked = voted.select(spot, F.struct((-F.col("score")).alias("minus"), "path").alias("rank"))
-    best = have.join(ranked, "spot").groupBy("page").agg(F.min("rank")["path"].alias("path"))
+    rows = _keyed(pages)
+    # Votes and digests are a small part of the pages; kept, so that pages are parsed once for both.
+    looks = settle(_look(rows), "page-paths")
+    voted = _added(looks) if paths is None else paths
+    have = looks.select("page", "host", F.explode("have").alias("key"))
+    ranked = voted.select("host", F.unhex(F.md5(F.col("path").cast("binary"))).alias("key"), F.struct((-F.col("score")).alias("minus"), "path").alias("rank"))
+    best = have.join(ranked, ["host", "key"]).groupBy("page").agg(F.min("rank")["path"].alias("path"))
     rows = rows.join(best, "page", "left").select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "path")
     return rows.mapInArrow(lambda parts: batches(_texts(parts), TEXTS), "page_id long, url string, text string, path string")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import textwrap
+import time
 import zlib
 
 import numpy as np
@@ -82,6 +84,75 @@ def test_boilerplate_is_inherited_and_an_article_survives_one_word(spark):
     assert got == dict.fromkeys(range(5), want)
 
 
+def test_a_page_within_one_form_keeps_its_article(spark):
+    story = f"<h1>Tale</h1><p>{'word ' * 40}</p>"
+    ask = "<label>Name</label><input><p>Tell us what you think of it.</p><button>Send</button>"
+    sources = [
+        f"<body><form id=all><nav>Home</nav><div class=story>{story}<label>Search</label><select><option>x</select></div></form></body>",
+        f"<body><div class=story>{story}</div><form>{ask}</form></body>",
+        f"<body><div class=story>Tale {'word ' * 40}</div><form>{ask}</form></body>",
+    ]
+    pages = spark.createDataFrame([(n, f"http://f{n}.example/", x) for n, x in enumerate(sources)], "page_id long, url string, html string")
+    want = "Tale " + " ".join(["word"] * 40)
+    assert {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()} == dict.fromkeys(range(3), want)
+
+
+def test_work_grows_with_the_page_only(spark):
+    """Very many open, stray or unclosed tags."""
+    n = 50_000
+    sources = ["<div class=a>x" * n, "<b>x" * n, "<li><div>" + "<b>" * n + "<li>x</li>" * n, "<p>" + "<b>" * n + "</i>" * n + "x", "<td><p>x" * n, "<a href='x" * n]
+    for source in sources:
+        began = time.monotonic()
+        page = html_extract.parse(source)
+        html_extract.extract(page, page.elements[max(0, html_extract.vote(page)[0])].key)
+        assert time.monotonic() - began < 8, source[:20]
+    pages = spark.createDataFrame([(k, "http://deep.example/", x) for k, x in enumerate(sources[:2])], "page_id long, url string, html string")
+    assert [len(r.text) > 0 for r in html_extract.extract_pages(pages).collect()] == [True, True]
+
+
+def random_page(rng) -> str:
+    tags = "div p a b li ul td tr table article nav form span body section h2 label main option dd dt".split()
+    out = []
+    for _ in range(rng.randrange(60)):
+        tag = rng.choice(tags)
+        out.append(rng.choice([f"<{tag}>", f"<{tag} class='{rng.choice(['c1', 'ad', 'post', 'share post'])}'>", f"</{tag}>", f"</{tag}>", "some words ", "<br>"]))
+    return "".join(out)
+
+
+def test_sums_and_paths_are_those_of_climbing():
+    """Texts added to every element above them one by one; paths written out; open tags looked through one by one."""
+    rng = random.Random(11)
+    for _ in range(400):
+        page = html_extract.parse(random_page(rng))
+        want = [[0, 0, 0, 0] for _ in page.elements]
+        for inner, text in page.pieces:
+            size, tags, e, main = len((text or "").strip()), set(), inner, True
+            while size and e >= 0:
+                tags.add(page.elements[e].tag)
+                main = main and page.elements[e].main
+                adds = [main, main and "a" in tags, main and bool(tags & html_extract.PROSE), not main]
+                want[e] = [w + size * a for w, a in zip(want[e], adds, strict=True)]
+                e = page.elements[e].parent
+        html_extract.vote(page)
+        assert [[e.texts, e.links, e.prose, e.other] for e in page.elements] == want
+        for k, e in enumerate(page.elements):
+            assert e.key == hashlib.md5(page.path(k).encode()).digest()
+    for _ in range(2000):
+        opened, tags = html_extract.OpenTags(), ["html"]
+        opened.push(0, "html", None)
+        for k in range(rng.randrange(12)):
+            tags.append(rng.choice("li b td p div table dd tr".split()))
+            opened.push(k + 1, tags[-1], None)
+        shut = rng.choice([*html_extract.CLOSES.values(), {"p"}, {"li", "p"}])
+        for k in range(len(tags) - 1, 0, -1):
+            if tags[k] in html_extract.SCOPE and tags[k] not in shut:
+                break
+            if tags[k] in shut:
+                del tags[k:]
+        opened.close_all(shut)
+        assert opened.tags == tags and {t: v for t, v in opened.places.items() if v} == {t: [k for k, x in enumerate(tags) if x == t] for t in tags}
+
+
 def test_licences(spark):
     rows = [
         ("lib/LICENSE", "MIT License\n" + licenses.TEMPLATES["MIT"][2]),
