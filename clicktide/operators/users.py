@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clicktide.functions.dates import days_between
 from clicktide.functions.numeric import r2
 from clicktide.operators.profile import profile
-from clicktide.operators.ranking import ntile_global
+from clicktide.operators.ranking import ntile_columns
 from clicktide.operators.visits import ORDER_ID, visits
 from clicktide.schemas import DATE, SESSION, USER
 from clicktide.session import settle
@@ -38,20 +38,14 @@ def user_value(events: DataFrame) -> DataFrame:
     """Scores 1-5 per user (5 = most recent, most orders, most revenue) and a segment.
 
     Users with equal figures are ranked by id, so repeated runs agree. The users
-    are written to scratch, and so are their places by each score: narrow tables
-    that a ``scratch_scope`` around the caller's write removes.
+    are written to scratch, a table that a ``scratch_scope`` around the caller's
+    write removes, and read again in a few passes for the borders of the scores.
     """
     base = settle(user_base(events), "user-base")
     rows, latest = base.agg(F.count(F.lit(1)), F.max("last_active")).first()
     aged = base.withColumn("recency_days", days_between(F.col("last_active"), F.lit(latest).cast("date")))
-    scored = aged
-    ranks = {
-        "r_score": F.col("recency_days").desc_nulls_last(),
-        "f_score": F.col("orders").asc_nulls_last(),
-        "m_score": F.col("revenue").asc_nulls_last(),
-    }
-    for score, order in ranks.items():
-        scored = scored.join(ntile_global(aged, order, USER, SCORES, score, rows), USER)
+    ranks = {"r_score": -F.col("recency_days"), "f_score": F.col("orders"), "m_score": F.col("revenue")}
+    scored = aged.withColumns(ntile_columns(aged, ranks, USER, SCORES, rows))
     r, bought = F.col("r_score"), F.col("orders") > 0
     top = F.least("r_score", "f_score", "m_score") >= 4
     segment = (

@@ -16,7 +16,8 @@ from clicktide.operators.funnel import funnel
 from clicktide.operators.kpi import daily_kpi, summary
 from clicktide.operators.products import product_summary
 from clicktide.operators.profile import profile
-from clicktide.operators.ranking import bucket_of, ntile_global, top_k
+from clicktide.operators import ranking
+from clicktide.operators.ranking import bucket_starts, ntile_columns, top_k
 from clicktide.operators.retention import cohort_retention
 from clicktide.operators.sessions import session_summary
 from clicktide.operators.users import user_value
@@ -277,27 +278,34 @@ def test_retention_starts_at_100(events):
 # --- ranking
 
 
-@pytest.mark.parametrize("rows", [1, 2, 4, 5, 6, 9, 103, 1000])
-def test_distributed_ntile_equals_builtin(spark, rows):
+@pytest.mark.parametrize("rows", [0, 1, 2, 4, 5, 6, 9, 103, 1000, 5000])
+def test_ntile_by_borders_equals_builtin(spark, monkeypatch, rows):
+    """Few kinds of values, NULLs, all different and all equal ones, with a border picked among few rows."""
+    monkeypatch.setattr(ranking, "NARROW", 16)
     df = spark.range(rows).select(
-        F.concat(F.lit("u"), F.col("id")).alias("u"), F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(0).alias("x")
+        F.concat(F.lit("u"), F.col("id")).alias("u"),
+        F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(0).alias("x"),
+        F.when(F.col("id") % 7 != 0, F.round(F.rand(5) * 50, 1)).alias("y"),
+        F.lit(1.5).alias("z"),
     )
-    want = df.withColumn("b", F.ntile(5).over(Window.orderBy("x", "u")).cast("bigint"))
-    got = df.join(ntile_global(df, F.col("x").asc(), "u", 5, "b", rows), "u")
+    df = df.cache()
+    orders = {"a": F.col("x"), "b": F.col("y"), "c": F.col("z"), "d": -F.col("x")}
+    want = df.withColumns({k: F.ntile(5).over(Window.orderBy(v.asc_nulls_last(), "u")).cast("bigint") for k, v in orders.items()})
+    got = df.withColumns(ntile_columns(df, orders, "u", 5, rows))
     assert as_set(got) == as_set(want)
 
 
-def test_bucket_sizes(spark):
-    for rows in (3, 5, 12, 14):
-        sizes = spark.range(rows).groupBy(bucket_of(F.col("id"), rows, 5).alias("b")).count().orderBy("b").collect()
+def test_bucket_starts():
+    for rows in (0, 3, 5, 12, 14):
+        starts = [0, *bucket_starts(rows, 5), rows]
         want = [rows // 5 + (1 if i < rows % 5 else 0) for i in range(5)]
-        assert [r["count"] for r in sizes] == [w for w in want if w]
+        assert [b - a for a, b in zip(starts, starts[1:], strict=False) if b > a] == [w for w in want if w]
 
 
 def test_ranking_has_no_whole_table_window(events):
     plan = plan_of(user_value(events))
     physical = plan[plan.index("== Physical Plan ==") :]
-    assert "ntile(" not in physical and "NestedLoop" not in physical and "CartesianProduct" not in physical
+    assert "ntile(" not in physical and "Window" not in physical and "Join" not in physical and "Exchange" not in physical
 
 
 def test_scratch_of_a_ranking_goes_with_its_scope(spark, events):
@@ -305,7 +313,7 @@ def test_scratch_of_a_ranking_goes_with_its_scope(spark, events):
     before = set(root.iterdir())
     with scratch_scope(spark):
         user_value(events).count()
-        assert len(set(root.iterdir()) - before) == 4
+        assert len(set(root.iterdir()) - before) == 1
     assert set(root.iterdir()) == before
 
 
