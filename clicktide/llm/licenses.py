@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame
@@ -148,8 +149,18 @@ def opening(text: str = "text"):
     return F.trim(F.regexp_replace(F.regexp_replace(block, MARKER, " "), r"\s+", " "))
 
 
-def scan(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, least: float = LEAST) -> DataFrame:
-    """Licence of every file: ``path, licence, cosine, found_in``.
+def scan(
+    files: DataFrame,
+    templates: dict[str, tuple[str, ...]] = TEMPLATES,
+    least: float = LEAST,
+    keep: Sequence[str] = (),
+    by_text: bool = False,
+) -> DataFrame:
+    """Licence of every file: ``path, licence, cosine, found_in``, after the columns named by ``keep``.
+
+    Licence files are known by their names. With ``by_text``, for tables whose paths
+    hold no such names, any file is one whose whole text, of whatever length, is as
+    close to a template as ``least`` asks.
 
     ``found_in`` is the file's own path, the directory whose licence file it
     follows, or NULL with a NULL licence. Every row of ``files`` (``path, text``)
@@ -157,7 +168,7 @@ def scan(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, le
     NULL path is the empty one, at the top; NULL and empty texts have no licence of
     their own. Other columns are not looked at.
     """
-    rows = files.select(F.coalesce("path", F.lit("")).alias("path"), text_of().alias("text"))
+    rows = files.select(F.coalesce("path", F.lit("")).alias("path"), text_of().alias("text"), *keep)
     speaking = rows.where(F.col("text").rlike(CUE))
     sentences = F.filter(F.split("text", SENTENCE), lambda s: s.rlike(CUE))
     # A comment wrapped over lines is compared joined, as a whole and by its sentences.
@@ -166,10 +177,14 @@ def scan(files: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, le
     passages = speaking.select("path", F.explode(F.when(whole, F.array("text")).otherwise(F.concat(sentences, header))).alias("passage"))
     own = match(passages, templates, least)
     licensed = own.where(F.col("path").rlike(LICENCE_FILE)).select(directory().alias("dir"), "licence")
-    paths = rows.select("path").withColumn("dir", directory())
+    if by_text:
+        texts = match(speaking.where(~whole).select("path", F.col("text").alias("passage")), templates, least)
+        licensed = licensed.unionByName(texts.select(directory().alias("dir"), "licence"))
+    paths = rows.select("path", *keep).withColumn("dir", directory())
     above = inherited(paths, licensed).withColumnRenamed("licence", "above")
     found = paths.join(own, "path", "left").join(above, "dir", "left")
     return found.select(
+        *keep,
         "path",
         F.coalesce("licence", "above").alias("licence"),
         "cosine",

@@ -67,12 +67,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files ``source/lang/doc_id``; one that is mostly a licence notice is its folder's LICENSE."""
-    text, notice = F.coalesce("text", F.lit("")), r"(?i)^[^\n]{0,40}licen[sc]e[^\n]{0,200}\n?$"
-    name = F.when(text.rlike(notice), F.concat_ws("-", F.lit("LICENSE"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
-    files = table(spark, sf_dir, "documents").select(F.concat_ws("/", "source", "lang", name).alias("path"), "text")
-    doc_id = F.regexp_extract("path", r"(?:/|LICENSE-)(-?\d+)$", 1).try_cast("long").alias("doc_id")
-    return licenses.scan(files).select(doc_id, "*")
+    """Documents as files ``source/lang/doc_id``; one whose whole text is a licence or notice is its folder's licence file."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string"))
+    files = table(spark, sf_dir, "documents").select(path.alias("path"), "text", F.col("doc_id").cast("long").alias("doc_id"))
+    return licenses.scan(files, keep=["doc_id"], by_text=True)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

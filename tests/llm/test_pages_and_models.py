@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import textwrap
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from clicktide.llm import html_extract, licenses, quality, toxicity
+from clicktide.llm import html_extract, licenses, quality, queries, toxicity
 from llm.edge_tables import ROWS, documents, key_order, with_clashes
 
 PAGE = (
@@ -183,6 +185,51 @@ def test_licences(spark):
     assert licenses.scan(spark.createDataFrame([], "path string, text string")).count() == 0
 
 
+def test_documents_inherit_from_whole_licence_texts(spark, tmp_path):
+    """Of any length and place in the table; ids come from their column, also where a path could be read otherwise."""
+    rows = [
+        (1, licenses.TEXTS["Apache-2.0"], "en", "a", 1),
+        (2, "code", "en", "a", 1),
+        (3, "code. Licensed under the BSD 2-Clause License. " + "Much else is said here. " * 50, "en", "a", 1),
+        (4, "code", "de", "a", 1),
+        (5, "Released under the MIT License.", "de", "b", 1),
+        (6, None, "de", "b", 1),
+        (None, "code", "7", "b", 1),
+        (8, "code", None, None, 1),
+    ]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.licence, r.found_in) for r in queries.op7_licenses(spark, str(tmp_path)).collect()}
+    assert got == {
+        1: ("Apache-2.0", "a/en/1"), 2: ("Apache-2.0", "a/en"), 3: ("BSD-2-Clause", "a/en/3"), 4: (None, None),
+        5: ("MIT", "b/de/5"), 6: ("MIT", "b/de"), None: (None, None), 8: (None, None),
+    }
+
+
+def test_cosines_are_those_of_plain_vectors(spark):
+    """Every passage against every template, one by one."""
+    rng = random.Random(8)
+    words = [w for ts in licenses.TEMPLATES.values() for t in ts[:2] for w in t.split()] + ["other", "words"]
+    passages = [(f"f{k}", " ".join(rng.choices(words, k=rng.randrange(1, 60)))) for k in range(60)]
+    for k, (name, ts) in enumerate(licenses.TEMPLATES.items()):
+        cut = ts[0].split()
+        passages.append((f"t{k}", " ".join(cut[: max(2, len(cut) - k % 3)]) + " by all of us" * (k % 4)))
+    counts = {(n, k): Counter(re.findall(licenses.TOKEN, t.lower())) for n, ts in licenses.TEMPLATES.items() for k, t in enumerate(ts)}
+    rarity = lambda term: np.log((1 + len(counts)) / (1 + sum(term in c for c in counts.values()))) + 1
+    weigh = lambda c: {t: n * rarity(t) for t, n in c.items()}
+    size = lambda w: sum(x * x for x in w.values()) ** 0.5
+    vectors = {key: weigh(c) for key, c in counts.items()}
+    want = {}
+    for path, text in passages:
+        mine = weigh(Counter(re.findall(licenses.TOKEN, text.lower())))
+        each = [(-round(sum(x * v.get(t, 0) for t, x in mine.items()) / size(mine) / size(v), 9), n) for (n, _), v in vectors.items()]
+        if -min(each)[0] >= licenses.LEAST:
+            want[path] = (min(each)[1], -min(each)[0])
+    got = {r.path: (r.licence, r.cosine) for r in licenses.match(spark.createDataFrame(passages, "path string, passage string")).collect()}
+    assert len(want) > 10 and got.keys() == want.keys()
+    for path, (name, cosine) in want.items():
+        assert got[path][0] == name and got[path][1] == pytest.approx(cosine, abs=1e-8)
+
+
 def test_whole_licences_and_wrapped_headers(spark):
     rows = [(f"{name}/LICENSE", f"Copyright (c) 2019 Some One\n\n{text}") for name, text in licenses.TEXTS.items()]
     want = {f"{name}/LICENSE": name for name in licenses.TEXTS}
