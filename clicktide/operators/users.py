@@ -41,7 +41,12 @@ def user_value(events: DataFrame) -> DataFrame:
     are written to scratch, a table that a ``scratch_scope`` around the caller's
     write removes, and read again in a few passes for the borders of the scores.
     """
-    base = settle(user_base(events), "user-base")
+    return scored_users(user_base(events))
+
+
+def scored_users(base: DataFrame) -> DataFrame:
+    """``user_value`` from the user base."""
+    base = settle(base, "user-base")
     rows, latest = base.agg(F.count(F.lit(1)), F.max("last_active")).first()
     aged = base.withColumn("recency_days", days_between(F.col("last_active"), F.lit(latest).cast("date")))
     ranks = {"r_score": -F.col("recency_days"), "f_score": F.col("orders"), "m_score": F.col("revenue")}

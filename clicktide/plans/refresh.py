@@ -19,9 +19,10 @@ from clicktide.operators.funnel import step_times
 from clicktide.operators.kpi import daily_kpi
 from clicktide.operators.retention import cohort_retention, retention_of, user_weeks
 from clicktide.operators.visits import condense
-from clicktide.plans.warehouse import INTERNAL, JobConfig, dependent_marts, table_path
+from clicktide.plans.presence import count_all, count_days
+from clicktide.plans.warehouse import INTERNAL, JobConfig, dependent_marts, presence_root, table_path
 from clicktide.schemas import DATE, EVENTS, TIME, USER
-from clicktide.session import require_strict, scratch_scope, settle
+from clicktide.session import delete_folder, require_strict, scratch_scope, settle
 from clicktide.sources.flat import empty_items, read_events, read_items
 from clicktide.sources.tables import CONTRACT, read_table, replace_partitions
 
@@ -129,9 +130,10 @@ def _monday(day: date | None) -> date | None:
 def refresh(spark: SparkSession, cfg: JobConfig, days: Iterable[date | None]) -> None:
     """Bring all written tables up to date for ``days`` of the source; None names rows without a day.
 
-    Facts, visits, step times, daily KPI and cohorts are refreshed by day and by cohort.
-    The marts over all days are then made anew, from visits, step times, items and KPI;
-    the events of other days are read for the row rules only. What
+    Facts, visits, step times, daily KPI and cohorts are refreshed by day and by cohort, and
+    the stored distinct counts by the days' old and new visits. The marts over all days are then
+    made from these counts, step times, items and KPI; the visits of other days
+    are read for the sessions only, their events for the row rules only. What
     is derived is replaced before what it is derived from, the event facts last;
     if the job dies in between, running it again ends in the same tables.
     """
@@ -170,6 +172,10 @@ def _refresh_facts(spark: SparkSession, cfg: JobConfig, days: set[date | None])
     touched = {_monday(d) for d in affected}
     in_weeks = {monday + timedelta(days=n) if monday else None for monday in touched for n in range(7)}
     stored_visits = read_table(spark, table_path(cfg, "visits"), schemas["visits"])
+    before = stored_visits.where(on_days(affected))
+    counted = count_days(spark, presence_root(cfg), before, come_visits, affected)
+    if not counted:
+        delete_folder(spark, presence_root(cfg))  # so that no later job takes it for right
     around = stored_visits.where(on_days(in_weeks - affected)).unionByName(come_visits)
 
     weeks = read_table(spark, table_path(cfg, "user_weeks"), schemas["user_weeks"])
@@ -188,4 +194,6 @@ def _refresh_facts(spark: SparkSession, cfg: JobConfig, days: set[date | None])
     replace_partitions(current, table_path(cfg, "user_weeks"), INTERNAL["user_weeks"], cohorts)
     replace_partitions(come_steps, table_path(cfg, "step_times"), INTERNAL["step_times"], affected)
     replace_partitions(come_visits, table_path(cfg, "visits"), INTERNAL["visits"], affected)
+    if not counted:
+        count_all(spark, presence_root(cfg), read_table(spark, table_path(cfg, "visits"), schemas["visits"]))
     replace_partitions(come, table_path(cfg, "events"), CONTRACT["events"], affected)

@@ -7,18 +7,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from clicktide.operators.anomaly import daily_anomaly
-from clicktide.operators.channels import channel_summary
 from clicktide.operators.cleanse import cleanse_events, cleanse_items
 from clicktide.operators.funnel import CHECKOUT_STEPS, funnel_of, step_times
-from clicktide.operators.kpi import build_metadata, build_summary, daily_kpi, summary
+from clicktide.operators.kpi import build_metadata, daily_kpi
+from clicktide.operators.presence import build_summary_of, channels_of, summary_of, users_of
 from clicktide.operators.products import product_summary
 from clicktide.operators.quality import FIXTURE, Bounds, quality_report
 from clicktide.operators.retention import retention_of, user_weeks
 from clicktide.operators.sessions import session_summary
-from clicktide.operators.users import user_value
+from clicktide.operators.users import scored_users
 from clicktide.operators.visits import condense
+from clicktide.plans.presence import Store, count_all, current
 from clicktide.schemas import DATE, FIRST_VISIT
-from clicktide.session import require_strict, scratch_scope
+from clicktide.session import delete_folder, require_strict, scratch_scope
 from clicktide.sources.flat import items_beside, read_events, read_items
 from clicktide.sources.tables import CONTRACT, write_table
 
@@ -80,23 +81,39 @@ def keep(cfg: JobConfig, done: dict[str, DataFrame], name: str, df: DataFrame) -
     done[name] = write_table(df, table_path(cfg, name), {**CONTRACT, **INTERNAL}[name])
 
 
+def presence_root(cfg: JobConfig) -> str:
+    return f"{out_dir(cfg, 'warehouse')}/presence"
+
+
+def stored_counts(spark: SparkSession, cfg: JobConfig, visits: DataFrame) -> Store:
+    """The store of distinct counts; where there is none yet, all visits are counted into one."""
+    store = current(spark, presence_root(cfg))
+    if store:
+        return store
+    with scratch_scope(spark):
+        return count_all(spark, presence_root(cfg), visits)
+
+
 def dependent_marts(spark: SparkSession, cfg: JobConfig, done: dict[str, DataFrame]) -> None:
-    """Write every table that is made anew from facts, visits, step times, daily KPI and cohorts, quality last.
+    """Write every table that is made anew from facts, visits, stored counts, step times, daily KPI and cohorts, quality last.
 
-    All but the row rules come from visits, step times, items or marts. The
+    Channels, users and both summaries come from the stored counts, sessions from
+    visits, the row rules from event facts, the others from step times, items or marts. The
     scratch tables of a mart go as soon as it is written.
     """
     items, condensed = done["items"], done["visits"]
+    store = stored_counts(spark, cfg, condensed)
+    totals = store.totals(spark)
     made = {
         "session_summary": lambda: session_summary(condensed),
         "funnel": lambda: funnel_of(done["step_times"], cfg.steps),
-        "channel_summary": lambda: channel_summary(condensed),
-        "user_value": lambda: user_value(condensed),
+        "channel_summary": lambda: channels_of(totals),
+        "user_value": lambda: scored_users(users_of(totals)),
         "product_summary": lambda: product_summary(items),
         "daily_anomaly": lambda: daily_anomaly(done["daily_kpi"]),
         "build_metadata": lambda: build_metadata(spark, cfg.mode),
-        "build_summary": lambda: build_summary(condensed, items, cfg.mode),
-        "summary": lambda: summary(condensed, cfg.mode),
+        "build_summary": lambda: build_summary_of(totals, items, cfg.mode),
+        "summary": lambda: summary_of(totals, store.entities(spark), cfg.mode),
         "quality_report": lambda: quality_report(done, cfg.bounds, cfg.mode),
     }
     for name, table in made.items():
@@ -110,13 +127,16 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     Each table is written once: the contract tables in their final place, the
     others beside them. The event facts are read three times: for the step times,
     for the row checks, and once to condense them into visits, which all other
-    marts are derived from.
+    marts and the stored distinct counts are derived from.
     """
     require_strict(spark)
     done: dict[str, DataFrame] = {}
+    delete_folder(spark, presence_root(cfg))  # counts of the visits that are about to be replaced
     keep(cfg, done, "events", cleanse_events(read_events(spark, cfg.events_path)))
     keep(cfg, done, "items", cleanse_items(read_items(spark, cfg.items_source)))
     keep(cfg, done, "visits", condense(done["events"], cfg.first_visit))
+    with scratch_scope(spark):
+        count_all(spark, presence_root(cfg), done["visits"])
     keep(cfg, done, "step_times", step_times(done["events"], cfg.steps))
     keep(cfg, done, "daily_kpi", daily_kpi(done["visits"]))
     keep(cfg, done, "user_weeks", user_weeks(done["visits"]))

@@ -68,6 +68,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    files, where = _file_system(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(where)] if files.exists(where) else []
+
+
 def _file_system(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
