@@ -35,7 +35,7 @@ from clicktide.session import scratch_path, settle
 from clicktide.sources.flat import read_events, read_items
 from clicktide.sources.landing import land, manifest
 from clicktide.sources.shards import scan_days, validate_range
-from clicktide.sources.tables import export_contract, read_table, write_table
+from clicktide.sources.tables import export_contract, read_table, write_table, writer
 from clicktide.streaming.facts import stream_facts, streamed_facts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -297,8 +297,9 @@ def _all_refreshed(spark: SparkSession, sf: str, undated: bool) -> dict[str, Dat
     write_table(things.where(F.col("event_date") < min(week)), items, "event_date")
     cfg = _config(spark, source, items)
     schemas = {name: df.schema for name, df in run(spark, cfg).items()}
-    write_table(rows, source, "event_date")
-    write_table(things, items, "event_date")
+    # The rest lands beside what is there, as new days do.
+    writer(rows.where(F.coalesce(new, F.lit(True))), "event_date").mode("append").parquet(source)
+    writer(things.where(F.coalesce(F.col("event_date") >= min(week), F.lit(True))), "event_date").mode("append").parquet(items)
     refresh(spark, cfg, [*week, None] if undated else week)
     return {name: read_table(spark, table_path(cfg, name), schema) for name, schema in schemas.items()}
 

@@ -32,6 +32,7 @@ GROUP = ["mart", "g1", "g2"]
 KEYS = [*GROUP, "kind", "entity"]
 COUNTS = ["days", "flag_a", "flag_b"]
 SIDE = "side"
+MOST_BROADCAST = 100_000  # keys
 
 CHANNEL, PER_USER, OVERALL = "channel", "user", "all"
 _BY = {CHANNEL: ("source", "medium"), PER_USER: (USER,), OVERALL: ()}
@@ -79,18 +80,22 @@ def signed(visits: DataFrame, side: int) -> DataFrame:
 def entity_changes(moved: DataFrame) -> DataFrame:
     """What signed visits, whole days each, change in the table of entities: one row per key, none that change nothing."""
     each = [
-        F.struct(*_group(mart), F.lit(kind).alias("kind"), F.col(entity).cast("string").alias("entity"), _flag(a).alias("a"), _flag(b).alias("b"))
-        for mart, kind, entity, a, b in _COUNTED
+        F.struct(F.lit(i).alias("counted"), *_group(mart)[1:], F.col(entity).cast("string").alias("entity"), _flag(a).alias("a"), _flag(b).alias("b"))
+        for i, (mart, _, entity, a, b) in enumerate(_COUNTED)
     ]
+    # Mart and kind are one number until the counting is done: two strings fewer in every shuffled row.
+    keys = ["counted", "g1", "g2", "entity"]
     rows = moved.select(DATE, SIDE, F.explode(F.array(*each)).alias("e")).select(DATE, SIDE, "e.*").where("entity IS NOT NULL")
-    per_day = rows.groupBy(DATE, SIDE, *KEYS).agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    per_day = rows.groupBy(DATE, SIDE, *keys).agg(F.max("a").alias("a"), F.max("b").alias("b"))
     side = F.col(SIDE)
-    summed = per_day.groupBy(*KEYS).agg(
+    summed = per_day.groupBy(*keys).agg(
         F.sum(side).alias("days"),
         F.sum(F.when(F.col("a"), side).otherwise(F.lit(0))).alias("flag_a"),
         F.sum(F.when(F.col("b"), side).otherwise(F.lit(0))).alias("flag_b"),
     )
-    return summed.where(reduce(Column.__or__, [F.col(c) != 0 for c in COUNTS]))
+    changed = summed.where(reduce(Column.__or__, [F.col(c) != 0 for c in COUNTS]))
+    mart, kind = (F.array(*[F.lit(row[n]) for row in _COUNTED])[F.col("counted")] for n in (0, 1))
+    return changed.select(mart.alias("mart"), "g1", "g2", kind.alias("kind"), "entity", *COUNTS)
 
 
 def _sum_changes(moved: DataFrame) -> DataFrame:
@@ -108,13 +113,20 @@ def _sum_changes(moved: DataFrame) -> DataFrame:
     return out.select(*GROUP, F.lit("sums").alias("kind"), *[F.coalesce(F.col(v), F.lit(0)).alias(v) for v in values])
 
 
-def _beside(changes: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key the stored counts (``before_``) and their changes, for the keys that ``changes`` has."""
-    same = reduce(Column.__and__, [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys])
-    known = stored.alias("s").join(changes.select(*keys).distinct().alias("c"), same, "left_semi")
+def _beside(changes: DataFrame, stored: DataFrame | None, keys: list[str], few: bool) -> DataFrame:
+    """Per key the stored counts (``before_``) and their changes, for the keys that ``changes`` has.
+
+    Few changes are broadcast to the store. Many are added up with it in one aggregation, which
+    may also return keys without changes; these change no total.
+    """
     zero = F.lit(0).cast("bigint")
-    old = known.select(*KEYS, *[F.col(c).alias(f"before_{c}") for c in COUNTS], *[zero.alias(c) for c in COUNTS])
     new = changes.select(*KEYS, *[zero.alias(f"before_{c}") for c in COUNTS], *COUNTS)
+    if stored is None:
+        return new
+    if few:
+        same = reduce(Column.__and__, [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys])
+        stored = stored.alias("s").join(F.broadcast(changes.select(*keys).distinct().alias("c")), same, "left_semi")
+    old = stored.select(*KEYS, *[F.col(c).alias(f"before_{c}") for c in COUNTS], *[zero.alias(c) for c in COUNTS])
     return old.unionByName(new).groupBy(*KEYS).agg(*[F.sum(n).alias(n) for c in COUNTS for n in (f"before_{c}", c)])
 
 
@@ -126,20 +138,25 @@ def _before(c: str) -> Column:
     return F.col(f"before_{c}") > 0
 
 
-def total_changes(moved: DataFrame, changes: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows to add to the totals when ``changes`` (of the visits ``moved``) are added to the ``stored`` entities."""
-    state = _beside(changes, stored, KEYS)
-    counts = state.groupBy(*GROUP, "kind").agg(
-        *[F.sum(_then(c).cast("bigint") - _before(c).cast("bigint")).alias(n) for c, n in zip(COUNTS, ["n", "flag_a", "flag_b"])]
-    )
+def total_changes(moved: DataFrame, changes: DataFrame, stored: DataFrame | None, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """Rows to add to the totals when ``changes`` (of the visits ``moved``) are added to the ``stored`` entities.
+
+    ``changes`` has one row per key; it is counted and read several times. Nothing stored: None.
+    """
+    few = stored is not None and changes.count() <= most_broadcast
+    state = _beside(changes, stored, KEYS, few)
+    steps = {n: _then(c).cast("bigint") - _before(c).cast("bigint") for c, n in zip(COUNTS, ["n", "flag_a", "flag_b"])}
+    moves = state.select(*GROUP, "kind", *[step.alias(n) for n, step in steps.items()])
+    moves = moves.where(reduce(Column.__or__, [F.col(n) != 0 for n in steps]))
+    counts = moves.groupBy(*GROUP, "kind").agg(*[F.sum(n).alias(n) for n in steps])
     # The latest day of a user needs all days of the users whose days change.
     is_day = (F.col("mart") == PER_USER) & (F.col("kind") == "days")
-    days = _beside(changes.where(is_day), stored.where(is_day), ["g1"])
+    days = _beside(changes.where(is_day), None if stored is None else stored.where(is_day), ["g1"], few)
 
     def latest(present: Column) -> Column:
         return F.coalesce(F.unix_date(F.max(F.when(present, F.col("entity"))).cast("date")), F.lit(0)).cast("bigint")
 
-    last = days.groupBy(*GROUP, "kind").agg((latest(_then("days")) - latest(_before("days"))).alias("last_day"))
+    last = days.groupBy(*GROUP, "kind").agg((latest(_then("days")) - latest(_before("days"))).alias("last_day")).where("last_day != 0")
     parts = [counts, last, _sum_changes(moved)]
     wide = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
     return wide.select(*GROUP, "kind", *[F.coalesce(F.col(n), F.lit(0)).cast(t).alias(n) for n, t in _FIGURES])

@@ -26,7 +26,7 @@ from clicktide.operators.presence import (
     total_changes,
 )
 from clicktide.schemas import DATE
-from clicktide.session import delete_folder, settle
+from clicktide.session import delete_folder
 from clicktide.sources.tables import path_exists, subfolders
 
 MARK_SCHEMA = f"{DATE} date, rows bigint, digest string"
@@ -44,9 +44,9 @@ class Store:
     def part(self, number: int) -> str:
         return f"{self.root}/g{self.generation}/p{number}"
 
-    def read(self, spark: SparkSession, kind: str, schema: str) -> DataFrame:
+    def read(self, spark: SparkSession, kind: str, schema: str, since: int = 0) -> DataFrame:
         # Folder columns are given back their place: Spark puts them last.
-        parts = [spark.read.schema(schema).parquet(f"{self.part(n)}/{kind}") for n in range(self.parts)]
+        parts = [spark.read.schema(schema).parquet(f"{self.part(n)}/{kind}") for n in range(since, self.parts)]
         return reduce(DataFrame.unionByName, parts)
 
     def entities(self, spark: SparkSession) -> DataFrame:
@@ -83,10 +83,16 @@ def current(spark: SparkSession, root: str) -> Store | None:
     return None
 
 
-def _write_part(store: Store, entities: DataFrame, totals: DataFrame, marks: DataFrame) -> Store:
-    """Write the next part. What a job that died left of it is replaced."""
+def _write_entities(store: Store, entities: DataFrame) -> None:
+    """Entities of the next part, as dealt by the aggregation they come from: no task has more than its share of any folder."""
+    out = entities.write.option("compression", "zstd").mode("overwrite").option("partitionOverwriteMode", "static")
+    out.partitionBy("mart", "kind").parquet(f"{store.part(store.parts)}/entities")
+
+
+def _finish_part(store: Store, totals: DataFrame, marks: DataFrame) -> Store:
+    """Write the rest of the next part. What a job that died left of it is replaced."""
     path = store.part(store.parts)
-    for kind, df, folders in (("entities", entities, ["mart", "kind"]), ("totals", totals, ["mart"]), ("marks", marks, [])):
+    for kind, df, folders in (("totals", totals, ["mart"]), ("marks", marks, [])):
         by = [F.col(c) for c in folders]
         out = df.hint("rebalance", *by).write.option("compression", "zstd").mode("overwrite").option("partitionOverwriteMode", "static")
         (out.partitionBy(*folders) if folders else out).parquet(f"{path}/{kind}")
@@ -104,15 +110,16 @@ def _drop_older(spark: SparkSession, store: Store) -> None:
             delete_folder(spark, f"{store.root}/g{generation}")
 
 
-def _append(spark: SparkSession, store: Store, moved: DataFrame, stored: DataFrame, marks: DataFrame) -> Store:
-    changes = settle(entity_changes(moved), "presence-changes")
-    return _write_part(store, changes, total_changes(moved, changes, stored), marks)
+def _append(spark: SparkSession, store: Store, moved: DataFrame, stored: DataFrame | None, marks: DataFrame) -> Store:
+    """Write what signed visits change as the next part; the totals are counted on its written entities."""
+    _write_entities(store, entity_changes(moved))
+    changes = Store(store.root, store.generation, store.parts + 1).read(spark, "entities", ENTITY_SCHEMA, since=store.parts)
+    return _finish_part(store, total_changes(moved, changes, stored), marks)
 
 
 def count_all(spark: SparkSession, root: str, visits: DataFrame) -> Store:
     """Count all visits into a new generation; older ones go once it holds."""
-    nothing = spark.createDataFrame([], ENTITY_SCHEMA)
-    store = _append(spark, _start_generation(spark, root), signed(visits, 1), nothing, day_digests(visits))
+    store = _append(spark, _start_generation(spark, root), signed(visits, 1), None, day_digests(visits))
     _drop_older(spark, store)
     return store
 
@@ -120,7 +127,9 @@ def count_all(spark: SparkSession, root: str, visits: DataFrame) -> Store:
 def _merge(spark: SparkSession, store: Store) -> Store:
     known = [(day, rows, digest) for day, (rows, digest) in store.marks(spark).items()]  # a row per day
     entities, totals = merged_entities(store.entities(spark)), merged_totals(store.totals(spark))
-    merged = _write_part(_start_generation(spark, store.root), entities, totals, spark.createDataFrame(known, MARK_SCHEMA))
+    fresh = _start_generation(spark, store.root)
+    _write_entities(fresh, entities)
+    merged = _finish_part(fresh, totals, spark.createDataFrame(known, MARK_SCHEMA))
     _drop_older(spark, merged)
     return merged
 

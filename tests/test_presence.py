@@ -185,3 +185,25 @@ def test_refresh_counts_anew_where_the_store_is_missing(spark, tmp_path):
     want = full_tables(spark, cfg)
     for name in MARTS:
         assert as_set(read_table(spark, table_path(cfg, name), want[name].schema)) == as_set(want[name]), name
+
+
+def test_many_changes_are_added_up_with_the_store_without_a_join(spark, root):
+    old, new = some_visits(spark, 10).cache(), some_visits(spark, 11).cache()
+    stored = count_all(spark, root, old).entities(spark)
+    moved = p.signed(old, -1).unionByName(p.signed(new, 1))
+    changes = p.entity_changes(moved).cache()
+    few, many = (p.total_changes(moved, changes, stored, most_broadcast=n) for n in (10**6, 0))
+    assert "Join" in plan_of(few) and "Join" not in plan_of(many)
+
+    def moves(totals):
+        return {r for r in as_set(p.merged_totals(totals)) if any(r[4:])}
+
+    assert moves(few) == moves(many) != set()
+
+
+def test_a_first_count_compares_with_nothing(spark):
+    visits = some_visits(spark, 12).cache()
+    changes = p.entity_changes(p.signed(visits, 1)).cache()
+    totals = p.total_changes(p.signed(visits, 1), changes, None)
+    assert "Join" not in plan_of(totals)
+    assert as_set(p.channels_of(totals)) == as_set(channel_summary(visits))
