@@ -187,7 +187,9 @@ class Model:
         """Places of word hashes among the terms, -1 for others."""
         if not len(self.terms):
             return np.full(len(numbers), -1)
-        at = np.minimum(np.searchsorted(self.terms, numbers), len(self.terms) - 1)
+        by = np.argsort(numbers)  # a search in order finds its way in the cache
+        at = np.empty(len(numbers), np.int64)
+        at[by] = np.minimum(np.searchsorted(self.terms, numbers[by]), len(self.terms) - 1)
         return np.where(self.terms[at] == numbers, at, -1)
 
     def vector(self, text: str) -> Vector | None:

@@ -404,3 +404,10 @@ def test_pipeline_stages(spark, labelled, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()} == kept["packing"]
 
 
+
+
+def test_words_are_found_in_any_order():
+    none = np.zeros(0)
+    model = toxicity.Model(np.array([3, 5, 2**63 + 1], np.uint64), none, 0.0, None, none, none, 0.0, 0.0)
+    assert model.known(np.array([2**64 - 1, 5, 0, 2**63 + 1, 3, 5], np.uint64)).tolist() == [-1, 1, -1, 2, 0, 1]
+    assert model.known(np.zeros(0, np.uint64)).tolist() == []
