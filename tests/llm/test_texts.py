@@ -40,6 +40,28 @@ def test_ids_are_those_of_the_library(path):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_common_words_are_encoded_once_however_many_others_pass(path):
+    class Noting:
+        def __init__(self, model):
+            self.model, self.given = model, []
+
+        def encode_batch(self, texts, **kinds):
+            self.given += [w for t in texts for w in ([t] if isinstance(t, str) else t)]
+            return self.model.encode_batch(texts, **kinds)
+
+        def encode_batch_fast(self, texts, **kinds):
+            self.given += texts
+            return self.model.encode_batch_fast(texts, **kinds)
+
+    mine = TokenIds(path, remembered=100)
+    library, mine.model = mine.model, Noting(mine.model)
+    texts = [" ".join(["often", *(f"w{n}é{k}" for k in range(30)), "often"]) for n in range(200)]
+    assert mine(texts, at_once=1) == [np.array(library.encode(t).ids, "<u4").tobytes() for t in texts]
+    assert sum(w.strip() == "often" for w in mine.model.given) <= 2
+    assert len(mine.seen) + len(mine.before) <= 100 + 2 * 33
+
+
 def test_sentence_pieces_are_those_of_the_library():
     library, mine = sentencepiece.SentencePieceProcessor(model_file=PIECES), sentence_pieces.Pieces(PIECES)
     texts = [t.replace("\x00", "") for t in odd_texts(2, 800)] + ["a" * 300, "    " * 9 + "x", "floccinaucinihilipilification 1234567890 ====----"]
