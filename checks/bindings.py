@@ -93,14 +93,24 @@ def _posting_day() -> Column:
 def items_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Basket lines. Returned lines have no quantity, a few revenues are negative."""
     lines = table(spark, sf_dir, "lineitem", LINEITEM)
-    price = F.col("p_retailprice").cast("string").alias("price")
-    parts = table(spark, sf_dir, "part", PART).select("p_partkey", "p_name", "p_brand", "p_type", price)
     net = F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100 + 0.5) / 100.0
+    # Reduced to what a basket line holds before the join, as that may have to shuffle all lines.
+    sold = lines.select(
+        _posting_day().alias("event_date"),
+        F.col("l_shipdate").alias("shipped"),
+        "l_linestatus",
+        "l_suppkey",
+        "l_orderkey",
+        "l_partkey",
+        F.when(F.col("l_returnflag") != "R", F.col("l_quantity") / 2).alias("quantity"),
+        F.when(F.col("l_tax") == 0.08, -net).otherwise(net).alias("item_revenue"),
+    )
+    parts = table(spark, sf_dir, "part", PART).select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
     # A left join: part is a dimension, small enough to broadcast by its file size or shuffled otherwise.
-    joined = lines.join(parts, lines.l_partkey == parts.p_partkey, "left")
+    joined = sold.join(parts, sold.l_partkey == parts.p_partkey, "left")
     return joined.select(
-        _posting_day().alias("event_date"),
-        F.col("l_shipdate").cast("timestamp").alias("event_timestamp"),
+        "event_date",
+        F.col("shipped").cast("timestamp").alias("event_timestamp"),
         F.when(F.col("l_linestatus") == "F", "purchase").otherwise("view").alias("event_name"),
         F.col("l_suppkey").cast("string").alias("user_pseudo_id"),
         F.col("l_orderkey").cast("string").alias("transaction_id"),
@@ -108,9 +118,9 @@ def items_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("item_name"),
         F.col("p_brand").alias("item_brand"),
         F.when(F.col("p_type") != "SMALL", F.col("p_type")).alias("item_category"),
-        "price",
-        F.when(F.col("l_returnflag") != "R", F.col("l_quantity") / 2).alias("quantity"),
-        F.when(F.col("l_tax") == 0.08, -net).otherwise(net).alias("item_revenue"),
+        F.col("p_retailprice").cast("string").alias("price"),
+        "quantity",
+        "item_revenue",
     )
 
 

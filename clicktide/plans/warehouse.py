@@ -21,7 +21,7 @@ from clicktide.plans.presence import Store, count_all, current
 from clicktide.schemas import DATE, FIRST_VISIT
 from clicktide.session import delete_folder, require_strict, scratch_scope
 from clicktide.sources.flat import items_beside, read_events, read_items
-from clicktide.sources.tables import CONTRACT, write_table
+from clicktide.sources.tables import CONTRACT, is_foldered, rewrite_table, write_table
 
 # Fixed value: data mode of a real build.
 OFFICIAL = "official_bigquery_export"
@@ -81,6 +81,15 @@ def keep(cfg: JobConfig, done: dict[str, DataFrame], name: str, df: DataFrame) -
     done[name] = write_table(df, table_path(cfg, name), {**CONTRACT, **INTERNAL}[name])
 
 
+def keep_items(spark: SparkSession, cfg: JobConfig, done: dict[str, DataFrame]) -> None:
+    """Write the item facts. Cleansing keeps every line on its day, so a source in folders by day needs no shuffle."""
+    items = cleanse_items(read_items(spark, cfg.items_source))
+    if is_foldered(spark, cfg.items_source, DATE):
+        done["items"] = rewrite_table(items, table_path(cfg, "items"), CONTRACT["items"])
+    else:
+        keep(cfg, done, "items", items)
+
+
 def presence_root(cfg: JobConfig) -> str:
     return f"{out_dir(cfg, 'warehouse')}/presence"
 
@@ -133,7 +142,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     done: dict[str, DataFrame] = {}
     delete_folder(spark, presence_root(cfg))  # counts of the visits that are about to be replaced
     keep(cfg, done, "events", cleanse_events(read_events(spark, cfg.events_path)))
-    keep(cfg, done, "items", cleanse_items(read_items(spark, cfg.items_source)))
+    keep_items(spark, cfg, done)
     keep(cfg, done, "visits", condense(done["events"], cfg.first_visit))
     with scratch_scope(spark):
         count_all(spark, presence_root(cfg), done["visits"])

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from clicktide.schemas import DATE
 # Folder name Spark gives to a NULL partition value.
 EMPTY_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
+# Folders a task writes at once where nothing is shuffled before; with more of them Spark sorts the task's rows by folder.
+OPEN_FOLDERS = 64
+
 # Tables other systems may rely on, and the column each is foldered by.
 CONTRACT = {
     "events": DATE,
@@ -41,19 +45,51 @@ def write_table(df: DataFrame, path: str, partition: str | None = None) -> DataF
     return read_table(df.sparkSession, path, df.schema)
 
 
+def is_foldered(spark: SparkSession, path: str, partition: str) -> bool:
+    """Whether the files at ``path`` lie in folders of ``partition``, so that each holds one of its values."""
+    return any(name.startswith(f"{partition}=") for name in subfolders(spark, path))
+
+
+@contextmanager
+def _open_folders(spark: SparkSession) -> Iterator[None]:
+    """Writes inside keep a file open per folder instead of sorting the task's rows, up to ``OPEN_FOLDERS``."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, OPEN_FOLDERS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def rewrite_table(df: DataFrame, path: str, partition: str) -> DataFrame:
+    """``write_table`` for rows read from files that hold one folder's rows each, and kept in their folder.
+
+    Nothing is shuffled, and a task has no more files open than it reads: what it
+    buffers is at most its input split. As many files are written as are read, or fewer.
+    """
+    out = df.write.option("compression", "zstd").mode("overwrite").option("partitionOverwriteMode", "static")
+    with _open_folders(df.sparkSession):
+        out.partitionBy(partition).parquet(path)
+    return read_table(df.sparkSession, path, df.schema)
+
+
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str, values: Iterable) -> None:
+def replace_partitions(df: DataFrame, path: str, partition: str, values: Iterable, foldered: bool = False) -> None:
     """Replace the folders of ``values`` by the rows of ``df``; other folders stay.
 
     ``df`` is read twice and must not be computed from ``path``. A value without
-    rows loses its folder. Repeating the call gives the same table.
+    rows loses its folder. Repeating the call gives the same table. Rows that lie by
+    folder already (``foldered``, see ``rewrite_table``) are not shuffled.
     """
     # At most one row per value.
     present = {row[0] for row in df.select(partition).distinct().collect()}
-    writer(df, partition).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    out = df.write.option("compression", "zstd").partitionBy(partition) if foldered else writer(df, partition)
+    with _open_folders(df.sparkSession) if foldered else nullcontext():
+        out.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     for value in set(values) - present:
         _drop_folder(df.sparkSession, f"{path}/{partition}={EMPTY_FOLDER if value is None else value}")
 

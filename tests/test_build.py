@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from clicktide import schemas
 from clicktide.operators import views
@@ -12,10 +13,11 @@ from clicktide.operators.kpi import summary
 from clicktide.operators.metrics import REGISTRY, metric, registry_table
 from clicktide.operators.quality import Bounds, quality_totals
 from clicktide.operators.retention import weighted_retention
+from clicktide.plans import warehouse
 from clicktide.plans.analysis import analysis_summary
 from clicktide.plans.warehouse import JobConfig, run, table_path
 from clicktide.session import configure
-from clicktide.sources.tables import CONTRACT
+from clicktide.sources.tables import CONTRACT, write_table
 
 from conftest import as_set
 
@@ -202,3 +204,19 @@ def test_missing_events_are_an_error_and_missing_items_are_not(spark, tmp_path,
     assert items_beside("/a/x_events.parquet") == "/a/x_items.parquet"
     assert items_beside("/a/clicks") == "/a/items"
     assert read_items(spark, items_beside(fixture_csv)).count() == 4
+
+
+def test_items_in_folders_by_day_are_not_shuffled(spark, built, tmp_path, monkeypatch):
+    cfg, tables = built
+    folders, flat = str(tmp_path / "items"), str(tmp_path / "flat-items")
+    lines = tables["items"].select(*[F.col(f.name).cast(f.dataType) for f in schemas.ITEMS])
+    write_table(lines, folders, "event_date")
+    write_table(lines, flat)
+    shuffled, keep = [], warehouse.write_table
+    monkeypatch.setattr(warehouse, "write_table", lambda df, path, partition=None: shuffled.append(path) or keep(df, path, partition))
+    for source, base in ((folders, "a"), (flat, "b")):
+        here, done = JobConfig(str(tmp_path / base), cfg.events_path, BOUNDS, source), {}
+        warehouse.keep_items(spark, here, done)
+        assert as_set(done["items"]) == as_set(tables["items"])
+        assert as_set(spark.read.parquet(table_path(here, "items")).select(*done["items"].columns)) == as_set(tables["items"])
+    assert shuffled == [table_path(here, "items")]  # of the source without folders

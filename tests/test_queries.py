@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
-from checks import registry
+from checks import bindings, registry
 from checks.compare import difference, duck, type_difference
 
 from conftest import plan_of
@@ -51,3 +51,13 @@ def test_scan_reads_only_needed_columns(spark):
     plan = plan_of(entry.queries()["product_summary"](spark, FOLDER))
     physical = plan[plan.index("== Physical Plan ==") :]
     assert "l_tax" in physical and "l_orderkey" not in physical and "p_brand" not in physical
+
+
+def test_lines_are_reduced_before_the_join(spark):
+    """With a large ``part`` the join shuffles all lines."""
+    plan = bindings.items(spark, FOLDER)._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Join":
+        plan = plan.children().head()
+    names = plan.children().head().output().mkString(" ")
+    assert "item_revenue" in names
+    assert not any(c in names for c in ("l_extendedprice", "l_discount", "l_tax", "l_returnflag"))

@@ -13,7 +13,8 @@ from clicktide.sources.flat import read_events
 from clicktide.sources import landing
 from clicktide.sources.landing import changed_ranges, file_ranges, land, manifest
 from clicktide.sources.shards import scan_days, validate_range
-from clicktide.sources.tables import replace_partitions, write_table
+from clicktide.sources import tables
+from clicktide.sources.tables import is_foldered, replace_partitions, rewrite_table, write_table
 
 from conftest import as_set, event, event_rows, events_of, plan_of, write_csv
 
@@ -154,3 +155,29 @@ def test_replaced_days_lose_old_rows(spark, tmp_path):
         replace_partitions(new, path, "event_date", days[:2])
         got = spark.read.schema(schema).parquet(path)
         assert as_set(got.select("event_date", "n")) == {(days[0], 9), (days[2], 3)}
+
+
+@pytest.mark.parametrize("folders", [64, 2])  # with fewer than there are days, Spark sorts
+def test_rewriting_by_folder_keeps_rows_days_and_files(spark, tmp_path, monkeypatch, folders):
+    monkeypatch.setattr(tables, "OPEN_FOLDERS", folders)
+    rows = [(n, f"2021-03-{1 + n % 7:02d}" if n % 9 else None) for n in range(400)] * 2
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    df = spark.createDataFrame(rows, "n int, day string").withColumn("event_date", F.col("day").cast("date"))
+    df.repartition(3).write.partitionBy("event_date").parquet(source)
+    assert is_foldered(spark, source, "event_date") and not is_foldered(spark, target, "event_date")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    read = spark.read.schema(df.schema).parquet(source)
+    done = rewrite_table(read.withColumn("n", F.col("n") + 1), target, "event_date")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    assert sorted(map(str, done.collect())) == sorted(map(str, df.withColumn("n", F.col("n") + 1).collect()))
+    assert done.schema == df.schema
+    assert len(list(Path(target).rglob("*.parquet"))) <= len(list(Path(source).rglob("*.parquet")))
+    assert {p.name for p in Path(target).glob("event_date=*")} == {p.name for p in Path(source).glob("event_date=*")}
+
+
+def test_replacing_folders_without_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "table")
+    write_table(spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n int, day string"), path, "day")
+    new = spark.createDataFrame([(n, "b") for n in range(4)] + [(9, None)], "n int, day string").coalesce(1)
+    replace_partitions(new, path, "day", ["a", "b", None], foldered=True)
+    assert as_set(spark.read.parquet(path).select("n", "day")) == {(n, "b") for n in range(4)} | {(9, None)}
