@@ -24,7 +24,7 @@ from clicktide.plans.warehouse import INTERNAL, JobConfig, dependent_marts, pres
 from clicktide.schemas import DATE, EVENTS, TIME, USER
 from clicktide.session import delete_folder, require_strict, scratch_scope, settle
 from clicktide.sources.flat import empty_items, read_events, read_items
-from clicktide.sources.tables import CONTRACT, is_foldered, read_table, replace_partitions
+from clicktide.sources.tables import CONTRACT, is_foldered, read_table, replace_partitions, rewrite_partitions
 
 Span = tuple[datetime, datetime]
 
@@ -188,8 +188,8 @@ def _refresh_facts(spark: SparkSession, cfg: JobConfig, days: set[date | None])
     retention = settle(retention_of(current), "refreshed-cohorts")
 
     items = cleanse_items(read_items(spark, cfg.items_source)).where(on_days(days))
-    by_day = is_foldered(spark, cfg.items_source, DATE)
-    replace_partitions(settle(items, "refreshed-items"), table_path(cfg, "items"), CONTRACT["items"], days, by_day)
+    replace = rewrite_partitions if is_foldered(spark, cfg.items_source, DATE) else replace_partitions
+    replace(settle(items, "refreshed-items"), table_path(cfg, "items"), CONTRACT["items"], days)
     replace_partitions(kpi, table_path(cfg, "daily_kpi"), CONTRACT["daily_kpi"], affected)
     replace_partitions(retention, table_path(cfg, "cohort_retention"), INTERNAL["cohort_retention"], cohorts)
     replace_partitions(current, table_path(cfg, "user_weeks"), INTERNAL["user_weeks"], cohorts)

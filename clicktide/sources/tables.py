@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Mapping
-from contextlib import contextmanager, nullcontext
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -78,18 +78,25 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str, values: Iterable, foldered: bool = False) -> None:
+def replace_partitions(df: DataFrame, path: str, partition: str, values: Iterable) -> None:
     """Replace the folders of ``values`` by the rows of ``df``; other folders stay.
 
     ``df`` is read twice and must not be computed from ``path``. A value without
-    rows loses its folder. Repeating the call gives the same table. Rows that lie by
-    folder already (``foldered``, see ``rewrite_table``) are not shuffled.
+    rows loses its folder. Repeating the call gives the same table.
     """
+    _replace(df, writer(df, partition), path, partition, values)
+
+
+def rewrite_partitions(df: DataFrame, path: str, partition: str, values: Iterable) -> None:
+    """``replace_partitions`` for rows that lie by folder already, see ``rewrite_table``."""
+    with _open_folders(df.sparkSession):
+        _replace(df, df.write.option("compression", "zstd").partitionBy(partition), path, partition, values)
+
+
+def _replace(df: DataFrame, out: DataFrameWriter, path: str, partition: str, values: Iterable) -> None:
     # At most one row per value.
     present = {row[0] for row in df.select(partition).distinct().collect()}
-    out = df.write.option("compression", "zstd").partitionBy(partition) if foldered else writer(df, partition)
-    with _open_folders(df.sparkSession) if foldered else nullcontext():
-        out.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    out.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     for value in set(values) - present:
         _drop_folder(df.sparkSession, f"{path}/{partition}={EMPTY_FOLDER if value is None else value}")
 

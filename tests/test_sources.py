@@ -14,7 +14,7 @@ from clicktide.sources import landing
 from clicktide.sources.landing import changed_ranges, file_ranges, land, manifest
 from clicktide.sources.shards import scan_days, validate_range
 from clicktide.sources import tables
-from clicktide.sources.tables import is_foldered, replace_partitions, rewrite_table, write_table
+from clicktide.sources.tables import is_foldered, replace_partitions, rewrite_partitions, rewrite_table, write_table
 
 from conftest import as_set, event, event_rows, events_of, plan_of, write_csv
 
@@ -179,5 +179,5 @@ def test_replacing_folders_without_a_shuffle(spark, tmp_path):
     path = str(tmp_path / "table")
     write_table(spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n int, day string"), path, "day")
     new = spark.createDataFrame([(n, "b") for n in range(4)] + [(9, None)], "n int, day string").coalesce(1)
-    replace_partitions(new, path, "day", ["a", "b", None], foldered=True)
+    rewrite_partitions(new, path, "day", ["a", "b", None])
     assert as_set(spark.read.parquet(path).select("n", "day")) == {(n, "b") for n in range(4)} | {(9, None)}
