@@ -150,7 +150,9 @@ def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 3, segments: int =
     packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("keep_id"), F.col("text").alias("keep_text"))
     # By fingerprint and id at once: texts move once here, and copies of a text are dealt out by their ids.
     known = groups.select("fp", "component", F.col("component_id").alias("least_id"))
-    printed = packed.withColumn("keep_fp", _fingerprints(words)(text_of("keep_text")))
+    # Named nondeterministic, as Spark repeats others in a filter of its own: twice the work, and a second Python worker per task.
+    prints = _fingerprints(words).asNondeterministic()
+    printed = packed.withColumn("keep_fp", prints(text_of("keep_text")))
     chosen = (F.col("keep_fp") == F.col("fp")) & F.col("keep_id").eqNullSafe(F.col("least_id"))
     least = printed.join(known, chosen).select("row", "keep_text", "component")
     order = F.struct(F.col("keep_text").isNull(), "keep_text")

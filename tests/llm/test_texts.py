@@ -230,6 +230,12 @@ def test_one_of_each_group_stays(spark):
     assert simhash.keep_one(documents(spark, [])).count() == 0
 
 
+def test_fingerprints_are_made_once_where_texts_move(spark):
+    docs = documents(spark, [(i, f"word{i} of a text", "en", "s", 1) for i in range(20)])
+    plan = simhash.keep_one(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # a second one is a second Python worker in every task
+
+
 def test_one_id_in_two_groups_stays_in_both(spark):
     one, other = "a b c d e f g h i", "entirely different words stand in this text here"
     rows = [(5, one), (5, other), (9, other.upper()), (7, one.upper())]
