@@ -105,7 +105,9 @@ def items_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") != "R", F.col("l_quantity") / 2).alias("quantity"),
         F.when(F.col("l_tax") == 0.08, -net).otherwise(net).alias("item_revenue"),
     )
-    parts = table(spark, sf_dir, "part", PART).select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
+    # Prices are text in a source; they are made text once per part, not once per line.
+    price = F.col("p_retailprice").cast("string").alias("price")
+    parts = table(spark, sf_dir, "part", PART).select("p_partkey", "p_name", "p_brand", "p_type", price)
     # A left join: part is a dimension, small enough to broadcast by its file size or shuffled otherwise.
     joined = sold.join(parts, sold.l_partkey == parts.p_partkey, "left")
     return joined.select(
@@ -118,7 +120,7 @@ def items_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("item_name"),
         F.col("p_brand").alias("item_brand"),
         F.when(F.col("p_type") != "SMALL", F.col("p_type")).alias("item_category"),
-        F.col("p_retailprice").cast("string").alias("price"),
+        "price",
         "quantity",
         "item_revenue",
     )

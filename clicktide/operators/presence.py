@@ -33,6 +33,7 @@ KEYS = [*GROUP, "kind", "entity"]
 COUNTS = ["days", "flag_a", "flag_b"]
 SIDE = "side"
 MOST_BROADCAST = 100_000  # keys
+MASKED_DAYS = 255  # days kept as bits of an entity; with more of them days are counted by a second aggregation
 
 CHANNEL, PER_USER, OVERALL = "channel", "user", "all"
 _BY = {CHANNEL: ("source", "medium"), PER_USER: (USER,), OVERALL: ()}
@@ -77,25 +78,58 @@ def signed(visits: DataFrame, side: int) -> DataFrame:
     return visits.withColumn(SIDE, F.lit(side).cast("bigint"))
 
 
-def entity_changes(moved: DataFrame) -> DataFrame:
-    """What signed visits, whole days each, change in the table of entities: one row per key, none that change nothing."""
+# Mart and kind are one number until the counting is done: two strings fewer in every shuffled row.
+_SHORT = ["counted", "g1", "g2", "entity"]
+
+
+def _entity_rows(visits: DataFrame, *kept: str) -> DataFrame:
+    """A row per visit and counted entity: ``kept`` columns, short key, flags."""
     each = [
         F.struct(F.lit(i).alias("counted"), *_group(mart)[1:], F.col(entity).cast("string").alias("entity"), _flag(a).alias("a"), _flag(b).alias("b"))
         for i, (mart, _, entity, a, b) in enumerate(_COUNTED)
     ]
-    # Mart and kind are one number until the counting is done: two strings fewer in every shuffled row.
-    keys = ["counted", "g1", "g2", "entity"]
-    rows = moved.select(DATE, SIDE, F.explode(F.array(*each)).alias("e")).select(DATE, SIDE, "e.*").where("entity IS NOT NULL")
-    per_day = rows.groupBy(DATE, SIDE, *keys).agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    return visits.select(*kept, F.explode(F.array(*each)).alias("e")).select(*kept, "e.*").where("entity IS NOT NULL")
+
+
+def _named(counted: DataFrame) -> DataFrame:
+    mart, kind = (F.array(*[F.lit(row[n]) for row in _COUNTED])[F.col("counted")] for n in (0, 1))
+    return counted.select(mart.alias("mart"), "g1", "g2", kind.alias("kind"), "entity", *COUNTS)
+
+
+def first_entities(visits: DataFrame, days: list) -> DataFrame:
+    """``entity_changes`` of visits that all come, where there are ``MASKED_DAYS`` days at most.
+
+    A day is a bit of some numbers, so that one aggregation takes an entity's days together: one
+    shuffle instead of two, and none by day. ``days`` are all days of the visits.
+    """
+    known = sorted(d for d in days if d is not None)
+    # Rows without a day have place 0.
+    place = F.coalesce(F.array_position(F.array(*[F.lit(d) for d in known]), F.col(DATE)), F.lit(0)).cast("int") if known else F.lit(0)
+    masks = [f"mask_{n}" for n in range(len(known) // 64 + 1)]
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.col("place"), F.lit(64)))
+    no_bit = F.lit(0).cast("bigint")
+    placed = visits.withColumn("place", place).withColumns(
+        {m: F.when(F.floor(F.col("place") / 64) == n, bit).otherwise(no_bit) for n, m in enumerate(masks)}
+    )
+    flags = {"days": F.lit(True), "flag_a": F.col("a"), "flag_b": F.col("b")}
+    held = {(c, m): F.bit_or(F.when(flag, F.col(m)).otherwise(no_bit)) for c, flag in flags.items() for m in masks}
+    merged = _entity_rows(placed, *masks).groupBy(*_SHORT).agg(*[found.alias(f"{c}_{m}") for (c, m), found in held.items()])
+    return _named(
+        merged.withColumns({c: reduce(Column.__add__, [F.bit_count(f"{c}_{m}").cast("bigint") for m in masks]) for c in COUNTS})
+    )
+
+
+def entity_changes(moved: DataFrame) -> DataFrame:
+    """What signed visits, whole days each, change in the table of entities: one row per key, none that change nothing."""
+    rows = _entity_rows(moved, DATE, SIDE)
+    per_day = rows.groupBy(DATE, SIDE, *_SHORT).agg(F.max("a").alias("a"), F.max("b").alias("b"))
     side = F.col(SIDE)
-    summed = per_day.groupBy(*keys).agg(
+    summed = per_day.groupBy(*_SHORT).agg(
         F.sum(side).alias("days"),
         F.sum(F.when(F.col("a"), side).otherwise(F.lit(0))).alias("flag_a"),
         F.sum(F.when(F.col("b"), side).otherwise(F.lit(0))).alias("flag_b"),
     )
-    changed = summed.where(reduce(Column.__or__, [F.col(c) != 0 for c in COUNTS]))
-    mart, kind = (F.array(*[F.lit(row[n]) for row in _COUNTED])[F.col("counted")] for n in (0, 1))
-    return changed.select(mart.alias("mart"), "g1", "g2", kind.alias("kind"), "entity", *COUNTS)
+    return _named(summed.where(reduce(Column.__or__, [F.col(c) != 0 for c in COUNTS])))
 
 
 def _sum_changes(moved: DataFrame) -> DataFrame:

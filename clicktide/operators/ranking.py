@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -40,17 +41,27 @@ class _Keys:
     """Ordering keys (NULLs last, then value, then tie) as columns and as literals."""
 
     def __init__(self, df: DataFrame, orders: Mapping[str, Column], tie: str) -> None:
-        self.column = {s: F.struct(v.isNull().alias("no"), v.alias("value"), F.col(tie).alias("tie")) for s, v in orders.items()}
+        # ``no`` is nullable as the fields of literals are: then rows and literals compare without casts.
+        no = {s: F.when(v.isNull(), True).when(v.isNotNull(), False) for s, v in orders.items()}
+        self.column = {s: F.struct(no[s].alias("no"), v.alias("value"), F.col(tie).alias("tie")) for s, v in orders.items()}
         fields = df.select(*[c.alias(s) for s, c in self.column.items()]).schema
         self.types: dict[str, T.StructType] = {f.name: f.dataType for f in fields}
 
     def literal(self, score: str, key: tuple) -> Column:
         return F.struct(*[F.lit(x).cast(f.dataType).alias(f.name) for x, f in zip(key, self.types[score], strict=True)])
 
+    def literals(self, score: str, keys: list[tuple]) -> Column:
+        """Many keys as one constant: an expression per key and field would cost the driver more than the pass itself."""
+        text = json.dumps([{f.name: None if x is None else str(x) for x, f in zip(key, self.types[score], strict=True)} for key in keys])
+        names = self.types[score].names
+        plain = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+        typed = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType) for f in self.types[score]]))
+        return F.from_json(F.lit(text), plain).cast(typed)
+
     def below(self, score: str, cuts: list[tuple]) -> Column:
         """How many of ``cuts`` lie below a row."""
         key = self.column[score]
-        return F.size(F.filter(F.array(*[self.literal(score, c) for c in cuts]), lambda c: c < key))
+        return F.size(F.filter(self.literals(score, cuts), lambda c: c < key))
 
     def within(self, span: tuple) -> Column:
         score, low, high = span

@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from clicktide.operators.presence import (
     ENTITY_SCHEMA,
+    MASKED_DAYS,
     TOTAL_SCHEMA,
     day_digests,
     entity_changes,
+    first_entities,
     merged_entities,
     merged_totals,
     signed,
@@ -27,7 +29,7 @@ from clicktide.operators.presence import (
 )
 from clicktide.schemas import DATE
 from clicktide.session import delete_folder
-from clicktide.sources.tables import path_exists, subfolders
+from clicktide.sources.tables import open_folders, path_exists, subfolders
 
 MARK_SCHEMA = f"{DATE} date, rows bigint, digest string"
 MOST_PARTS = 16
@@ -86,7 +88,8 @@ def current(spark: SparkSession, root: str) -> Store | None:
 def _write_entities(store: Store, entities: DataFrame) -> None:
     """Entities of the next part, as dealt by the aggregation they come from: no task has more than its share of any folder."""
     out = entities.write.option("compression", "zstd").mode("overwrite").option("partitionOverwriteMode", "static")
-    out.partitionBy("mart", "kind").parquet(f"{store.part(store.parts)}/entities")
+    with open_folders(entities.sparkSession):
+        out.partitionBy("mart", "kind").parquet(f"{store.part(store.parts)}/entities")
 
 
 def _finish_part(store: Store, totals: DataFrame, marks: DataFrame) -> Store:
@@ -110,16 +113,19 @@ def _drop_older(spark: SparkSession, store: Store) -> None:
             delete_folder(spark, f"{store.root}/g{generation}")
 
 
-def _append(spark: SparkSession, store: Store, moved: DataFrame, stored: DataFrame | None, marks: DataFrame) -> Store:
-    """Write what signed visits change as the next part; the totals are counted on its written entities."""
-    _write_entities(store, entity_changes(moved))
+def _append(spark: SparkSession, store: Store, moved: DataFrame, entities: DataFrame, stored: DataFrame | None, marks: DataFrame) -> Store:
+    """Write what signed visits change, the entities as counted from them, as the next part; the totals are counted on its written entities."""
+    _write_entities(store, entities)
     changes = Store(store.root, store.generation, store.parts + 1).read(spark, "entities", ENTITY_SCHEMA, since=store.parts)
     return _finish_part(store, total_changes(moved, changes, stored), marks)
 
 
 def count_all(spark: SparkSession, root: str, visits: DataFrame) -> Store:
     """Count all visits into a new generation; older ones go once it holds."""
-    store = _append(spark, _start_generation(spark, root), signed(visits, 1), None, day_digests(visits))
+    known = [(r[DATE], r["rows"], r["digest"]) for r in day_digests(visits).collect()]  # a row per day
+    days, moved = [day for day, _, _ in known], signed(visits, 1)
+    entities = first_entities(visits, days) if len(days) <= MASKED_DAYS else entity_changes(moved)
+    store = _append(spark, _start_generation(spark, root), moved, entities, None, spark.createDataFrame(known, MARK_SCHEMA))
     _drop_older(spark, store)
     return store
 
@@ -164,5 +170,5 @@ def count_days(spark: SparkSession, root: str, old: DataFrame, new: DataFrame, d
     here = reduce(lambda x, y: x | y, [F.col(DATE).eqNullSafe(F.lit(d).cast("date")) for d in moved])
     both = signed(old.where(here), -1).unionByName(signed(new.where(here), 1))
     known = spark.createDataFrame([(d, *after.get(d, nothing)) for d in moved], MARK_SCHEMA)
-    _append(spark, store, both, store.entities(spark), known)
+    _append(spark, store, both, entity_changes(both), store.entities(spark), known)
     return True

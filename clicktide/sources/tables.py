@@ -13,7 +13,7 @@ from clicktide.schemas import DATE
 # Folder name Spark gives to a NULL partition value.
 EMPTY_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
-# Folders a task writes at once where nothing is shuffled before; with more of them Spark sorts the task's rows by folder.
+# Folders a task writes at once; with more of them Spark sorts the task's rows by folder.
 OPEN_FOLDERS = 64
 
 # Tables other systems may rely on, and the column each is foldered by.
@@ -41,7 +41,10 @@ def writer(df: DataFrame, partition: str | None = None) -> DataFrameWriter:
 
 def write_table(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
     """Replace the table at ``path`` and return it as read back."""
-    writer(df, partition).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    out = writer(df, partition).mode("overwrite").option("partitionOverwriteMode", "static")
+    # Rebalanced rows of a task lie in few folders: files kept open spare a sort of whole rows.
+    with open_folders(df.sparkSession):
+        out.parquet(path)
     return read_table(df.sparkSession, path, df.schema)
 
 
@@ -51,7 +54,7 @@ def is_foldered(spark: SparkSession, path: str, partition: str) -> bool:
 
 
 @contextmanager
-def _open_folders(spark: SparkSession) -> Iterator[None]:
+def open_folders(spark: SparkSession) -> Iterator[None]:
     """Writes inside keep a file open per folder instead of sorting the task's rows, up to ``OPEN_FOLDERS``."""
     name = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(name)
@@ -69,7 +72,7 @@ def rewrite_table(df: DataFrame, path: str, partition: str) -> DataFrame:
     buffers is at most its input split. As many files are written as are read, or fewer.
     """
     out = df.write.option("compression", "zstd").mode("overwrite").option("partitionOverwriteMode", "static")
-    with _open_folders(df.sparkSession):
+    with open_folders(df.sparkSession):
         out.partitionBy(partition).parquet(path)
     return read_table(df.sparkSession, path, df.schema)
 
@@ -89,7 +92,7 @@ def replace_partitions(df: DataFrame, path: str, partition: str, values: Iterabl
 
 def rewrite_partitions(df: DataFrame, path: str, partition: str, values: Iterable) -> None:
     """``replace_partitions`` for rows that lie by folder already, see ``rewrite_table``."""
-    with _open_folders(df.sparkSession):
+    with open_folders(df.sparkSession):
         _replace(df, df.write.option("compression", "zstd").partitionBy(partition), path, partition, values)
 
 

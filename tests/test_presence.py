@@ -207,3 +207,22 @@ def test_a_first_count_compares_with_nothing(spark):
     totals = p.total_changes(p.signed(visits, 1), changes, None)
     assert "Join" not in plan_of(totals)
     assert as_set(p.channels_of(totals)) == as_set(channel_summary(visits))
+
+
+@pytest.mark.parametrize("days", [1, 5, 63, 64, 150])
+def test_a_first_count_in_one_aggregation_equals_the_count_by_day(spark, days):
+    """Days, flags and rows without a day, on one and several masks; one shuffle, combined before it."""
+    visits = some_visits(spark, 13, days=days, rows=400).cache()
+    held = [r[0] for r in visits.select("event_date").distinct().collect()]
+    found = p.first_entities(visits, held)
+    assert as_set(found) == as_set(p.entity_changes(p.signed(visits, 1)))
+    plan = plan_of(found)
+    assert plan.count("hashpartitioning(counted#") == 1 and "partial_bit_or" in plan and "SortAggregate" not in plan
+
+
+def test_a_first_count_of_more_days_than_bits_is_the_same(spark, root, monkeypatch):
+    visits = some_visits(spark, 14).cache()
+    check_marts(spark, count_all(spark, root, visits), visits)
+    few = as_set(current(spark, root).entities(spark))
+    monkeypatch.setattr(store_module, "MASKED_DAYS", 1)
+    assert as_set(count_all(spark, root, visits).entities(spark)) == few
