@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 NARROW = 2048
 SPLITTERS = 64
 
+# Types whose values come back from their text unchanged.
+PLAIN = (T.StringType, T.BooleanType, T.NumericType, T.DateType)
+
 
 @dataclass
 class Border:
@@ -52,6 +55,8 @@ class _Keys:
 
     def literals(self, score: str, keys: list[tuple]) -> Column:
         """Many keys as one constant: an expression per key and field would cost the driver more than the pass itself."""
+        if not all(isinstance(f.dataType, PLAIN) for f in self.types[score]):
+            return F.array(*[self.literal(score, key) for key in keys])
         text = json.dumps([{f.name: None if x is None else str(x) for x, f in zip(key, self.types[score], strict=True)} for key in keys])
         names = self.types[score].names
         plain = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names]))

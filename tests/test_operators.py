@@ -295,6 +295,28 @@ def test_ntile_by_borders_equals_builtin(spark, monkeypatch, rows):
     assert as_set(got) == as_set(want)
 
 
+def test_ntile_with_odd_values_and_ids(spark, monkeypatch):
+    """Quotes, other scripts, control characters and NULL-like texts as ids; NaN, infinities, dates and times as values."""
+    monkeypatch.setattr(ranking, "NARROW", 8)
+    odd = ['"', "\\", "é", "\u0000", "null", "', {", "漢字", " "]
+    values = [float("nan"), float("inf"), float("-inf"), -0.0, 0.1 + 0.2, 1e-310, None, 5.0]
+    day = datetime(2024, 1, 1, 10)
+    rows = [(f"{odd[i % 8]}{i}", values[i * 7 % 11 % 8], (day + timedelta(days=i % 9)).date(), day + timedelta(seconds=i * 13 % 50)) for i in range(300)]
+    df = spark.createDataFrame(rows, "u string, x double, d date, t timestamp").cache()
+    orders = {"a": F.col("x"), "b": F.col("d"), "c": F.col("t")}
+    want = df.select("u", *[F.ntile(5).over(Window.orderBy(v.asc_nulls_last(), "u")).cast("bigint").alias(k) for k, v in orders.items()])
+    got = df.withColumns(ntile_columns(df, orders, "u", 5, 300)).select("u", *orders)
+    assert as_set(got) == as_set(want)
+
+
+def test_many_splitters_are_one_constant(spark):
+    df = spark.createDataFrame([("a", 1.0)], "u string, x double")
+    keys = ranking._Keys(df, {"m": F.col("x")}, "u")
+    cuts = [(False, float(n), f"u{n}") for n in range(64)]
+    assert str(keys.below("m", cuts)).count("struct(") == 1  # the row's own key
+    assert df.select(keys.below("m", cuts)).first()[0] == 1  # 0.0; of equal values "a" lies below "u1"
+
+
 def test_bucket_starts():
     for rows in (0, 3, 5, 12, 14):
         starts = [0, *bucket_starts(rows, 5), rows]

@@ -5,6 +5,7 @@ from pathlib import Path
 from urllib.parse import unquote, urlparse
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from clicktide.schemas import EVENTS_CSV, NESTED_EVENTS
@@ -181,3 +182,14 @@ def test_replacing_folders_without_a_shuffle(spark, tmp_path):
     new = spark.createDataFrame([(n, "b") for n in range(4)] + [(9, None)], "n int, day string").coalesce(1)
     rewrite_partitions(new, path, "day", ["a", "b", None])
     assert as_set(spark.read.parquet(path).select("n", "day")) == {(n, "b") for n in range(4)} | {(9, None)}
+
+
+def test_tables_in_folders_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """Spark sorts a task's rows by folder unless it may keep files open; the setting ends with the write."""
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **k: seen.append(spark.conf.get(name)) or write(*a, **k))
+    before = spark.conf.get(name)
+    rows = spark.createDataFrame([(n, str(n % 5) if n % 6 else None) for n in range(60)], "n int, day string")
+    done = write_table(rows, f"{tmp_path}/t", "day")
+    assert seen == [str(tables.OPEN_FOLDERS)] and spark.conf.get(name) == before
+    assert as_set(done) == as_set(rows)
